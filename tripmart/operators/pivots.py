@@ -77,7 +77,7 @@ def top_label(df: DataFrame, prefix: str, suffix: str) -> Column:
 
     The counters of a key already share a row, so this needs neither an unpivot nor a window.
     """
-    wide = sorted(counter_names(df.columns, prefix, suffix))
+    wide = sorted(counter_names(df.columns, prefix, suffix), key=lambda c: label_of(c, prefix, suffix))
     counts = F.array(*[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint") for c in wide])
     labels = F.array(*[F.lit(label_of(c, prefix, suffix)) for c in wide])
     return F.element_at(labels, F.array_position(counts, F.array_max(counts)).cast("int"))
