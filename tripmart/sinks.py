@@ -84,14 +84,13 @@ def write_batches(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def write_report(df: DataFrame, file: str) -> DataFrame:
-    """Records per written file and a TOTAL row, from one aggregate."""
-    name = F.when(F.grouping(file) == 1, "TOTAL").otherwise(F.col(file).cast("string"))
-    counted = df.rollup(file).agg(F.count("*").alias("records"), name.alias("name"), F.grouping(file).alias("g"))
-    files = F.countDistinct(file)
-    n_files = df.select(files).scalar()
-    return counted.select(
-        F.col("name").alias("file"), "records",
-        F.when(F.col("g") == 1, "").otherwise("Success").alias("status"),
-        F.when(F.col("g") == 1, F.concat(n_files.cast("string"), F.lit(" files generated")))
-        .otherwise(F.concat(F.lit("Created with "), F.col("records").cast("string"), F.lit(" records"))).alias("message"),
-    )
+    """Records per written file and a TOTAL row; the total adds up the files, not the rows again."""
+    total = F.grouping(file) == 1
+    n = F.sum("_n")
+    return df.groupBy(file).agg(F.count("*").alias("_n")).rollup(file).agg(
+        F.when(total, "TOTAL").otherwise(F.col(file).cast("string")).alias("_file"),
+        n.alias("records"),
+        F.when(total, "").otherwise("Success").alias("status"),
+        F.when(total, F.concat(F.count("*").cast("string"), F.lit(" files generated")))
+        .otherwise(F.concat(F.lit("Created with "), n.cast("string"), F.lit(" records"))).alias("message"),
+    ).select(F.col("_file").alias("file"), "records", "status", "message")
