@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from tripmart.operators.keys import keep_first, new_rows
-from tripmart.operators.upsert import as_of, commit_version, upsert, versions
+from tripmart.operators.upsert import upsert
 
 
 def open_drops(
@@ -69,20 +69,24 @@ def ingest_new_keys(
     _run(stream, checkpoint, each_batch, timeout)
 
 
-def ingest_upsert(
+def ingest_changes(
     stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order_by: Sequence[str] = (),
     timeout: int = 3600,
 ) -> None:
-    """Upsert each batch into a versioned table; batch n makes version n from version n - 1."""
+    """Store each batch as a set of changes, one per key. A batch costs what it holds, whatever the table's size."""
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = keep_first(batch, keys, order_by)
-        if batch_id > 0:
-            rows = upsert(as_of(versions(batch.sparkSession, target), batch_id - 1), rows, keys)
-        commit_version(rows, target, batch_id)
+        keep_first(batch, keys, order_by).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     _run(stream, checkpoint, each_batch, timeout)
 
 
+def upserted(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A table after all stored changes: the last change of each key is upserted."""
+    last_first = changes.withColumn("_age", -F.col("batch"))
+    newest = keep_first(last_first, keys, ["_age"]).drop("_age", "batch")
+    return upsert(base, newest.select(*base.columns), keys)
+
+
 def stored_rows(spark: SparkSession, target: str) -> DataFrame:
     """What the append streams stored, without the batch numbers."""
     return spark.read.parquet(target).drop("batch")
