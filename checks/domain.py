@@ -23,6 +23,7 @@ MACROS = {
     "R6": ("", "cast(round(cast(cast({} as varchar) as decimal(38,18)), 6) as double)"),
     # The same for sums and averages, whose last bits depend on the order of addition.
     "SR0": ("", "cast(round(round(cast(cast({} as varchar) as decimal(38,18)), 9), 0) as double)"),
+    "SR6": ("", "cast(round(round(cast(cast({} as varchar) as decimal(38,18)), 9), 6) as double)"),
     "SR2": ("", "cast(round(round(cast(cast({} as varchar) as decimal(38,18)), 9), 2) as double)"),
     "ADDDAYS": ("date_add(date'1995-01-01', cast({} as int))", "(date'1995-01-01' + cast({} as int))"),
 }
