@@ -11,7 +11,8 @@ from tripmart.session import get_session
 
 sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:] or list(QUERIES)
-spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+                    spark__ui__showConsoleProgress="false")
 spark.sparkContext.setLogLevel("ERROR")
 db = connect(sf_dir)
 failed = []

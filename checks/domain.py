@@ -10,6 +10,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.operators.lookup import settle
+from tripmart.operators.spatial import Cells
+from tripmart.plans.boroughs import borough_cells
 
 MACROS = {
     "HOURS": ("make_dt_interval(0, cast({} as int))", "to_hours(cast({} as bigint))"),
@@ -190,17 +192,26 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql, **used)
 
 
-_STORED: dict[tuple, DataFrame] = {}
+_STORED: dict[tuple, object] = {}
 
 
 def stored_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A small view written out once per session, as the lake keeps its weather table; joins then see its real size."""
+    return _once(spark, sf_dir, name, lambda: settle(view(spark, sf_dir, name), name))
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make):
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        _STORED[key] = settle(view(spark, sf_dir, name), name)
+        _STORED[key] = make()
     return _STORED[key]
 
 
+def cells(spark: SparkSession, sf_dir: str) -> Cells:
+    """The grid cells of the boroughs, prepared once per session as a boundary load does."""
+    return _once(spark, sf_dir, "cells", lambda: borough_cells(box_shapes(spark, sf_dir)))
+
+
 def box_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boroughs with their boxes as multipolygons."""
     ring = "array(array(x0, y0), array(x1, y0), array(x1, y1), array(x0, y1), array(x0, y0))"

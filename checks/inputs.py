@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks.domain import box_shapes, stored_view, view
+from checks.domain import cells, stored_view, view
 from tripmart.plans import boroughs, customers, fares, weather
 
 
@@ -15,7 +15,7 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def located(spark: SparkSession, sf: str) -> DataFrame:
-    return boroughs.locate_trips(enriched(spark, sf), box_shapes(spark, sf), view(spark, sf, "trip_details"))
+    return boroughs.locate_trips(enriched(spark, sf), cells(spark, sf), view(spark, sf, "trip_details"))
 
 
 def fare_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import inputs
-from checks.domain import box_shapes, stored_view, table, view
+from checks.domain import cells, stored_view, table, view
 from checks.oracle_views import (
     CATEGORY_VALUES, DAYS, METHODS, METRICS, calendar_sql, haversine_sql, located_sql,
 )
@@ -190,7 +190,7 @@ def load_counters(spark, sf):
     left join {{boroughs}} p on {located_sql('p', 't.pickup_longitude', 't.pickup_latitude')}
     left join {{boroughs}} d on {located_sql('d', 't.dropoff_longitude', 't.dropoff_latitude')}""")
 def trip_boroughs(spark, sf):
-    return boroughs.with_boroughs(view(spark, sf, "trips"), box_shapes(spark, sf)).select(
+    return boroughs.with_boroughs(view(spark, sf, "trips"), cells(spark, sf)).select(
         "trip_id", "pickup_borough", "dropoff_borough")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,18 +70,9 @@ def ordered_ids(df: DataFrame, key: str, name: str = "row_id", start: int = 0, b
     """
     shares = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.percentile_approx(key, shares, buckets * 10).alias("cuts")).first()["cuts"] or []
-    cuts = sorted(set(cuts))
-    if not cuts:
-        return _number(df, F.lit(0).cast("bigint"), [key], name, start)
-    edges = F.array(*[F.lit(c) for c in cuts])
-    # Cuts below the key, found by halving the sorted list rather than walking it.
-    low = F.lit(0)
-    step = 1 << (len(cuts).bit_length() - 1)
-    while step:
-        probe = low + step
-        low = F.when((probe <= len(cuts)) & (F.get(edges, probe - 1) < F.col(key)), probe).otherwise(low)
-        step >>= 1
-    return _number(df, low.cast("bigint"), [key], name, start)
+    splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol=key, outputCol="_range", handleInvalid="keep").transform(df)
+    return _number(ranged, F.col("_range").cast("bigint"), [key], name, start).select(*df.columns, name)
 
 
 def max_id(df: DataFrame, key: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,13 @@ CELLS_PER_SIDE = 16
 NULL_SPREAD = 4096
 
 
+class Cells(NamedTuple):
+    """Shapes cut into grid cells ``size`` degrees wide: rows of (ix, iy, name, solid, edges)."""
+
+    rows: DataFrame
+    size: float
+
+
 def grid_size(shapes: DataFrame, shape: str = "shape", cells_per_side: int = CELLS_PER_SIDE) -> float:
     """A cell width at which no shape covers more than about ``cells_per_side`` squared cells."""
     xs = F.transform(G.edges(F.col(shape)), lambda e: e["x1"])
@@ -36,8 +44,10 @@ def shape_cells(shapes: DataFrame, name: str, size: float, shape: str = "shape")
         F.col("_edges"), lambda e: F.array(e[f"{axis}1"], e[f"{axis}2"])))) / size)
     high = lambda axis: F.floor(F.array_max(F.flatten(F.transform(
         F.col("_edges"), lambda e: F.array(e[f"{axis}1"], e[f"{axis}2"])))) / size)
+    # A handful of shapes sits in one small file; cutting them up is worth a task each.
+    spread = int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = (
-        shapes.select(F.col(name), G.edges(F.col(shape)).alias("_edges"))
+        shapes.repartition(spread, name).select(F.col(name), G.edges(F.col(shape)).alias("_edges"))
         .where(F.size("_edges") > 0)
         .withColumn("ix", F.explode(F.sequence(low("x"), high("x"))))
         .withColumn("iy", F.explode(F.sequence(low("y"), high("y"))))
@@ -58,36 +68,38 @@ def shape_cells(shapes: DataFrame, name: str, size: float, shape: str = "shape")
         .withColumn("_centre", G.inside(F.col("_near"), (x0 + x1) / 2, (y0 + y1) / 2))
         .where(F.col("_touched") | F.col("_centre"))
         .select(
-            "ix", "iy", name,
+            # Two ints pack into one long join key.
+            F.col("ix").cast("int").alias("ix"), F.col("iy").cast("int").alias("iy"), name,
             (~F.col("_touched")).alias("solid"),
             F.when(F.col("_touched"), F.col("_near")).otherwise(F.filter("_near", lambda e: F.lit(False))).alias("edges"),
         )
     )
 
 
-def stored_cells(shapes: DataFrame, name: str, shape: str = "shape", size: float | None = None):
-    """Cells written out, with their width. Stored, their real size decides whether the joins below broadcast them."""
+def stored_cells(shapes: DataFrame, name: str, shape: str = "shape", size: float | None = None) -> Cells:
+    """Cells written out, once per set of shapes. Their real size then decides whether the joins broadcast them."""
     size = size or grid_size(shapes, shape)
-    return settle(shape_cells(shapes, name, size, shape), "cells"), size
+    return Cells(settle(shape_cells(shapes, name, size, shape), "cells"), size)
 
 
 def _cell(value: Column, size: float) -> Column:
-    return F.when(value.isNotNull() & ~F.isnan(value), F.floor(value / size))
+    return F.when(value.isNotNull() & ~F.isnan(value), F.floor(value / size).cast("int"))
 
 
 def locate(
-    points: DataFrame, cells: DataFrame, size: float, name: str, lon: str, lat: str, out: str, spread_by: str
+    points: DataFrame, cells: Cells, name: str, lon: str, lat: str, out: str, spread_by: str
 ) -> DataFrame:
     """Left join: the name of the shape around each point, null outside all. Overlapping shapes repeat the row.
 
     A point falls in one cell, so the join is on equal cells and the exact test runs on the matches alone. Points
     without coordinates get scattered cell numbers that match nothing; left null they would all meet in one task.
     """
+    size = cells.size
     marked = points.withColumn("_iy", _cell(F.col(lat), size)).withColumn(
         "_ix", F.when(F.col("_iy").isNotNull(), _cell(F.col(lon), size)))
     marked = marked.withColumn("_iy", F.when(F.col("_ix").isNotNull(), F.col("_iy"))).withColumn(
-        "_ix", F.coalesce("_ix", F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD))))
-    c = cells.select(*[F.col(k).alias(f"_c_{k}") for k in ("ix", "iy", name, "solid", "edges")])
+        "_ix", F.coalesce("_ix", F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD)).cast("int")))
+    c = cells.rows.select(*[F.col(k).alias(f"_c_{k}") for k in ("ix", "iy", name, "solid", "edges")])
     hit = (
         (F.col("_ix") == F.col("_c_ix"))
         & (F.col("_iy") == F.col("_c_iy"))

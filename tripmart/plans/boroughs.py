@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions import geometry as G
 from tripmart.operators.keys import new_rows
-from tripmart.operators.spatial import locate, stored_cells
+from tripmart.operators.spatial import Cells, locate, stored_cells
 
 FROM_SHAPE, FROM_DETAILS = "features", "tripdetails"
 LOCATED_COLUMNS = (
@@ -28,13 +28,16 @@ def load_boundaries(collections: DataFrame) -> DataFrame:
     return shaped.select("borough", F.when(F.col("shape").isNotNull(), text).alias("geometry_json"), "shape")
 
 
-def with_boroughs(trips: DataFrame, boundaries: DataFrame, cell_size: float | None = None) -> DataFrame:
+def borough_cells(boundaries: DataFrame, cell_size: float | None = None) -> Cells:
+    """Grid cells of the boundaries, prepared once and used by every load."""
+    return stored_cells(boundaries, "borough", size=cell_size)
+
+
+def with_boroughs(trips: DataFrame, cells: Cells) -> DataFrame:
     """Pickup and dropoff borough by position, null outside every boundary."""
-    cells, size = stored_cells(boundaries, "borough", size=cell_size)
-    picked = locate(
-        trips, cells, size, "borough", "pickup_longitude", "pickup_latitude", "pickup_borough", "trip_id")
-    return locate(
-        picked, cells, size, "borough", "dropoff_longitude", "dropoff_latitude", "dropoff_borough", "trip_id")
+    for end in ("pickup", "dropoff"):
+        trips = locate(trips, cells, "borough", f"{end}_longitude", f"{end}_latitude", f"{end}_borough", "trip_id")
+    return trips
 
 
 def fill_boroughs(located: DataFrame, details: DataFrame) -> DataFrame:
@@ -58,13 +61,12 @@ def fill_boroughs(located: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def locate_trips(
-    trips: DataFrame, boundaries: DataFrame, details: DataFrame, current: DataFrame | None = None,
-    cell_size: float | None = None,
+    trips: DataFrame, cells: Cells, details: DataFrame, current: DataFrame | None = None
 ) -> DataFrame:
     """Trips with weather and distance to trips with boroughs."""
     if current is not None:
         trips = new_rows(trips, current, ["trip_id"])
-    shaped = with_boroughs(trips, boundaries, cell_size).withColumns({
+    shaped = with_boroughs(trips, cells).withColumns({
         "temperature": F.round("avg_temp", 2), "precipitation": F.round("precipitation", 2),
         "humidity": F.round("avg_humidity", 2), "wind_speed": F.round("avg_wind_speed", 2),
         "snow_fall": F.round("avg_snow_fall", 2),
