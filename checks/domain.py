@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.operators.lookup import settle
 from tripmart.operators.spatial import Cells
+from tripmart.plans import weather
 from tripmart.plans.boroughs import borough_cells
 
 MACROS = {
@@ -181,30 +182,40 @@ def duck(sql: str, more: dict[str, str] | None = None) -> str:
     return "with " + ",\n".join(ctes) + "\n" + body
 
 
+_STORED: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make):
+    """Plans and paths made once per session and folder; the rows are read anew by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = make()
+    return _STORED[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _once(spark, sf_dir, f"table {name}", lambda: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A Spark view of the trip domain."""
-    sql = _spell(VIEWS[name], 0)
-    used = {n: view(spark, sf_dir, n) if n in VIEWS else table(spark, sf_dir, n) for n in set(_NAME.findall(sql))}
-    return spark.sql(sql, **used)
-
+    def make():
+        sql = _spell(VIEWS[name], 0)
+        used = {n: view(spark, sf_dir, n) if n in VIEWS else table(spark, sf_dir, n) for n in set(_NAME.findall(sql))}
+        return spark.sql(sql, **used)
 
-_STORED: dict[tuple, object] = {}
+    return _once(spark, sf_dir, f"view {name}", make)
 
 
 def stored_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A small view written out once per session, as the lake keeps its weather table; joins then see its real size."""
-    return _once(spark, sf_dir, name, lambda: settle(view(spark, sf_dir, name), name))
+    return _once(spark, sf_dir, f"stored {name}", lambda: settle(view(spark, sf_dir, name), name))
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
-        _STORED[key] = make()
-    return _STORED[key]
+def best_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weather table after its refill, stored once per session as the lake keeps it."""
+    return _once(spark, sf_dir, "best weather", lambda: settle(weather.best_weather(
+        view(spark, sf_dir, "weather"), view(spark, sf_dir, "weather_backup")), "weather"))
 
 
 def cells(spark: SparkSession, sf_dir: str) -> Cells:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks.domain import cells, stored_view, view
+from checks.domain import best_weather, cells, view
 from tripmart.plans import boroughs, customers, fares, weather
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
     """Trips with weather and distance."""
-    return weather.attach_distance(weather.attach_weather(
-        view(spark, sf, "trips"), stored_view(spark, sf, "weather"), stored_view(spark, sf, "weather_backup")))
+    return weather.attach_distance(weather.attach_weather(view(spark, sf, "trips"), best_weather(spark, sf)))
 
 
 def located(spark: SparkSession, sf: str) -> DataFrame:

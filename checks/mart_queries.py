@@ -158,7 +158,9 @@ def weather_refilled_by_union(spark, sf):
 
 @query("J3 P5 B5 B6 X13 F1", "select * from {enriched}")
 def enriched_trips(spark, sf):
-    return inputs.enriched(spark, sf)
+    """The whole job: merge the weather sources, join, measure."""
+    return weather.attach_distance(weather.attach_weather(
+        view(spark, sf, "trips"), view(spark, sf, "weather"), view(spark, sf, "weather_backup")))
 
 
 @query("X13 F1", f"""

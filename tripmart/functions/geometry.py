@@ -56,39 +56,39 @@ def repair(shape: Column) -> Column:
     return F.transform(shape, lambda polygon: F.transform(usable(polygon), fix))
 
 
-def edges(shape: Column) -> Column:
-    """Every edge of every ring as ``struct<x1, y1, x2, y2>``."""
-
-    def ring_edges(ring: Column) -> Column:
-        return _pairs(ring, lambda a, b: F.struct(
-            a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")))
+def edges_sql(shape: str) -> str:
+    """SQL for every edge of every ring as ``struct<x1, y1, x2, y2>``; ``shape`` is a column name or SQL."""
+    return (
+        f"flatten(transform(flatten({shape}), r -> zip_with("
+        "slice(r, 1, greatest(size(r) - 1, 0)), slice(r, 2, greatest(size(r) - 1, 0)), "
+        "(a, b) -> named_struct('x1', a[0], 'y1', a[1], 'x2', b[0], 'y2', b[1]))))"
+    )
 
-    return F.flatten(F.transform(F.flatten(shape), ring_edges))
 
+def edges(shape: str) -> Column:
+    return F.expr(edges_sql(shape))
 
-def _side(e: Column, x: Column, y: Column) -> Column:
-    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
 
+def inside_sql(edge_list: str, x: str, y: str) -> str:
+    """SQL for the even-odd test over all edges, so holes and several parts need no special case.
 
-def _on_edge(e: Column, x: Column, y: Column) -> Column:
-    reach = F.lit(EDGE_TOLERANCE) * (F.abs(e["x2"] - e["x1"]) + F.abs(e["y2"] - e["y1"]))
-    return (
-        (F.abs(_side(e, x, y)) <= reach)
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    The sign of ``side`` tells on which side of an edge the point lies; without a division a flat edge is safe in
+    ANSI mode. A point on an edge is outside.
+    """
+    side = f"((e.x2 - e.x1) * ({y} - e.y1) - ({x} - e.x1) * (e.y2 - e.y1))"
+    crosses = f"(e.y1 > {y}) != (e.y2 > {y}) and (e.y2 > e.y1) = ({side} > 0)"
+    on_edge = (
+        f"abs({side}) <= {EDGE_TOLERANCE!r}D * (abs(e.x2 - e.x1) + abs(e.y2 - e.y1))"
+        f" and {x} between least(e.x1, e.x2) and greatest(e.x1, e.x2)"
+        f" and {y} between least(e.y1, e.y2) and greatest(e.y1, e.y2)"
     )
+    return f"(size(filter({edge_list}, e -> {crosses})) % 2 = 1 and not exists({edge_list}, e -> {on_edge}))"
 
 
-def _crosses(e: Column, x: Column, y: Column) -> Column:
-    """Whether a ray to the right of the point meets the edge. Without division, so a flat edge is safe in ANSI mode."""
-    return ((e["y1"] > y) != (e["y2"] > y)) & ((e["y2"] > e["y1"]) == (_side(e, x, y) > 0))
-
-
-def inside(edge_list: Column, x: Column, y: Column) -> Column:
-    """Even-odd test over all edges, so holes and several parts need no special case; the boundary is outside."""
-    hits = F.size(F.filter(edge_list, lambda e: _crosses(e, x, y)))
-    return (hits % 2 == 1) & ~F.exists(edge_list, lambda e: _on_edge(e, x, y))
+def inside(edge_list: str, x: str, y: str) -> Column:
+    return F.expr(inside_sql(edge_list, x, y))
 
 
-def contains(shape: Column, x: Column, y: Column) -> Column:
-    return inside(edges(shape), x, y)
+def contains(shape: str, x: str, y: str) -> Column:
+    """Whether the shape in one column holds the point in two others."""
+    return F.expr(inside_sql(edges_sql(shape), x, y))

@@ -26,52 +26,53 @@ class Cells(NamedTuple):
 
 def grid_size(shapes: DataFrame, shape: str = "shape", cells_per_side: int = CELLS_PER_SIDE) -> float:
     """A cell width at which no shape covers more than about ``cells_per_side`` squared cells."""
-    xs = F.transform(G.edges(F.col(shape)), lambda e: e["x1"])
-    ys = F.transform(G.edges(F.col(shape)), lambda e: e["y1"])
-    widest = shapes.agg(F.max(F.greatest(
-        F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys)
-    ))).first()[0]
+    low, high = _extent("_edges")
+    span = F.greatest(F.expr(f"{high('x')} - {low('x')}"), F.expr(f"{high('y')} - {low('y')}"))
+    widest = shapes.select(G.edges(shape).alias("_edges")).agg(F.max(span)).first()[0]
     return float(widest) / cells_per_side if widest else 1.0
 
 
+def _extent(edges: str):
+    """SQL of the least and greatest coordinate of a list of edges."""
+    low = lambda axis: f"array_min(transform({edges}, e -> least(e.{axis}1, e.{axis}2)))"
+    high = lambda axis: f"array_max(transform({edges}, e -> greatest(e.{axis}1, e.{axis}2)))"
+    return low, high
+
+
 def shape_cells(shapes: DataFrame, name: str, size: float, shape: str = "shape") -> DataFrame:
     """Cut shapes into grid cells: ``(ix, iy, name, solid, edges)``.
 
     A cell no edge touches lies wholly inside (``solid``, no edges kept) or wholly outside (dropped). Any other
     cell keeps just the edges a rightward ray from one of its points can meet.
     """
-    low = lambda axis: F.floor(F.array_min(F.flatten(F.transform(
-        F.col("_edges"), lambda e: F.array(e[f"{axis}1"], e[f"{axis}2"])))) / size)
-    high = lambda axis: F.floor(F.array_max(F.flatten(F.transform(
-        F.col("_edges"), lambda e: F.array(e[f"{axis}1"], e[f"{axis}2"])))) / size)
+    low, high = _extent("_edges")
+    width = f"{size!r}D"
+    cell_range = lambda axis: F.expr(
+        f"sequence(floor({low(axis)} / {width}), floor({high(axis)} / {width}))")
     # A handful of shapes sits in one small file; cutting them up is worth a task each.
     spread = int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = (
-        shapes.repartition(spread, name).select(F.col(name), G.edges(F.col(shape)).alias("_edges"))
+        shapes.repartition(spread, name).select(name, G.edges(shape).alias("_edges"))
         .where(F.size("_edges") > 0)
-        .withColumn("ix", F.explode(F.sequence(low("x"), high("x"))))
-        .withColumn("iy", F.explode(F.sequence(low("y"), high("y"))))
+        .withColumn("ix", F.explode(cell_range("x")))
+        .withColumn("iy", F.explode(cell_range("y")))
     )
-    x0, x1 = F.col("ix") * size, (F.col("ix") + 1) * size
-    y0, y1 = F.col("iy") * size, (F.col("iy") + 1) * size
     # A hair of slack keeps rounding of the cell border from losing an edge.
-    slack = size * 1e-9
-    in_reach = F.filter("_edges", lambda e: (
-        (F.least(e["y1"], e["y2"]) <= y1 + slack)
-        & (F.greatest(e["y1"], e["y2"]) >= y0 - slack)
-        & (F.greatest(e["x1"], e["x2"]) >= x0 - slack)
-    ))
-    touched = F.exists("_near", lambda e: F.least(e["x1"], e["x2"]) <= x1 + slack)
+    slack = f"{size * 1e-9!r}D"
+    near = (
+        f"filter(_edges, e -> least(e.y1, e.y2) <= (iy + 1) * {width} + {slack}"
+        f" and greatest(e.y1, e.y2) >= iy * {width} - {slack} and greatest(e.x1, e.x2) >= ix * {width} - {slack})"
+    )
+    touched = f"exists(_near, e -> least(e.x1, e.x2) <= (ix + 1) * {width} + {slack})"
     return (
-        cells.withColumn("_near", in_reach)
-        .withColumn("_touched", touched)
-        .withColumn("_centre", G.inside(F.col("_near"), (x0 + x1) / 2, (y0 + y1) / 2))
-        .where(F.col("_touched") | F.col("_centre"))
+        cells.withColumn("_near", F.expr(near))
+        .withColumn("_touched", F.expr(touched))
+        .where(F.col("_touched") | G.inside("_near", f"((ix + 0.5D) * {width})", f"((iy + 0.5D) * {width})"))
         .select(
             # Two ints pack into one long join key.
             F.col("ix").cast("int").alias("ix"), F.col("iy").cast("int").alias("iy"), name,
             (~F.col("_touched")).alias("solid"),
-            F.when(F.col("_touched"), F.col("_near")).otherwise(F.filter("_near", lambda e: F.lit(False))).alias("edges"),
+            F.expr("if(_touched, _near, slice(_near, 1, 0))").alias("edges"),
         )
     )
 
@@ -94,17 +95,14 @@ def locate(
     A point falls in one cell, so the join is on equal cells and the exact test runs on the matches alone. Points
     without coordinates get scattered cell numbers that match nothing; left null they would all meet in one task.
     """
-    size = cells.size
-    marked = points.withColumn("_iy", _cell(F.col(lat), size)).withColumn(
-        "_ix", F.when(F.col("_iy").isNotNull(), _cell(F.col(lon), size)))
-    marked = marked.withColumn("_iy", F.when(F.col("_ix").isNotNull(), F.col("_iy"))).withColumn(
-        "_ix", F.coalesce("_ix", F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD)).cast("int")))
+    cell = lambda c: _cell(F.col(c), cells.size)
+    known = cell(lon).isNotNull() & cell(lat).isNotNull()
+    scattered = F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD)).cast("int")
+    marked = points.withColumns({
+        "_ix": F.when(known, cell(lon)).otherwise(scattered), "_iy": F.when(known, cell(lat)),
+    })
     c = cells.rows.select(*[F.col(k).alias(f"_c_{k}") for k in ("ix", "iy", name, "solid", "edges")])
-    hit = (
-        (F.col("_ix") == F.col("_c_ix"))
-        & (F.col("_iy") == F.col("_c_iy"))
-        & (F.col("_c_solid") | G.inside(F.col("_c_edges"), F.col(lon), F.col(lat)))
-    )
+    hit = F.expr(f"_ix = _c_ix and _iy = _c_iy and (_c_solid or {G.inside_sql('_c_edges', lon, lat)})")
     return marked.join(c, hit, "left").select(*points.columns, F.col(f"_c_{name}").alias(out))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.sphere import haversine_km
+from tripmart.operators.lookup import settle
 from tripmart.operators.readings import MIN_READINGS, reduce_readings
 
 METRICS = (
@@ -51,8 +52,12 @@ def best_weather(weather: DataFrame, backup: DataFrame) -> DataFrame:
 
 
 def attach_weather(trips: DataFrame, weather: DataFrame, backup: DataFrame | None = None) -> DataFrame:
-    """Left join daily weather on date. The two small tables are merged first, so trips are joined once."""
-    table = weather.select("date", *METRICS) if backup is None else best_weather(weather, backup)
+    """Left join daily weather on date.
+
+    Two weather tables are merged and stored first. Trips are then joined once, and to a table whose size Spark knows:
+    it goes to the trips, and no busy date has to be gathered in one task.
+    """
+    table = weather.select("date", *METRICS) if backup is None else settle(best_weather(weather, backup), "weather")
     return trips.drop(*METRICS).join(table, "date", "left")
 
 
