@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import radians
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import geometry as G
-from tripmart.functions.sphere import EARTH_RADIUS_KM
 from tripmart.operators.lookup import settle
 
 # Cells along the longer side of the largest shape.
 CELLS_PER_SIDE = 16
 NULL_SPREAD = 4096
+# Relative difference of squared distances below which two centres are equally near.
+TIE = 1e-9
 
 
 class Cells(NamedTuple):
@@ -106,26 +108,32 @@ def locate(
     return marked.join(c, hit, "left").select(*points.columns, F.col(f"_c_{name}").alias(out))
 
 
-def nearest_centre(lat: Column, lon: Column, centres: Sequence[tuple[str, float, float]]) -> Column:
-    """Name of the nearest (name, latitude, longitude); ties within a millimetre go to the first name.
+def with_nearest(
+    points: DataFrame, lat: str, lon: str, out: str, centres: Sequence[tuple[str, float, float]]
+) -> DataFrame:
+    """Add the name of the nearest (name, latitude, longitude); distances equal to nine digits go to the first name.
 
-    For a fixed list such as states or cities: the list is a literal, so nothing is joined and no pairs are made.
+    For a fixed list such as states or cities: it is a literal, so nothing is joined and no pairs are made. The
+    straight line through the globe orders points as the great circle does and needs no trigonometry per centre.
     """
     if not centres:
         raise ValueError("no centres given")
-    points = F.array(*[
-        F.struct(
-            F.lit(n).alias("name"),
-            F.radians(F.lit(float(la))).alias("lat"), F.radians(F.lit(float(lo))).alias("lon"),
-        ) for n, la, lo in centres
-    ])
-    phi, lam = F.radians(lat), F.radians(lon)
-
-    def measured(c: Column) -> Column:
-        s, t = F.sin((c["lat"] - phi) / 2), F.sin((c["lon"] - lam) / 2)
-        a = F.least(s * s + F.cos(phi) * F.cos(c["lat"]) * t * t, F.lit(1.0))
-        km = F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
-        return F.struct(F.floor(km * 1e6 + 0.5).alias("mm"), c["name"].alias("name"))
-
-    best = F.array_min(F.transform(points, measured))
-    return F.when(lat.isNotNull() & lon.isNotNull(), best["name"])
+    named = sorted(centres)
+    spot = lambda la, lo: F.struct(
+        (F.cos(la) * F.cos(lo)).alias("x"), (F.cos(la) * F.sin(lo)).alias("y"), F.sin(la).alias("z"))
+    places = F.array(*[spot(*(F.lit(radians(v)) for v in c[1:])) for c in named])
+    square = lambda v: v * v
+    p = F.col("_p")
+    # The list stays inside the expression: as a column it would be copied into every row.
+    chord = F.transform(places, lambda c: (
+        square(p["x"] - c["x"]) + square(p["y"] - c["y"]) + square(p["z"] - c["z"])))
+    nearest = f"array_position(transform(_d, d -> d <= _best * {1 + TIE}D), true)"
+    names = F.array(*[F.lit(c[0]) for c in named])
+    return (
+        points.withColumn("_p", spot(F.radians(lat), F.radians(lon)))
+        .withColumn("_d", chord)
+        .withColumn("_best", F.expr("array_min(_d)"))
+        .select(*points.columns, F.when(
+            # Used here and in ``nearest``, so Spark keeps it as a column rather than redo it for each centre.
+            F.col("_best").isNotNull(), F.get(names, F.expr(nearest).cast("int") - 1)).alias(out))
+    )
