@@ -111,7 +111,7 @@ def test_time_factor(one):
         at(2015, 1, 2, 17, 59), at(2015, 1, 2, 18, 0), at(2015, 1, 4, 22, 59), at(2015, 1, 4, 23, 0),
         at(2015, 1, 5, 4, 59), at(2015, 1, 5, 5, 0), at(2015, 1, 5, 6, 59), at(2015, 1, 5, 7, 0)]
     assert one(values, "timestamp_ntz", pricing.time_factor) == pytest.approx(
-        [1.15, 1.15 * 1.15, 1.15 * 1.2, 1.2, 1.2, 1.0, 1.0, 1.15][:1] + [1.15 * 1.15, 1.15 * 1.2, 1.2, 1.2, 1.0, 1.0, 1.15])
+        [1.15, 1.15 * 1.15, 1.15 * 1.2, 1.2, 1.2, 1.0, 1.0, 1.15])
 
 
 def test_inflation_steps(one):
