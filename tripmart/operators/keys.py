@@ -70,7 +70,7 @@ def ordered_ids(df: DataFrame, key: str, name: str = "row_id", start: int = 0, b
     """
     shares = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.percentile_approx(key, shares, buckets * 10).alias("cuts")).first()["cuts"] or []
-    splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    splits = [float("-inf"), *(sorted({float(c) for c in cuts}) or [0.0]), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol=key, outputCol="_range", handleInvalid="keep").transform(df)
     return _number(ranged, F.col("_range").cast("bigint"), [key], name, start).select(*df.columns, name)
 
