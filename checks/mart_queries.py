@@ -272,7 +272,7 @@ def route_baseline(spark, sf):
            pickup_borough, dropoff_borough
     from {impact_rows}""")
 def weather_impact(spark, sf):
-    return fares.weather_impact(inputs.fare_table(spark, sf), view(spark, sf, "trip_details"))
+    return fares.weather_impact(inputs.stored_fares(spark, sf), view(spark, sf, "trip_details"))
 
 
 # Time series ---------------------------------------------------------------------------------------------------
@@ -416,6 +416,6 @@ def ride_preferences(spark, sf):
     left join {usual_pickup} up using (customer_id) left join {usual_dropoff} ud using (customer_id)
     left join {ride_averages} a using (customer_id)""")
 def customer_preference(spark, sf):
+    fare = inputs.stored_fares(spark, sf)
     return customers.customer_preference(
-        inputs.profile(spark, sf), inputs.fare_table(spark, sf), view(spark, sf, "trip_details"),
-        view(spark, sf, "trips"))
+        inputs.profile(spark, sf, fare), fare, view(spark, sf, "trip_details"), view(spark, sf, "trips"))

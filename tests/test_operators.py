@@ -32,7 +32,7 @@ def test_new_rows_both_ways(spark, rows):
 @pytest.mark.parametrize("buckets", [1, 7, 64])
 def test_dense_ids(spark, buckets):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k")).repartition(5)
-    ordered = keys.ordered_ids(df, "k", buckets=buckets)
+    ordered = keys.ordered_ids(df, "k", ranges=buckets)
     assert all(r["k"] == r["row_id"] for r in ordered.collect())
     hashed = keys.hashed_ids(df, ["k"], start=10, buckets=buckets)
     assert sorted(r["row_id"] for r in hashed.collect()) == list(range(10, 1010))

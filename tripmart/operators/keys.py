@@ -8,8 +8,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets of a row numbering; their counts are the only thing summed in one task.
-BUCKETS = 1024
+# Buckets of a row numbering: each is sorted in one task, and only their counts ever meet in one. A fixed number of
+# hash buckets stays below a gigabyte or two each at a hundred terabytes; key ranges are sized by the row count.
+BUCKETS = 1 << 16
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 1 << 14
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -42,7 +45,7 @@ def _number(df: DataFrame, bucket: Column, order: Sequence[str], name: str, star
     """Rows before the bucket plus the place within it. Both parts depend on the data alone, so reruns agree."""
     bucketed = df.withColumn("_bucket", bucket)
     counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # At most BUCKETS rows reach this window.
+    # One row per bucket reaches this window.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*[F.col(c) for c in order]))
@@ -63,14 +66,16 @@ def hashed_ids(
     return _number(df, bucket, keys, name, start)
 
 
-def ordered_ids(df: DataFrame, key: str, name: str = "row_id", start: int = 0, buckets: int = BUCKETS) -> DataFrame:
+def ordered_ids(df: DataFrame, key: str, name: str = "row_id", start: int = 0, ranges: int | None = None) -> DataFrame:
     """Dense numbers in the order of one unique numeric key.
 
-    Buckets are key ranges cut at approximate quantiles, so they stay even for unevenly spread keys.
+    Rows go to key ranges cut at approximate quantiles, so ranges stay even for unevenly spread keys.
     """
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.percentile_approx(key, shares, buckets * 10).alias("cuts")).first()["cuts"] or []
-    splits = [float("-inf"), *(sorted({float(c) for c in cuts}) or [0.0]), float("inf")]
+    if ranges is None:
+        ranges = min(max(df.select(key).count() // ROWS_PER_RANGE, 1), MAX_RANGES)
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = df.approxQuantile(key, shares, 0.1 / ranges) if shares else []
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol=key, outputCol="_range", handleInvalid="keep").transform(df)
     return _number(ranged, F.col("_range").cast("bigint"), [key], name, start).select(*df.columns, name)
 

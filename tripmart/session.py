@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     # Recording a call site for every column costs more than building the plan.
@@ -19,9 +20,22 @@ SETTINGS = {
 }
 
 
-def get_session(app_name: str = "tripmart", master: str | None = None, **extra: str) -> SparkSession:
-    """Build or reuse a session; ``extra`` keys use ``__`` for ``.``."""
+# Shuffle data per task; adaptive execution merges what turns out smaller.
+BYTES_PER_SHUFFLE_TASK = 128 << 20
+
+
+def shuffle_partitions(input_bytes: int, least: int = 200) -> int:
+    """Shuffle tasks for a load of this size at 128 MiB a task."""
+    return max(least, -(-input_bytes // BYTES_PER_SHUFFLE_TASK))
+
+
+def get_session(
+    app_name: str = "tripmart", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """Build or reuse a session sized for ``input_bytes``; ``extra`` keys use ``__`` for ``.``."""
     builder = SparkSession.builder.appName(app_name)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
