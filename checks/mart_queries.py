@@ -296,12 +296,6 @@ for _table, _covers in {
     _register_calendar(_table, _covers)
 
 
-_SETS = {
-    "pickup_hour": "pickup_hour", "pickup_day": "pickup_day", "pickup_month": "pickup_month",
-    "pickup_period": "pickup_period", "pickup_week": "pickup_week", "pickup_year": "pickup_year",
-}
-
-
 @query("A10", """
     select case when grouping(pickup_hour) = 0 then 'pickup_hour' when grouping(pickup_day) = 0 then 'pickup_day'
                 when grouping(pickup_month) = 0 then 'pickup_month' when grouping(pickup_period) = 0 then 'pickup_period'

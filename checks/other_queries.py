@@ -11,7 +11,6 @@ from checks.registry import query
 from tripmart.functions import calendar as C
 from tripmart.functions.numbers import steady_round
 from tripmart.functions.sphere import great_circle_km
-from tripmart.operators.keys import keep_first
 from tripmart.plans import generate, model, pricing
 from tripmart.session import new_path
 from tripmart.streaming import ingest
@@ -19,7 +18,7 @@ from tripmart.streaming import ingest
 # Pricing --------------------------------------------------------------------------------------------------------
 
 _KM = haversine_sql("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")
-# Every third trip is overcharged; fuel and factors follow from the fare.
+# Trips before eight are overcharged; fuel and factors follow from the fare.
 _PRICED_INPUT = f"""
     select trip_id, date, pickup_datetime, coalesce(passenger_count, 1) as passenger_count,
            {_KM} as distance_km, epoch(dropoff_datetime - pickup_datetime) / 60.0 as trip_duration_min,

@@ -19,8 +19,7 @@ MEASURES = ("fare_amount", "trip_duration_min", "fare_per_km", "fare_per_min")
 CUBE_KEYS = ("pickup_year", "pickup_hour", "pickup_day", "pickup_month", "pickup_period", "pickup_week")
 
 # Fixed values. Per table: label in the mart, grouping column next to the year (none for yearly), the names of the
-# averages of fare, duration, fare per km and fare per minute, the name of the trip count, and whether a missing
-# group is labelled.
+# averages of fare, duration, fare per km and fare per minute, and the name of the trip count.
 TABLES = {
     "weekday_fares": (
         "weekday", "pickup_day",
