@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from tripmart.llm import pii
+from tripmart.llm import decontaminate, pii
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op9_benchmark_passages": decontaminate.op9_benchmark_passages,
+}
+ORACLES = {
+    "op9_benchmark_passages": decontaminate.ORACLE,
 }
-ORACLES: dict[str, str] = {}
