@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tripmart.llm import decontaminate, pii
+from tripmart.llm import decontaminate, pii, simhash
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op7_simhash": simhash.op7_simhash,
     "op9_benchmark_passages": decontaminate.op9_benchmark_passages,
 }
 ORACLES = {
+    "op7_simhash": simhash.op7_simhash,
     "op9_benchmark_passages": decontaminate.ORACLE,
 }
