@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from tripmart.llm import decontaminate, pii, simhash
+from tripmart.llm import decontaminate, licenses, packing, pii, simhash
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op4_packing": packing.op4_packing,
     "op7_simhash": simhash.op7_simhash,
     "op9_benchmark_passages": decontaminate.op9_benchmark_passages,
+    "op10_licenses": licenses.op10_licenses,
 }
 ORACLES = {
+    "op4_packing": packing.op4_packing,
     "op7_simhash": simhash.op7_simhash,
     "op9_benchmark_passages": decontaminate.ORACLE,
 }
