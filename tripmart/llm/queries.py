@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tripmart.llm import decontaminate, licenses, packing, pii, simhash, warc
+from tripmart.llm import decontaminate, licenses, packing, pii, quality, simhash, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op4_packing": packing.op4_packing,
     "op5_warc": warc.op5_warc,
     "op7_simhash": simhash.op7_simhash,
+    "op8_quality": quality.op8_quality,
     "op9_benchmark_passages": decontaminate.op9_benchmark_passages,
     "op10_licenses": licenses.op10_licenses,
 }
