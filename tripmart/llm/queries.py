@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tripmart.llm import decontaminate, licenses, packing, pii, quality, simhash, warc
+from tripmart.llm import decontaminate, html_text, licenses, packing, pii, quality, simhash, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op4_packing": packing.op4_packing,
     "op5_warc": warc.op5_warc,
+    "op6_html_text": html_text.op6_html_text,
     "op7_simhash": simhash.op7_simhash,
     "op8_quality": quality.op8_quality,
     "op9_benchmark_passages": decontaminate.op9_benchmark_passages,
