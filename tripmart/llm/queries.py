@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripmart.llm import decontaminate, html_text, licenses, packing, pii, quality, simhash, warc
+from tripmart.llm import decontaminate, html_text, licenses, packing, pii, quality, simhash, substrings, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op3_substring_dedup": substrings.op3_substring_dedup,
     "op4_packing": packing.op4_packing,
     "op5_warc": warc.op5_warc,
     "op6_html_text": html_text.op6_html_text,
@@ -15,6 +16,7 @@ QUERIES = {
     "op10_licenses": licenses.op10_licenses,
 }
 ORACLES = {
+    "op3_substring_dedup": substrings.ORACLE,
     "op5_warc": warc.ORACLE,
     "op4_packing": packing.op4_packing,
     "op5_warc": warc.op5_warc,
