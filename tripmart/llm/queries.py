@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripmart.llm import decontaminate, html_text, licenses, packing, pii, quality, simhash, substrings, warc
+from tripmart.llm import decontaminate, html_text, language, licenses, packing, pii, quality, simhash, substrings, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_language_model": language.op2_language_model,
     "op3_substring_dedup": substrings.op3_substring_dedup,
     "op4_packing": packing.op4_packing,
     "op5_warc": warc.op5_warc,
