@@ -215,21 +215,32 @@ def frame_rows(rows: list[tuple]) -> pd.DataFrame:
 
 
 def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
-    """Every record of the bundles that the index names, read frame by frame; a response is checked against its digest."""
+    """Every record of the bundles that the index names, read frame by frame; a response is checked against its digest.
+
+    Only the names of bundles are dealt out; a task opens its bundles itself and holds one frame at a time.
+    """
     named = spark.read.parquet(f"{folder}/index").select("bundle").distinct()
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(f"{folder}/data")
-             .select("content", F.regexp_extract("path", "[^/]+$", 0).alias("bundle")).join(named, "bundle", "left_semi").select("content"))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = fs.FileSystem.from_uri(folder)
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for data in batch["content"]:
-                for start, packed, raw in seek_table(data):
-                    frame = unpack.decompress(data[start:start + packed], max_output_size=raw)
-                    yield frame_rows([_row(head, payload) for _, _, head, payload in parse_records(frame)])
-
-    return files.mapInPandas(run, RECORDS)
+            for bundle in batch["bundle"]:
+                with store.open_input_file(f"{base}/data/{bundle}") as file:
+                    for start, packed, raw in seek_table(read_tail(file)):
+                        file.seek(start)
+                        frame = unpack.decompress(file.read(packed), max_output_size=raw)
+                        yield frame_rows([_row(head, payload) for _, _, head, payload in parse_records(frame)])
+
+    return named.mapInPandas(run, RECORDS)
+
+
+def read_tail(file) -> bytes:
+    """The seek table of an open bundle: its last bytes say how long it is."""
+    file.seek(file.size() - 9)
+    count, _, _ = struct.unpack("<IBI", file.read(9))
+    file.seek(file.size() - 9 - 8 * count)
+    return file.read(9 + 8 * count)
 
 
 def fetch(folder: str, wanted: DataFrame) -> DataFrame:
