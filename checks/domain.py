@@ -73,6 +73,15 @@ VIEWS = {
         join {nation} p on p.n_nationkey = o_orderkey % 25
         join {nation} d on d.n_nationkey = (o_orderkey * 3 + 1) % 25
         where o_totalprice >= 40000""",
+    # Raw details: some lack a key, most trips have several.
+    "raw_details": """
+        select case when l_linenumber = 7 then null else l_orderkey end as trip_id,
+               case when l_partkey % 41 = 0 then null else l_suppkey end as driver_id,
+               case when l_partkey % 43 = 0 then null else l_partkey % 150 + 1 end as customer_id,
+               concat('place ', cast(l_partkey % 25 as varchar(4))) as pickup_location,
+               (l_orderkey * 31 % 500) / cast(100 as double) as tip_amount,
+               l_returnflag as payment_method
+        from {lineitem}""",
     "weather_all": """
         select d as date,
                (dn * 37 % 600) / cast(10 as double) - 12 as avg_temp,

@@ -26,12 +26,28 @@ def clean_trips(spark, sf):
 @query("J1 B1", """
     select * from {cleaned_trips} where trip_id not in (select trip_id from {current_trips})""")
 def clean_new_trips(spark, sf):
-    return clean.clean_trips(view(spark, sf, "raw_trips"), view(spark, sf, "current_trips"))
+    return clean.clean_trips(view(spark, sf, "raw_trips"), view(spark, sf, "current_trips"), small_batch=True)
 
 
-@query("P4 A24 B2", "select * from {trip_details}")
+@query("P4 A24 B2", """
+    select * exclude (n) from (
+        select *, row_number() over (partition by trip_id order by driver_id nulls first, customer_id nulls first,
+               pickup_location nulls first, tip_amount nulls first, payment_method nulls first) as n
+        from {raw_details} where trip_id is not null and driver_id is not null and customer_id is not null) a
+    where n = 1""")
 def clean_trip_details(spark, sf):
-    return clean.clean_trip_details(view(spark, sf, "trip_details"))
+    """Raw details lack keys here and there, and a trip has several."""
+    return clean.clean_trip_details(view(spark, sf, "raw_details"))
+
+
+@query("P4 J1 B2", """
+    select * exclude (n) from (
+        select *, row_number() over (partition by trip_id order by driver_id nulls first, customer_id nulls first,
+               pickup_location nulls first, tip_amount nulls first, payment_method nulls first) as n
+        from {raw_details} where trip_id is not null and driver_id is not null and customer_id is not null) a
+    where n = 1 and trip_id not in (select trip_id from {trip_details})""")
+def clean_new_details(spark, sf):
+    return clean.clean_trip_details(view(spark, sf, "raw_details"), view(spark, sf, "trip_details"), small_batch=True)
 
 
 @query("P4 A24 B3", "select * from {drivers}")
@@ -251,7 +267,48 @@ def fares_mart(spark, sf):
 @query("J1 B9", "select * from {fares} where trip_id not in (select trip_id from {current_trips})")
 def fares_of_new_trips(spark, sf):
     return fares.fares(
-        inputs.located(spark, sf), view(spark, sf, "trip_details"), view(spark, sf, "current_trips"))
+        inputs.located(spark, sf), view(spark, sf, "trip_details"), view(spark, sf, "current_trips"), small_batch=True)
+
+
+@query("J5 B8", """
+    select t.trip_id, b.borough from (
+        select trip_id, case when trip_id % 50 = 0 then 1e12 when trip_id % 50 = 1 then cast('Infinity' as double)
+               when trip_id % 50 = 2 then cast('NaN' as double) when trip_id % 50 = 3 then null else pickup_longitude end as lon,
+               pickup_latitude as lat from {trips}) t
+    left join {boroughs} b on lon > x0 and lon < x1 and lat > y0 and lat < y1""")
+def bad_coordinates(spark, sf):
+    """Positions that are no numbers or off the globe lie in no borough and end no load."""
+    k, lon = F.col("trip_id") % 50, F.col("pickup_longitude")
+    points = view(spark, sf, "trips").select("trip_id", F.when(k == 0, F.lit(1e12)).when(k == 1, F.lit(float("inf"))).when(
+        k == 2, F.lit(float("nan"))).when(k != 3, lon).alias("lon"), F.col("pickup_latitude").alias("lat"))
+    found = spatial.locate(points, cells(spark, sf), "borough", "lon", "lat", "borough", "trip_id")
+    return found.select("trip_id", "borough")
+
+
+@query("J5 B8", """
+    select t.trip_id, b.borough from {trips} t left join (
+        select borough, x0, x1, y0, y1 from {boroughs}
+        union all select 'everywhere', cast(-200 as double), cast(300 as double), cast(-100 as double), cast(400 as double)) b
+    on pickup_longitude > x0 and pickup_longitude < x1 and pickup_latitude > y0 and pickup_latitude < y1""")
+def mixed_shapes(spark, sf):
+    """One shape hundreds of times wider than the others; points inside both count for both."""
+    from checks.domain import box_shapes
+
+    wide = spark.range(1).selectExpr("'everywhere' as borough", "array(array(array(array(-200D, -100D), array(300D, -100D),"
+                                     " array(300D, 400D), array(-200D, 400D), array(-200D, -100D)))) as shape")
+    grid = spatial.stored_cells(box_shapes(spark, sf).unionByName(wide), "borough")
+    points = view(spark, sf, "trips").select("trip_id", "pickup_longitude", "pickup_latitude")
+    return spatial.locate(points, grid, "borough", "pickup_longitude", "pickup_latitude", "borough", "trip_id").select("trip_id", "borough")
+
+
+@query("A14 A16 X19", """
+    select customer_id, category, value, count(*) as count from (
+        select customer_id, 'pickup_day' as category, pickup_day as value from {rides}
+        union all select customer_id, 'payment_method', payment_method from {rides}) a
+    where value is not null group by all""")
+def category_counts(spark, sf):
+    """The profile's counters in the long form, which takes any number of values."""
+    return pivots.long_counts(inputs.rides(spark, sf), "customer_id", ["pickup_day", "payment_method"])
 
 
 @query("A11", "select * from {route_baseline}")
@@ -279,7 +336,7 @@ def weather_impact(spark, sf):
 
 
 def _rollup(spark, sf):
-    return time_series.calendar_rollup(time_series.hour_cube(inputs.fare_table(spark, sf), view(spark, sf, "trips")))
+    return time_series.calendar_rollup(time_series.hour_cube(inputs.fare_table(spark, sf)))
 
 
 def _register_calendar(table_name: str, covers: str):
@@ -320,7 +377,7 @@ _SERIES = " union all ".join(calendar_sql(t, wide=True) for t in time_series.TAB
 
 @query("A10 P8 P9 U2 B11", _SERIES)
 def time_series_mart(spark, sf):
-    return time_series.time_series(inputs.fare_table(spark, sf), view(spark, sf, "trips"))
+    return time_series.time_series(inputs.fare_table(spark, sf))
 
 
 @query("U2 B11", _SERIES)
@@ -375,8 +432,7 @@ def customer_profile(spark, sf):
     select distinct 'payment_method' as name, payment_method as value from {rides}
     union all select distinct 'pickup_day', pickup_day from {rides}""")
 def category_values(spark, sf):
-    found = pivots.distinct_values(inputs.rides(spark, sf), ["payment_method", "pickup_day"])
-    return spark.createDataFrame([(n, v) for n, vs in found.items() for v in vs], "name string, value string")
+    return pivots.category_values(inputs.rides(spark, sf), ["payment_method", "pickup_day"])
 
 
 @query("X19", "select customer_id, label as pickup_day, n as count from (" + " union all ".join(

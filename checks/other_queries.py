@@ -11,6 +11,7 @@ from checks.registry import query
 from tripmart.functions import calendar as C
 from tripmart.functions.numbers import steady_round
 from tripmart.functions.sphere import great_circle_km
+from tripmart.operators.upsert import commit_version, latest, versions
 from tripmart.plans import generate, model, pricing
 from tripmart.session import new_path
 from tripmart.streaming import ingest
@@ -26,7 +27,7 @@ _PRICED_INPUT = f"""
                 when fare_amount < 35 then 'hybrid' else 'ev' end as fuel_type,
            1.1 + fare_amount / 100 as km_factor, 1.05 + fare_amount / 200 as minute_factor,
            pickup_hour < 8 as overcharged
-    from {{trips}} where dropoff_longitude is not null"""
+    from {{trips}}"""
 _FACTORS = """
     (case when (dow = 6 and h >= 18) or dow = 7 or (dow = 1 and h < 23) then 1.15 else 1.0 end
      * case when h >= 22 or h < 5 then 1.2 else 1.0 end
@@ -39,10 +40,15 @@ def _factor_sql(label: str, factors: dict) -> str:
 
 
 _WEATHER_FACTORS = f"""
-    select date, cast({_factor_sql(bins_sql('precipitation', *RAIN, closed='left'), pricing.RAIN_FACTORS)}
-         * {_factor_sql(bins_sql('avg_snow_fall', *SNOW, closed='left'), pricing.SNOW_FACTORS)}
-         * {_factor_sql(bins_sql('avg_wind_speed', *WIND, closed='left'), pricing.WIND_FACTORS)}
-         * {_factor_sql(bins_sql('((avg_temp - 32) * 5 / 9)', *TEMP), pricing.TEMPERATURE_FACTORS)} as double) as wf
+    select date, cast({_factor_sql(bins_sql('precipitation', *RAIN, closed='left'),
+                                   {'No Rain': 1.00, 'Slight Rain': 1.05, 'Medium Rain': 1.10, 'Heavy Rain': 1.20})}
+         * {_factor_sql(bins_sql('avg_snow_fall', *SNOW, closed='left'),
+                        {'No Snow': 1.00, 'Slight Snow': 1.10, 'Medium Snow': 1.20, 'Heavy Snow': 1.30})}
+         * {_factor_sql(bins_sql('avg_wind_speed', *WIND, closed='left'),
+                        {'Calm': 1.00, 'Slight Wind': 1.03, 'Windy': 1.07, 'Heavy Wind': 1.12})}
+         * {_factor_sql(bins_sql('((avg_temp - 32) * 5 / 9)', *TEMP),
+                        {'Freezing': 1.15, 'Very Cold': 1.10, 'Cool': 1.05, 'Mild': 1.00, 'Warm': 1.03, 'Hot': 1.07, 'Extreme Heat': 1.12})}
+           as double) as wf
     from {{weather}}"""
 
 
@@ -71,18 +77,18 @@ _EXTRA = """case fuel_type when 'petrol' then 0.25 when 'diesel' then 0.2 when '
 
 
 @query("X27 X28 J9", f"""
-    select trip_id, SR2[[greatest(4.0, case when overcharged
+    select trip_id, case when distance_km is not null then SR2[[greatest(4.0, case when overcharged
         then {_INFLATION} * (2.5 + distance_km * cast({_RATES} as double) * case when distance_km > 30 then 1.0 else km_factor end
              + trip_duration_min * 0.35 * case when distance_km < 1.5 then 1.0 else minute_factor end + cast({_EXTRA} as double))
         else {_INFLATION} * (2.5 + distance_km * cast({_RATES} as double) + trip_duration_min * 0.35 + cast({_EXTRA} as double))
-             * cast({_FACTORS} as double) * wf + 0.5 * greatest(passenger_count - 2, 0) end)]] as fare
+             * cast({_FACTORS} as double) * wf + 0.5 * greatest(passenger_count - 2, 0) end)]] end as fare
     from (select p.*, hour(pickup_datetime) as h, DOW[[pickup_datetime]] as dow, year(pickup_datetime) as y,
                  month(pickup_datetime) as m, coalesce(w.wf, 1.0) as wf
           from ({_PRICED_INPUT}) p left join ({_WEATHER_FACTORS}) w on p.date = w.date) a""")
 def priced_trips(spark, sf):
     fare = F.col("fare_amount")
-    trips = view(spark, sf, "trips").where("dropoff_longitude is not null").select(
-        "trip_id", "pickup_datetime", F.coalesce("passenger_count", F.lit(1)).alias("passenger_count"),
+    trips = view(spark, sf, "trips").select(
+        "trip_id", "pickup_datetime", "passenger_count",
         great_circle_km(F.col("pickup_latitude"), F.col("pickup_longitude"),
                         F.col("dropoff_latitude"), F.col("dropoff_longitude")).alias("distance_km"),
         C.duration_minutes(F.col("pickup_datetime"), F.col("dropoff_datetime")).alias("trip_duration_min"),
@@ -250,5 +256,52 @@ def streamed_upserts(spark, sf):
     target, checkpoint = new_path(spark, "changes"), new_path(spark, "checkpoint")
     stream = ingest.open_drops(spark, f"{path}/*", schema, files_per_batch=1)
     ingest.ingest_changes(stream, target, checkpoint, ["trip_id"])
-    base = view(spark, sf, "trips").select(*schema.names)
-    return ingest.upserted(base, spark.read.parquet(target), ["trip_id"])
+    base = new_path(spark, "folded")
+    commit_version(view(spark, sf, "trips").select(*schema.names), base, 1)
+    for _ in range(2):  # the second fold finds nothing new
+        ingest.fold_changes(spark, base, target, ["trip_id"])
+    return latest(versions(spark, base))
+
+
+@query("B14 K5", """
+    select customer_id, trip_count + case when customer_id % 3 = 0 then 1 else 0 end as trip_count from (
+        select customer_id, count(*) as trip_count from {trip_details} where customer_id % 2 = 0 or customer_id % 3 = 0 group by customer_id) a""")
+def refreshed_profile(spark, sf):
+    """A first load publishes the even customers, a second one upserts every third."""
+    import datetime as dt
+
+    from tripmart.paths import Lake
+    from tripmart.plans.refresh import refresh_people
+
+    counts = view(spark, sf, "trip_details").groupBy("customer_id").agg(F.count("*").alias("trip_count"))
+    lake = Lake(new_path(spark, "lake"))
+    refresh_people(spark, lake, "customer_profile", counts.where("customer_id % 2 = 0"), dt.date(2024, 1, 1))
+    later = counts.where("customer_id % 3 = 0").withColumn("trip_count", F.col("trip_count") + 1)
+    return refresh_people(spark, lake, "customer_profile", later, dt.date(2024, 1, 2))
+
+
+@query("G1 B15", """
+    select table_name, new_rows from (
+        select 'customers' as table_name, count(*) as new_rows from nation union all select 'drivers', count(*) from region
+        union all select 'vehicles', count(*) from region union all select 'trip_details', count(*) from orders) a""")
+def new_period_report(spark, sf):
+    return _period(spark, sf).report
+
+
+@query("G4 U3 B15", """
+    select o_orderkey as trip_id, true as known_customer, true as known_driver, true as known_vehicle, true as two_places from orders""")
+def new_period_details(spark, sf):
+    """Each trip has one customer, driver and vehicle of the pools, newcomers among them, and two different places."""
+    period = _period(spark, sf)
+    of = lambda old, new, key: F.broadcast(view(spark, sf, old).select(key).unionByName(new.select(key)).withColumn(f"known_{key}", F.lit(True)))
+    return (period.details.join(of("customers", period.customers, "customer_id"), "customer_id", "left")
+            .join(of("drivers", period.drivers, "driver_id"), "driver_id", "left")
+            .select("trip_id", F.coalesce("known_customer_id", F.lit(False)).alias("known_customer"),
+                    F.coalesce("known_driver_id", F.lit(False)).alias("known_driver"), F.col("vehicle_no").startswith("V-").alias("known_vehicle"),
+                    (F.col("pickup_location") != F.col("dropoff_location")).alias("two_places")))
+
+
+def _period(spark, sf):
+    return generate.new_period(
+        view(spark, sf, "trips"), table(spark, sf, "nation").select("n_nationkey"), table(spark, sf, "region").select("r_regionkey"),
+        view(spark, sf, "customers"), view(spark, sf, "drivers"), _vehicles(spark, sf), _locations(spark, sf), C.AS_OF)

@@ -52,15 +52,28 @@ def date_spine(spark, sf):
     return _spine(spark, sf)
 
 
-@query("S10", f"""
-    select cast(floor(datediff('day', first, date) / cast(30 as double)) as int) as batch, min(date) as start_date,
-           max(date) as end_date, count(*) as n_dates, string_agg(cast(date as varchar), ',' order by date) as dates
-    from (select date, min(date) over () as first from ({_SPINE}) a) b group by 1""")
-def spine_batches(spark, sf):
-    batches = spine.spine_batches(_spine(spark, sf))
+def _batches_sql(days: str) -> str:
+    return f"""
+        select cast((place - 1) // 30 as int) as batch, min(date) as start_date, max(date) as end_date, count(*) as n_dates,
+               string_agg(cast(date as varchar), ',' order by date) as dates
+        from (select date, row_number() over (order by date) as place from (select distinct date from ({days}) a) b) c group by 1"""
+
+
+def _listed(batches):
     return batches.withColumn("dates", F.array_join(F.transform("dates", lambda d: d.cast("string")), ","))
 
 
+@query("S10", _batches_sql(_SPINE))
+def spine_batches(spark, sf):
+    return _listed(spine.spine_batches(_spine(spark, sf)))
+
+
+@query("S10", _batches_sql("select date from {weather} where day(date) % 2 = 1"))
+def spine_batches_with_gaps(spark, sf):
+    """Every second day but the 17ths: a batch has 30 days, however far apart."""
+    return _listed(spine.spine_batches(view(spark, sf, "weather").where("day(date) % 2 = 1").select("date")))
+
+
 @query("W4", "select distinct date from {trips}")
 def trip_dates(spark, sf):
     return view(spark, sf, "trips").select("date").distinct().orderBy("date")

@@ -45,11 +45,13 @@ def test_max_id_skips_text(spark):
     assert keys.max_id(df, "id").first()[0] == 12
 
 
-def test_distinct_values_are_sorted_and_bounded(spark):
+def test_distinct_values_are_sorted_and_unlimited(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), (None, 2)], "c string, n int")
     assert pivots.distinct_values(df, ["c", "n"]) == {"c": ["a", "b"], "n": ["1", "2"]}
-    with pytest.raises(ValueError):
-        pivots.distinct_values(spark.range(50).selectExpr("cast(id as string) as c"), ["c"], limit=10)
+    many = spark.range(2001).selectExpr("id % 3 as k", "cast(id as string) as c")
+    assert len(pivots.distinct_values(many, ["c"])["c"]) == 2001
+    long = pivots.long_counts(many.unionByName(many.limit(1)), "k", ["c"])
+    assert long.count() == 2001 and long.agg(F.sum("count")).first()[0] == 2002
 
 
 def test_top_label_and_unpivot(spark, rows):
@@ -110,6 +112,9 @@ def test_upsert_updates_inserts_and_keeps(spark):
     nulls = [(None, "m", 9.0), (None, "m", 9.0), (None, "n", 0.0)]
     assert _upsert(spark, TARGET, SOURCE) == sorted([(1, "a", 1.0), (2, "B", 20.0), (3, "c", 3.0), *nulls], key=str)
     assert (2, "b", 20.0) in _upsert(spark, TARGET, SOURCE, update_columns=["v"])
+    for columns in (None, ["v"]):
+        large = _upsert(spark, TARGET, SOURCE, update_columns=columns, small_source=False)
+        assert large == _upsert(spark, TARGET, SOURCE, update_columns=columns)
 
 
 def test_upsert_empty_sides_and_idempotence(spark):
@@ -150,9 +155,7 @@ AT = dt.datetime(2024, 1, 1)
 
 @pytest.mark.parametrize("source,target,result", [(3, 3, "Pass"), (4, 3, "Fail"), (3, 4, "Fail"), (3, 0, "Fail")])
 def test_balance(spark, source, target, result):
-    tables = {"a": spark.range(source), "b": spark.range(target)}
-    got = quality.balance(
-        spark, "t", "SELECT count(*) FROM {a}", "SELECT count(*) FROM {b}", tables, AT).first()
+    got = quality.balance("t", spark.range(source), spark.range(target), AT).first()
     assert (got["expected_count"], got["actual_count"], got["difference"], got["result"]) == (
         source, target, source - target, result)
 

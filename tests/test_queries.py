@@ -28,7 +28,7 @@ def test_contract(spark):
     assert contract.entry(spark).columns[0] == "trip_id"
     assert set(contract.oracle_sql()) <= set(contract.queries())
     # Only generated data and fitted forests have no SQL.
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {
+    assert set(QUERIES) - set(contract.oracle_sql()) == {
         "generated_details", "generated_trips", "generated_vehicles", "generated_drivers", "forest_predictions",
         "feature_importances"}
 

@@ -8,11 +8,13 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets of a row numbering: each is sorted in one task, and only their counts ever meet in one. A fixed number of
-# hash buckets stays below a gigabyte or two each at a hundred terabytes; key ranges are sized by the row count.
-BUCKETS = 1 << 16
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 1 << 14
+# Rows in one bucket of a row numbering. Each bucket is sorted in one task, and only the buckets' counts ever meet in one.
+ROWS_PER_BUCKET = 1_000_000
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets grow with the rows, without a ceiling, so that a task's share does not."""
+    return max(1, -(-rows // ROWS_PER_BUCKET))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -59,10 +61,10 @@ def _number(df: DataFrame, bucket: Column, order: Sequence[str], name: str, star
 
 
 def hashed_ids(
-    df: DataFrame, keys: Sequence[str], name: str = "row_id", start: int | Column = 0, buckets: int = BUCKETS
+    df: DataFrame, keys: Sequence[str], name: str = "row_id", start: int | Column = 0, buckets: int | None = None
 ) -> DataFrame:
     """Dense numbers in no meaningful order. ``keys`` must tell rows apart; each bucket holds an even share."""
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets or buckets_for(df.count())))
     return _number(df, bucket, keys, name, start)
 
 
@@ -71,8 +73,7 @@ def ordered_ids(df: DataFrame, key: str, name: str = "row_id", start: int = 0, r
 
     Rows go to key ranges cut at approximate quantiles, so ranges stay even for unevenly spread keys.
     """
-    if ranges is None:
-        ranges = min(max(df.select(key).count() // ROWS_PER_RANGE, 1), MAX_RANGES)
+    ranges = ranges or buckets_for(df.select(key).count())
     shares = [i / ranges for i in range(1, ranges)]
     cuts = df.approxQuantile(key, shares, 0.1 / ranges) if shares else []
     splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]

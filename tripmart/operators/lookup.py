@@ -8,7 +8,8 @@ to every executor, above it the join shuffles and adaptive execution splits its
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.session import new_path
 
@@ -18,3 +19,14 @@ def settle(df: DataFrame, name: str = "lookup") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_table(spark: SparkSession, path: str, read=None) -> DataFrame | None:
+    """The table at ``path``, or None if there is no such path. Any other failure, such as an empty folder that a broken
+    write left, is an error: taking it for a first load would overwrite what is stored."""
+    try:
+        return read(path) if read else spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

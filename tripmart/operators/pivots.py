@@ -7,31 +7,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A pivot makes one column per value, so a column with more values than this is no category.
-MAX_PIVOT_VALUES = 2000
 
-
-def distinct_values(df: DataFrame, columns: Sequence[str], limit: int = MAX_PIVOT_VALUES) -> dict[str, list[str]]:
-    """Sorted values of several columns in one job, nulls left out.
-
-    Duplicates go before the shuffle, and no more than ``limit`` values per column reach the driver.
-    """
+def category_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(name, value) of every value of several columns, nulls left out; duplicates go before the shuffle."""
     tagged = F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns
     ]))
-    rows = (
-        df.select(tagged.alias("pair")).select("pair.*").where("value is not null").distinct()
-        .limit(limit * len(columns) + 1).collect()
-    )
+    return df.select(tagged.alias("pair")).select("pair.*").where("value is not null").distinct()
+
+
+def distinct_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """The sorted values of several columns, as names for the columns of a wide table.
+
+    They come to the driver because column names are part of a plan. A category with very many values belongs in the long form,
+    ``long_counts``, which has no such need.
+    """
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
+    for row in category_values(df, columns).toLocalIterator():
         found[row["name"]].append(row["value"])
-    for name, values in found.items():
-        if len(values) > limit:
-            raise ValueError(f"column {name} has more than {limit} values; it cannot be a pivot column")
     return {name: sorted(values) for name, values in found.items()}
 
 
+def long_counts(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """(key, category, value, count): the counters of a pivot as rows, for any number of values."""
+    tagged = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("category"), F.col(c).cast("string").alias("value")) for c in columns
+    ]))
+    return (df.select(key, tagged.alias("pair")).where("pair.value is not null")
+            .groupBy(key, "pair.category", "pair.value").agg(F.count("*").alias("count")))
+
+
 def count_columns(column: str, values: Sequence, prefix: str, suffix: str = "_count") -> list[Column]:
     """One counter per value, for use inside ``agg``."""
     return [

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,83 +12,84 @@ from pyspark.sql import functions as F
 from tripmart.operators.lookup import settle
 from tripmart.operators.unions import stack
 
-# Source and target counts of each check. Names in braces are tables; {x_file} is the CSV drop of x.
-CHECKS = {
-    "trips": (
-        "SELECT count(DISTINCT trip_id) FROM {trips_file}",
-        "SELECT count(*) FROM {trips}"),
-    "trip_details": (
-        "SELECT count(DISTINCT trip_id) FROM {trip_details_file}",
-        "SELECT count(*) FROM {trip_details}"),
-    "customers": (
-        "SELECT count(DISTINCT customer_id) FROM {customers_file}",
-        "SELECT count(*) FROM {customers}"),
-    "drivers": (
-        "SELECT count(DISTINCT driver_id) FROM {drivers_file}",
-        "SELECT count(*) FROM {drivers}"),
-    # One vehicle per driver, so the drivers are what is expected.
-    "vehicles": (
-        "SELECT count(DISTINCT driver_id) FROM {drivers_file}",
-        "SELECT count(*) FROM {vehicles}"),
-    "fares": (
-        "SELECT count(l.trip_id) FROM {located_trips} l JOIN {trip_details} d ON l.trip_id = d.trip_id",
-        "SELECT count(*) FROM {fares}"),
-    "located_trips": (
-        "SELECT count(trip_id) FROM {trips}",
-        "SELECT count(*) FROM {located_trips}"),
-    "weather_impact": (
-        "SELECT count(f.trip_id) FROM {fares} f JOIN {trip_details} d ON f.trip_id = d.trip_id",
-        "SELECT count(*) FROM {weather_impact}"),
-    "weather_trips": (
-        "SELECT count(trip_id) FROM {trips}",
-        "SELECT count(*) FROM {weather_trips}"),
-    "customer_profile": (
-        "WITH riders AS (SELECT d.customer_id FROM {trip_details} d JOIN {fares} f ON f.trip_id = d.trip_id"
-        " GROUP BY d.customer_id)"
-        " SELECT count(c.customer_id) FROM {customers} c JOIN riders r ON c.customer_id = r.customer_id",
-        "SELECT count(customer_id) FROM {customer_profile}"),
-    "customer_preference": (
-        "WITH riders AS (SELECT d.customer_id FROM {trip_details} d JOIN {fares} f ON f.trip_id = d.trip_id"
-        " JOIN {trips} t ON t.trip_id = d.trip_id GROUP BY d.customer_id)"
-        " SELECT count(p.customer_id) FROM {customer_profile} p JOIN riders r ON p.customer_id = r.customer_id",
-        "SELECT count(customer_id) FROM {customer_preference}"),
-}
+@dataclass(frozen=True)
+class Check:
+    """What a table should hold: as many rows as its source, or as many keys as the source tells apart.
 
+    ``source`` and ``target`` name tables of the suite. Only source rows with a partner in each table of ``matching`` count;
+    it maps such a table to the column they share.
+    """
+    source: str
+    target: str
+    distinct: str | None = None
+    matching: Mapping[str, str] = field(default_factory=dict)
 
-def balance(
-    spark: SparkSession, table: str, source_sql: str, target_sql: str,
-    tables: dict[str, DataFrame], checked_at: dt.datetime,
-) -> DataFrame:
-    """Compare two counts in one query; the counts are scalar subqueries."""
-    query = f"SELECT ({source_sql}) AS expected_count, ({target_sql}) AS actual_count"
-    used = {name: df for name, df in tables.items() if "{" + name + "}" in query}
+
+# {x}_file is the drop that table x was cleaned from. There is one vehicle for each driver.
+CHECKS = {
+    "trips": Check("trips_file", "trips", distinct="trip_id"),
+    "trip_details": Check("trip_details_file", "trip_details", distinct="trip_id"),
+    "customers": Check("customers_file", "customers", distinct="customer_id"),
+    "drivers": Check("drivers_file", "drivers", distinct="driver_id"),
+    "vehicles": Check("drivers_file", "vehicles", distinct="driver_id"),
+    "weather_trips": Check("trips", "weather_trips"),
+    "located_trips": Check("trips", "located_trips"),
+    "fares": Check("located_trips", "fares", matching={"trip_details": "trip_id"}),
+    "weather_impact": Check("fares", "weather_impact", matching={"trip_details": "trip_id"}),
+    "customer_profile": Check("customers", "customer_profile", matching={"riders": "customer_id"}),
+    "customer_preference": Check("customer_profile", "customer_preference", matching={"riders_on_trips": "customer_id"}),
+}
+# Tables that a check matches against and that follow from others: details of trips that stand in each of these.
+RIDERS = {"riders": ("fares",), "riders_on_trips": ("fares", "trips")}
+
+
+def matched(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The source rows a check expects in its target."""
+    rows = tables[check.source]
+    for name, key in check.matching.items():
+        if name in RIDERS:
+            partner = tables["trip_details"]
+            for other in RIDERS[name]:
+                partner = partner.join(tables[other].select("trip_id"), "trip_id", "left_semi")
+        else:
+            partner = tables[name]
+        rows = rows.join(partner.select(key), key, "left_semi")
+    return rows
+
+
+def balance(table: str, expected: DataFrame, actual: DataFrame, checked_at: dt.datetime, distinct: str | None = None) -> DataFrame:
+    """Compare the row counts of two frames; ``distinct`` counts the values of that column of the expected one instead.
+
+    Both counts are one row each, joined as such.
+    """
+    wanted = F.count_distinct(F.col(distinct)) if distinct else F.count("*")
+    counts = expected.agg(wanted.alias("expected_count")).select("expected_count", actual.select(F.count("*")).scalar().alias("actual_count"))
     difference = F.col("expected_count") - F.col("actual_count")
-    return spark.sql(query, **used).select(
-        F.lit(table).alias("table_name"), "expected_count", "actual_count",
-        difference.alias("difference"),
-        F.when(difference == 0, "Pass").otherwise("Fail").alias("result"),
-        F.lit(checked_at).alias("date"),
-    )
+    return counts.select(
+        F.lit(table).alias("table_name"), "expected_count", "actual_count", difference.alias("difference"),
+        F.when(difference == 0, "Pass").otherwise("Fail").alias("result"), F.lit(checked_at).alias("date"))
 
 
 def balance_suite(
     spark: SparkSession, tables: dict[str, DataFrame], checked_at: dt.datetime,
     names: Iterable[str] | str = "all", rejects: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """All checks or a chosen list. ``rejects`` holds the keys a cleaning step drops on purpose, per table;
-    given, the check expects that many fewer rows."""
+    """All checks or a chosen list. ``rejects`` holds the rows a cleaning step drops on purpose, by table;
+    the check then expects that many fewer."""
     names = list(CHECKS) if names == "all" else list(names)
     unknown = [n for n in names if n not in CHECKS]
     if unknown:
         raise ValueError(f"no balance check for {', '.join(unknown)}")
     results = []
     for name in names:
-        source_sql, target_sql = CHECKS[name]
-        frames = dict(tables)
+        check = CHECKS[name]
+        result = balance(name, matched(check, tables), tables[check.target], checked_at, check.distinct)
         if rejects and name in rejects:
-            frames["rejected"] = rejects[name]
-            source_sql = f"SELECT ({source_sql}) - (SELECT count(*) FROM {{rejected}})"
-        results.append(balance(spark, name, source_sql, target_sql, frames, checked_at))
+            dropped = rejects[name].select(F.count("*")).scalar()
+            result = result.withColumn("expected_count", F.col("expected_count") - dropped).withColumn(
+                "difference", F.col("expected_count") - F.col("actual_count")).withColumn(
+                "result", F.when(F.col("difference") == 0, "Pass").otherwise("Fail"))
+        results.append(result)
     return stack(*results)
 
 

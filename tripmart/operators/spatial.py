@@ -87,7 +87,8 @@ def stored_cells(shapes: DataFrame, name: str, shape: str = "shape", size: float
 
 
 def _cell(value: Column, size: float) -> Column:
-    return F.when(value.isNotNull() & ~F.isnan(value), F.floor(value / size).cast("int"))
+    """The cell number; null for what no cell can hold, such as infinity or a number beyond the globe's."""
+    return F.when(value.isNotNull() & ~F.isnan(value), F.floor(value / size).try_cast("int"))
 
 
 def locate(

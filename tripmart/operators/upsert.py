@@ -7,14 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.operators.lookup import settle
+
 
 def upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None,
+    small_source: bool = True,
 ) -> DataFrame:
     """Update rows whose keys match, insert the others, keep unmatched target rows.
 
-    Two source rows with one non-null key raise. Null keys match nothing, so such rows are inserted. The target is
-    only ever the big side of a left or semi join, so Spark can send a small source to it instead of shuffling it.
+    Two source rows with one non-null key raise when the upsert is built. Null keys match nothing, so such rows are inserted.
+    The source is computed once, into the shared folder. With ``small_source`` the target is only ever the big side of a left
+    and a semi join, so Spark can send the source to it instead of shuffling it. Otherwise one full join shuffles each side once.
     """
     keys = list(keys)
     missing = set(source.columns) ^ set(target.columns)
@@ -26,26 +30,32 @@ def upsert(
     if unknown:
         raise ValueError(f"cannot update {', '.join(unknown)}")
 
+    source = settle(source, "upsert")
     keyed = source.dropna(subset=keys)
     # Partial counts leave one row per key and task, so a key repeated a million times costs no more than twice.
-    one = keyed.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.any_value(F.struct(*values)).alias("_new")
-    ).withColumn("_new", F.when(F.col("_n") == 1, F.col("_new")).otherwise(
-        F.raise_error(F.lit("the upsert source holds a key more than once"))))
-
-    joined = target.join(one, keys, "left")
-    hit = F.col("_n").isNotNull()
-    updated = joined.select(*[
-        F.when(hit, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
-        for c in target.columns
-    ])
-    known = target.select(*keys).join(keyed.select(*keys), keys, "left_semi")
-    inserted = one.join(known, keys, "left_anti").select(
-        *[F.col("_new")[c].alias(c) if c in values else F.col(c) for c in target.columns])
+    twice = keyed.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    if not twice.isEmpty():
+        raise ValueError("the upsert source holds a key more than once")
+    one = keyed.select(*keys, F.struct(*values).alias("_new"), F.lit(True).alias("_given"))
+
+    hit = F.col("_given").isNotNull()
+
+    def merged(held) -> list:
+        new = lambda c: hit if c in changed else hit & ~held
+        return [F.when(new(c), F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in target.columns]
+
+    if small_source:
+        updated = target.join(one, keys, "left").select(*merged(F.lit(True)))
+        known = target.select(*keys).join(keyed.select(*keys), keys, "left_semi")
+        inserted = keyed.join(known, keys, "left_anti").select(*target.columns)
+        rows = updated.unionByName(inserted)
+    else:
+        both = target.withColumn("_held", F.lit(True)).join(one, keys, "full")
+        rows = both.select(*merged(F.col("_held").isNotNull()))
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    return updated.unionByName(inserted).unionByName(source.where(null_key).select(*target.columns))
+    return rows.unionByName(source.where(null_key).select(*target.columns))
 
 
 def merge_delta(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions import geometry as G
 from tripmart.operators.keys import new_rows
+from tripmart.operators.lookup import settle
 from tripmart.operators.spatial import Cells, locate, stored_cells
 
 FROM_SHAPE, FROM_DETAILS = "features", "tripdetails"
@@ -61,11 +62,11 @@ def fill_boroughs(located: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def locate_trips(
-    trips: DataFrame, cells: Cells, details: DataFrame, current: DataFrame | None = None
+    trips: DataFrame, cells: Cells, details: DataFrame, current: DataFrame | None = None, small_batch: bool = False
 ) -> DataFrame:
-    """Trips with weather and distance to trips with boroughs."""
+    """Trips with weather and distance to trips with boroughs; only new ones when ``current`` is given."""
     if current is not None:
-        trips = new_rows(trips, current, ["trip_id"])
+        trips = new_rows(settle(trips, "batch") if small_batch else trips, current, ["trip_id"], small_batch)
     shaped = with_boroughs(trips, cells).withColumns({
         "temperature": F.round("avg_temp", 2), "precipitation": F.round("precipitation", 2),
         "humidity": F.round("avg_humidity", 2), "wind_speed": F.round("avg_wind_speed", 2),

@@ -86,7 +86,10 @@ def customer_profile(
     """
     trips = rides(fare_table, details)
     if values is None:
-        values = distinct_values(trips, ["payment_method", *CATEGORIES])
+        # Names come from two narrow scans, before the big join. A value that no ride has is a column of zeros.
+        of_details = details.select(*[sanitize(F.col(c)).alias(c) for c in ("payment_method", "trip_status", "trip_intention")])
+        of_fares = fare_table.select("pickup_month", "pickup_day", sanitize(F.col("pickup_period")).alias("pickup_period"))
+        values = distinct_values(of_details, of_details.columns) | distinct_values(of_fares, of_fares.columns)
     return with_ages(customers).join(customer_statistics(trips, values), "customer_id")
 
 

@@ -22,12 +22,17 @@ FARE_COLUMNS = (
 )
 
 
-def fares(located: DataFrame, details: DataFrame, current: DataFrame | None = None) -> DataFrame:
-    """One row per trip with details: ratios, labels and weather categories."""
+def fares(
+    located: DataFrame, details: DataFrame, current: DataFrame | None = None, small_batch: bool = False
+) -> DataFrame:
+    """One row per trip with details: ratios, labels and weather categories; only new trips when ``current`` is given.
+
+    ``small_batch`` stores the located trips first and sends their keys to the current table and to the details.
+    """
     tips = details.select("trip_id", "tip_amount")
     if current is not None:
         # The join drops details of known trips anyway.
-        located = new_rows(located, current, ["trip_id"])
+        located = new_rows(settle(located, "batch") if small_batch else located, current, ["trip_id"], small_batch)
     fare, tip = F.col("fare_amount"), F.col("tip_amount")
     priced = located.join(tips, "trip_id").withColumn(
         "trip_duration_min", C.duration_minutes(F.col("pickup_datetime"), F.col("dropoff_datetime")))
@@ -57,7 +62,10 @@ def route_baseline(fare_table: DataFrame) -> DataFrame:
 
 
 def weather_impact(fare_table: DataFrame, details: DataFrame) -> DataFrame:
-    """Excess fare and time of trips in extreme weather over the baseline of their route."""
+    """Excess fare and time of trips in extreme weather over the baseline of their route.
+
+    Building the frame already runs a job: it stores the baseline.
+    """
     # One row per route: stored, it is small enough for Spark to send to the trips, which then need no shuffle by
     # route, where one busy route could hold a third of them.
     baseline = settle(route_baseline(fare_table), "baseline")

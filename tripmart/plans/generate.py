@@ -7,15 +7,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.chance import draw, happens, uniform, weighted_choice
 from tripmart.functions.sphere import great_circle_km
+from tripmart.functions.us_states import STATE_CENTRES
 from tripmart.operators.keys import hashed_ids
 from tripmart.operators.lookup import settle
-from tripmart.operators.unions import active_or_all
+from tripmart.operators.unions import active_or_all, pool, stack
 from tripmart.plans import pricing
 
 # Categories and their weights.
@@ -53,6 +55,7 @@ VEHICLE_TYPES = ("Sedan", "SUV", "Hatchback", "Pickup Truck", "Electric", "Luxur
 FUEL_TYPES = ("Gasoline", "Electric", "Hybrid", "Diesel")
 HYBRID_SHARE = 0.2
 SEATS = (4, 5, 6, 7, 8)
+COLORS = ("White", "Black", "Silver", "Gray", "Blue", "Red", "Green", "Brown", "Yellow")
 VEHICLE_STATUS = {"Active": 6, "Maintenance": 1, "Out of Service": 1}
 TRIP_FUELS = {"petrol": 35, "diesel": 35, "hybrid": 20, "ev": 10}
 PASSENGERS = {1: 60, 2: 25, 3: 8, 4: 4, 5: 2, 6: 1}
@@ -121,6 +124,7 @@ def new_vehicles(drivers: DataFrame) -> DataFrame:
     return modelled.select(
         F.concat(F.lit("V-"), key).alias("vehicle_no"), "driver_id", "model",
         (F.lit(2009) + draw(key, "year", 7)).cast("int").alias("year"),
+        weighted_choice(key, "color", COLORS).alias("color"),
         weighted_choice(key, "vehicle", VEHICLE_TYPES).alias("vehicle_type"),
         fuel_for(F.col("model"), key).alias("fuel_type"),
         weighted_choice(key, "seats", SEATS).alias("seating_capacity"),
@@ -128,17 +132,27 @@ def new_vehicles(drivers: DataFrame) -> DataFrame:
         _day(key, "insured", dt.date(2009, 1, 1), dt.date(2015, 12, 31)).alias("insurance_expiry"),
         _day(key, "serviced", dt.date(2012, 1, 1), dt.date(2015, 12, 31)).alias("last_maintenance"),
         weighted_choice(key, "status", VEHICLE_STATUS).alias("status"),
+        weighted_choice(key, "state", [name for name, *_ in STATE_CENTRES]).alias("registration_state"),
     )
 
 
-def assign(trips: DataFrame, entities: DataFrame, key: str, status: str, trip_key: str = "trip_id") -> DataFrame:
-    """Give each trip one active entity, all equally likely.
+def assign(trips: DataFrame, pools: dict[str, tuple[DataFrame, str]], trip_key: str = "trip_id") -> DataFrame:
+    """Give each trip one active entity of each pool, all equally likely. ``pools``: key column to (entities, status column).
 
-    The pool is numbered from zero and joined on a number drawn per trip. The draw is even, so the join has no hot key.
+    A pool is numbered from zero, stored, and joined on a number drawn for the trip; all numbers are drawn in one pass. The draw is
+    even, so no join has a hot key; a pool small enough goes to the trips, which then stay where they are.
     """
-    pool = settle(hashed_ids(active_or_all(entities, status).select(key), [key], "_slot"), "pool")
-    size = pool.count()
-    return trips.withColumn("_slot", draw(F.col(trip_key), f"assign {key}", size)).join(pool, "_slot").drop("_slot")
+    drawn, slots = trips, {}
+    for key, (entities, status) in pools.items():
+        pool = settle(hashed_ids(active_or_all(entities, status).select(key), [key], f"_{key}"), "pool")
+        size = pool.count()
+        if not size:
+            raise ValueError(f"no entity to draw {key} from")
+        slots[key] = pool
+        drawn = drawn.withColumn(f"_{key}", draw(F.col(trip_key), f"assign {key}", size))
+    for key, pool in slots.items():
+        drawn = drawn.join(pool, f"_{key}").drop(f"_{key}")
+    return drawn
 
 
 def distinct_pair(key: Column, salt: str, choices: dict[str, int]) -> tuple[Column, Column]:
@@ -176,9 +190,8 @@ def trip_details(
 ) -> DataFrame:
     """Details for each trip_id, drawn from active customers, drivers and vehicles."""
     key = F.col("trip_id")
-    staffed = assign(assign(assign(
-        trip_ids.select("trip_id"), customers, "customer_id", "membership_status"),
-        drivers, "driver_id", "status"), vehicles, "vehicle_no", "status")
+    staffed = assign(trip_ids.select("trip_id"), {
+        "customer_id": (customers, "membership_status"), "driver_id": (drivers, "status"), "vehicle_no": (vehicles, "status")})
     first, second = distinct_pair(key, "place", locations)
     base = uniform(key, "km", 0.5, 50.0) * uniform(key, "rate", 1.5, 3.0)
     placed = staffed.withColumns({"pickup_location": first, "dropoff_location": second})
@@ -193,6 +206,47 @@ def trip_details(
     )
 
 
+class NewPeriod(NamedTuple):
+    """What one run adds, each with all columns of its stored table, and the report of the run."""
+
+    customers: DataFrame
+    drivers: DataFrame
+    vehicles: DataFrame
+    details: DataFrame
+    report: DataFrame
+
+
+def like(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """The columns of a stored table; what is not made here stays null."""
+    return rows.select(*[
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in stored.schema])
+
+
+def new_period(
+    trips: DataFrame, new_people: DataFrame, new_staff: DataFrame, customers: DataFrame, drivers: DataFrame, vehicles: DataFrame,
+    locations: dict[str, int], as_of: dt.date,
+) -> NewPeriod:
+    """Trip details for new trips, served by those on record and by newcomers.
+
+    ``new_people`` and ``new_staff`` have a row for each customer and driver to add, told apart by their first column. Newcomers are
+    numbered from the largest ids on record, each new driver brings a vehicle, and all take part in the draw. The newcomers are
+    stored first, so that they are the same wherever they are read.
+    """
+    person, worker = new_people.columns[0], new_staff.columns[0]
+    fresh_people = settle(like(new_customers(
+        with_new_ids(new_people.select(person), customers, "customer_id", [person]).select("customer_id"), as_of), customers), "customers")
+    hired = with_new_ids(new_staff.select(worker), drivers, "driver_id", [worker]).select("driver_id")
+    fresh_staff = settle(like(new_drivers(hired, as_of), drivers), "drivers")
+    fresh_vehicles = settle(like(new_vehicles(fresh_staff.select("driver_id")), vehicles), "vehicles")
+    of = lambda old, new, *columns: pool(old.select(*columns), new.select(*columns), list(columns))
+    details = settle(trip_details(
+        trips, of(customers, fresh_people, "customer_id", "membership_status"), of(drivers, fresh_staff, "driver_id", "status"),
+        of(vehicles, fresh_vehicles, "vehicle_no", "status"), locations), "details")
+    report = stack(*[rows.agg(F.lit(name).alias("table_name"), F.count("*").alias("new_rows")) for name, rows in (
+        ("customers", fresh_people), ("drivers", fresh_staff), ("vehicles", fresh_vehicles), ("trip_details", details))])
+    return NewPeriod(fresh_people, fresh_staff, fresh_vehicles, details, report)
+
+
 def usage(details: DataFrame, key: str) -> DataFrame:
     """Trips per entity."""
     return details.groupBy(key).agg(F.count("*").alias("n_trips"))

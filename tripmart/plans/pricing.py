@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import lookup
 from tripmart.functions.categories import RAIN, SNOW, TEMPERATURE, WIND, categorize
+from tripmart.operators.lookup import settle
 
 # The price list.
 BASE_FARE = 2.5
@@ -54,7 +55,13 @@ def inflation(at: Column) -> Column:
 
 
 def passenger_surcharge(passengers: Column) -> Column:
-    return F.greatest(passengers - FREE_PASSENGERS, F.lit(0)) * F.lit(EXTRA_PASSENGER)
+    """A missing count is one passenger."""
+    return F.greatest(F.coalesce(passengers, F.lit(1)) - FREE_PASSENGERS, F.lit(0)) * F.lit(EXTRA_PASSENGER)
+
+
+def at_least(price: Column) -> Column:
+    """The minimum fare holds for a price; a price that cannot be told stays null."""
+    return F.when(price.isNotNull(), F.greatest(price, F.lit(MIN_FARE)))
 
 
 def weather_factor(rain: Column, snow: Column, wind: Column, fahrenheit: Column) -> Column:
@@ -85,7 +92,7 @@ def metered(km: Column, minutes: Column, fuel: Column, km_factor: Column | None
 def fare(km: Column, minutes: Column, at: Column, passengers: Column, fuel: Column, weather: Column) -> Column:
     """Honest fare; ``weather`` is the weather factor."""
     full = metered(km, minutes, fuel) * inflation(at) * time_factor(at) * weather + passenger_surcharge(passengers)
-    return F.greatest(full, F.lit(MIN_FARE))
+    return at_least(full)
 
 
 def overcharge(km: Column, minutes: Column, at: Column, fuel: Column, km_factor: Column,
@@ -98,7 +105,7 @@ def overcharge(km: Column, minutes: Column, at: Column, fuel: Column, km_factor:
     stretched = metered(
         km, minutes, fuel,
         F.when(km > LONG_TRIP_KM, one).otherwise(km_factor), F.when(km < SHORT_TRIP_KM, one).otherwise(minute_factor))
-    return F.greatest(stretched * inflation(at), F.lit(MIN_FARE))
+    return at_least(stretched * inflation(at))
 
 
 def price_trips(trips: DataFrame, weather: DataFrame, overcharged: Column | None = None) -> DataFrame:
@@ -108,7 +115,8 @@ def price_trips(trips: DataFrame, weather: DataFrame, overcharged: Column | None
     """
     factor = weather_factor(
         F.col("precipitation"), F.col("avg_snow_fall"), F.col("avg_wind_speed"), F.col("avg_temp"))
-    factors = weather.select(F.col("date").alias("_date"), factor.alias("_weather"))
+    # Stored, the factors have a size Spark knows, and no busy date has to be gathered in one task.
+    factors = settle(weather.select(F.col("date").alias("_date"), factor.alias("_weather")), "factors")
     at = F.col("pickup_datetime")
     km, minutes, fuel = F.col("distance_km"), F.col("trip_duration_min"), F.col("fuel_type")
     joined = trips.withColumn("_day", F.to_date(at)).join(factors, F.col("_day") == F.col("_date"), "left")

@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
-from pyspark.sql.utils import AnalysisException
 
+from tripmart.operators.lookup import settle, stored_table
 from tripmart.operators.upsert import upsert
 from tripmart.paths import Lake
 from tripmart.sinks import publish
@@ -19,10 +19,7 @@ MART_KEYS = {"customer_profile": ["customer_id"], "customer_preference": ["custo
 
 def stored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table at ``path``, or None before its first load."""
-    try:
-        return read_columns(spark, path, fmt)
-    except AnalysisException:
-        return None
+    return stored_table(spark, path, lambda p: read_columns(spark, p, fmt))
 
 
 def refresh_people(
@@ -39,7 +36,8 @@ def refresh_people(
     current = stored(spark, lake.current(table, "enrich"))
     if current is None:
         return publish(fresh, lake, table, "enrich", "full", date)
-    fresh = _aligned(fresh, current)
+    # The upsert reads its source more than once; a mart is dear to compute.
+    fresh = _aligned(settle(fresh, table), current)
     current = _aligned(current, fresh)
     merged = upsert(current, fresh.select(*current.columns), MART_KEYS[table], update_columns)
     return publish(merged, lake, table, "enrich", "full", date)

@@ -61,11 +61,17 @@ TABLES = {
 _LABELS = {label: table for table, (label, *_) in TABLES.items()}
 
 
-def hour_cube(fare_table: DataFrame, trips: DataFrame) -> DataFrame:
-    """Sums and counts per date, hour and label. The year is the calendar's, the week is the ISO week."""
-    hours = trips.select("trip_id", "pickup_hour")
-    joined = fare_table.select("trip_id", "date", "pickup_day", "pickup_month", "pickup_period", *MEASURES).join(
-        hours, "trip_id")
+def hour_cube(fare_table: DataFrame, trips: DataFrame | None = None) -> DataFrame:
+    """Sums and counts per date, hour and label. The year is the calendar's, the week is the ISO week.
+
+    The hour is that of the fares' pickup time. ``trips`` is for callers whose trips carry another one; it costs a join of both
+    large tables.
+    """
+    labels = ["date", "pickup_day", "pickup_month", "pickup_period", *MEASURES]
+    if trips is None:
+        joined = fare_table.select(F.hour("pickup_datetime").alias("pickup_hour"), *labels)
+    else:
+        joined = fare_table.select("trip_id", *labels).join(trips.select("trip_id", "pickup_hour"), "trip_id")
     return joined.groupBy("date", "pickup_hour", "pickup_day", "pickup_month", "pickup_period").agg(
         F.count("*").alias("trips"),
         *[F.sum(m).alias(f"sum_{m}") for m in MEASURES],
@@ -124,7 +130,7 @@ def union_time_series(tables: dict[str, DataFrame]) -> DataFrame:
     return tagged_union({TABLES[t][0]: df for t, df in tables.items()}, "time_period")
 
 
-def time_series(fare_table: DataFrame, trips: DataFrame) -> DataFrame:
+def time_series(fare_table: DataFrame, trips: DataFrame | None = None) -> DataFrame:
     """The same rows in one plan: each rolled-up row goes to the one or two tables it belongs to."""
     rollup = calendar_rollup(hour_cube(fare_table, trips))
     homes = F.filter(F.array(*[

@@ -54,10 +54,10 @@ def best_weather(weather: DataFrame, backup: DataFrame) -> DataFrame:
 def attach_weather(trips: DataFrame, weather: DataFrame, backup: DataFrame | None = None) -> DataFrame:
     """Left join daily weather on date.
 
-    Two weather tables are merged and stored first. Trips are then joined once, and to a table whose size Spark knows:
+    The weather, of one table or two merged, is stored first. Trips are then joined once, and to a table whose size Spark knows:
     it goes to the trips, and no busy date has to be gathered in one task.
     """
-    table = weather.select("date", *METRICS) if backup is None else settle(best_weather(weather, backup), "weather")
+    table = settle(weather.select("date", *METRICS) if backup is None else best_weather(weather, backup), "weather")
     return trips.drop(*METRICS).join(table, "date", "left")
 
 

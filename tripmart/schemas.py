@@ -5,45 +5,36 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(text: str) -> T.StructType:
-    """Read ``name type`` pairs, ``!`` after the type meaning not null."""
-    schema = T.StructType()
-    for item in text.replace("\n", " ").split(","):
-        name, kind = item.split()
-        schema.add(name, T._parse_datatype_string(kind.rstrip("!")), not kind.endswith("!"))
-    return schema
-
-
 # The column names and types of the source files.
 _LAYOUTS = {
     "trips": """
-        trip_id string!, pickup_datetime timestamp!, dropoff_datetime timestamp!,
-        pickup_longitude double!, pickup_latitude double!,
-        dropoff_longitude double, dropoff_latitude double,
-        passenger_count int, fare_amount double!""",
+        trip_id STRING NOT NULL, pickup_datetime TIMESTAMP NOT NULL, dropoff_datetime TIMESTAMP NOT NULL,
+        pickup_longitude DOUBLE NOT NULL, pickup_latitude DOUBLE NOT NULL,
+        dropoff_longitude DOUBLE, dropoff_latitude DOUBLE,
+        passenger_count INT, fare_amount DOUBLE NOT NULL""",
     "trip_details": """
-        trip_id string!, driver_id string!, customer_id string!,
-        pickup_location string, dropoff_location string, tip_amount double,
-        payment_method string, trip_status string!,
-        customer_rating double, driver_rating double, trip_intention string""",
+        trip_id STRING NOT NULL, driver_id STRING NOT NULL, customer_id STRING NOT NULL,
+        pickup_location STRING, dropoff_location STRING, tip_amount DOUBLE,
+        payment_method STRING, trip_status STRING NOT NULL,
+        customer_rating DOUBLE, driver_rating DOUBLE, trip_intention STRING""",
     "drivers": """
-        driver_id string!, driver_name string!, license_no string!, phone_no string!,
-        email string!, address string, date_of_birth date, hire_date date,
-        experience_level string, rating double, status string, emergency_contact string""",
+        driver_id STRING NOT NULL, driver_name STRING NOT NULL, license_no STRING NOT NULL, phone_no STRING NOT NULL,
+        email STRING NOT NULL, address STRING, date_of_birth DATE, hire_date DATE,
+        experience_level STRING, rating DOUBLE, status STRING, emergency_contact STRING""",
     "customers": """
-        customer_id string!, customer_name string!, phone_no string!, email string!,
-        address string, date_of_birth date, registration_date date, customer_type string,
-        membership_status string, rating double, preferred_payment string""",
+        customer_id STRING NOT NULL, customer_name STRING NOT NULL, phone_no STRING NOT NULL, email STRING NOT NULL,
+        address STRING, date_of_birth DATE, registration_date DATE, customer_type STRING,
+        membership_status STRING, rating DOUBLE, preferred_payment STRING""",
     "vehicles": """
-        vehicle_no string!, driver_id string!, model string, year int, color string,
-        vehicle_type string, fuel_type string, seating_capacity int, mileage int,
-        insurance_expiry date, last_maintenance date, status string, registration_state string""",
+        vehicle_no STRING NOT NULL, driver_id STRING NOT NULL, model STRING, year INT, color STRING,
+        vehicle_type STRING, fuel_type STRING, seating_capacity INT, mileage INT,
+        insurance_expiry DATE, last_maintenance DATE, status STRING, registration_state STRING""",
     "weather": """
-        date date, avg_temp double, precipitation double, weather_code int,
-        avg_humidity double, avg_wind_speed double, avg_cloud_cover double, avg_snow_fall double""",
+        date DATE, avg_temp DOUBLE, precipitation DOUBLE, weather_code INT,
+        avg_humidity DOUBLE, avg_wind_speed DOUBLE, avg_cloud_cover DOUBLE, avg_snow_fall DOUBLE""",
     "balance_results": """
-        table_name string!, expected_count bigint!, actual_count bigint!,
-        difference bigint!, result string!, date timestamp!""",
+        table_name STRING NOT NULL, expected_count BIGINT NOT NULL, actual_count BIGINT NOT NULL,
+        difference BIGINT NOT NULL, result STRING NOT NULL, date TIMESTAMP NOT NULL""",
 }
 
 # Coordinates stay text here, so Polygon and MultiPolygon files both fit.
@@ -72,4 +63,4 @@ def schema_for(table: str) -> T.StructType:
         return _BOUNDARIES
     if table not in _LAYOUTS:
         raise ValueError(f"no schema for table {table!r}; known: {', '.join(TABLES)}")
-    return _struct(_LAYOUTS[table])
+    return T.StructType.fromDDL(_LAYOUTS[table])

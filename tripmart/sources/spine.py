@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # First day of a full load, and the most days one request may span.
 FIRST_DAY = dt.date(2009, 1, 1)
@@ -29,10 +30,14 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def spine_batches(spine: DataFrame, size: int = DAYS_PER_BATCH) -> DataFrame:
-    """Days in groups of at most ``size``, cut from the first day: first, last and members of each."""
-    first = spine.select(F.min("date")).scalar()
-    batch = F.floor(F.datediff(F.col("date"), first) / F.lit(size)).cast("int")
-    return spine.groupBy(batch.alias("batch")).agg(
+    """The distinct days in order, ``size`` to a group: first, last and members of each. Gaps do not shorten a group.
+
+    A spine has a row a day, some tens of thousands in a century, so one window over it is small.
+    """
+    days = spine.where("date is not null").select("date").distinct()
+    place = F.row_number().over(Window.orderBy("date")) - 1
+    batch = F.floor(place / F.lit(size)).cast("int")
+    return days.withColumn("batch", batch).groupBy("batch").agg(
         F.min("date").alias("start_date"), F.max("date").alias("end_date"),
         F.count("*").alias("n_dates"),
         # At most ``size`` members.

@@ -11,10 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 from tripmart.operators.keys import keep_first, new_rows
-from tripmart.operators.upsert import upsert
+from tripmart.operators.lookup import settle, stored_table
+from tripmart.operators.upsert import as_of, commit_version, upsert, versions
 
 
 def open_drops(
@@ -29,24 +29,20 @@ def open_drops(
     return reader.load(path)
 
 
-def _run(stream: DataFrame, checkpoint: str, each_batch, timeout: int) -> None:
+def _run(stream: DataFrame, checkpoint: str, each_batch, timeout: float | None) -> None:
+    """Work off what is there. Only a caller that names a limit in seconds has one."""
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
         .foreachBatch(each_batch).start()
     )
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"ingest did not end within {timeout} seconds")
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def ingest(stream: DataFrame, target: str, checkpoint: str, timeout: int = 3600) -> None:
+def ingest(stream: DataFrame, target: str, checkpoint: str, timeout: float | None = None) -> None:
     """Store every row of every new file."""
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
@@ -56,14 +52,15 @@ def ingest(stream: DataFrame, target: str, checkpoint: str, timeout: int = 3600)
 
 def ingest_new_keys(
     stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order_by: Sequence[str] = (),
-    timeout: int = 3600,
+    timeout: float | None = None,
 ) -> None:
     """Store the first row of each key not stored by an earlier batch."""
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         rows = keep_first(batch, keys, order_by)
-        current = _stored(batch.sparkSession, target)
+        current = stored_table(batch.sparkSession, target)
         if current is not None:
-            rows = new_rows(rows, current.where(F.col("batch") < batch_id), keys)
+            # A micro-batch is small beside what is stored: its keys go to the table, not the table to them.
+            rows = new_rows(settle(rows, "batch"), current.where(F.col("batch") < batch_id), keys, small_batch=True)
         rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     _run(stream, checkpoint, each_batch, timeout)
@@ -71,7 +68,7 @@ def ingest_new_keys(
 
 def ingest_changes(
     stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order_by: Sequence[str] = (),
-    timeout: int = 3600,
+    timeout: float | None = None,
 ) -> None:
     """Store each batch as a set of changes, one per key. A batch costs what it holds, whatever the table's size."""
     def each_batch(batch: DataFrame, batch_id: int) -> None:
@@ -87,6 +84,29 @@ def upserted(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFr
     return upsert(base, newest.select(*base.columns), keys)
 
 
+def fold_changes(spark: SparkSession, base: str, log: str, keys: Sequence[str]) -> int:
+    """Apply the stored changes to the table at ``base``, a folder of versions, and return the version that holds them.
+
+    A version remembers the last batch it holds, so each batch of the log is read and applied once; a fold repeated after a failure
+    writes the same version again. Without new batches nothing is written.
+    """
+    table = versions(spark, base)
+    newest, upto = table.agg(F.max("version")).first()[0], -1
+    mark = stored_table(spark, f"{base}-folded")
+    if mark is not None:
+        upto = mark.where(F.col("version") <= newest).agg(F.max("batch")).first()[0]
+        upto = -1 if upto is None else upto
+    changes = stored_table(spark, log)
+    last = None if changes is None else changes.where(F.col("batch") > upto).agg(F.max("batch")).first()[0]
+    if last is None:
+        return newest
+    fresh = changes.where((F.col("batch") > upto) & (F.col("batch") <= last))
+    # The mark comes first: without its version it does not count, and the fold is done again.
+    spark.range(1).select(F.lit(last).cast("int").alias("batch")).write.mode("overwrite").parquet(f"{base}-folded/version={newest + 1}")
+    commit_version(upserted(as_of(table, newest), fresh, keys), base, newest + 1)
+    return newest + 1
+
+
 def stored_rows(spark: SparkSession, target: str) -> DataFrame:
     """What the append streams stored, without the batch numbers."""
     return spark.read.parquet(target).drop("batch")
