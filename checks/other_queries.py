@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -11,6 +13,7 @@ from checks.registry import query
 from tripmart.functions import calendar as C
 from tripmart.functions.numbers import steady_round
 from tripmart.functions.sphere import great_circle_km
+from tripmart.functions.us_states import STATE_CENTRES
 from tripmart.operators.upsert import commit_version, latest, versions
 from tripmart.plans import generate, model, pricing
 from tripmart.session import new_path
@@ -113,7 +116,121 @@ def _vehicles(spark, sf):
     return generate.new_vehicles(view(spark, sf, "drivers").select("driver_id"))
 
 
-@query("G2 G3 G4 G5 P10 U3 B15")
+def _draw(key: str, salt: str, n) -> str:
+    return f"(cast('0x' || substr(md5(concat('{salt}|', {key})), 1, 15) as bigint) % {n})"
+
+
+def _uniform(key: str, salt: str, low, high) -> str:
+    return f"({low} + {_draw(key, salt, 1 << 40)} / cast({1 << 40} as double) * ({high} - {low}))"
+
+
+def _pick(key: str, salt: str, choices) -> str:
+    """The label a draw points to, each standing as often as it weighs."""
+    choices = choices if isinstance(choices, dict) else dict.fromkeys(choices, 1)
+    slots = [label for label, weight in choices.items() for _ in range(weight)]
+    listed = ", ".join("null" if x is None else f"'{x}'" if isinstance(x, str) else str(x) for x in slots)
+    return f"[{listed}][{_draw(key, salt, len(slots))} + 1]"
+
+
+def _date(key: str, salt: str, first: str, last: str) -> str:
+    return f"(date'{first}' + cast({_draw(key, salt, f"(date'{last}' - date'{first}' + 1)")} as int))"
+
+
+_ROUND1 = "cast(round(cast(cast({} as varchar) as decimal(38,18)), 1) as double)"
+_MODELS = (
+    "Toyota Camry", "Honda Civic", "Ford F-150", "Chevrolet Silverado", "Tesla Model 3", "Nissan Altima",
+    "Hyundai Elantra", "BMW 3 Series", "Audi A4", "Mercedes-Benz C-Class", "Volkswagen Jetta", "Subaru Outback",
+    "Mazda CX-5", "Jeep Wrangler", "GMC Sierra", "Ram 1500", "Tesla Model S", "Lexus ES", "Acura TLX",
+    "Infiniti Q50", "Toyota Prius", "Nissan NV200", "Ford Transit Connect", "Chevrolet Impala", "Honda Accord",
+    "Toyota Sienna", "Chrysler Pacifica", "Ford Escape", "Kia Optima", "Hyundai Sonata", "Lincoln Town Car",
+    "Cadillac XTS", "Mercedes-Benz Sprinter",
+)
+
+
+def _vehicles_sql(ids: str) -> str:
+    k = "driver_id"
+    return f"""
+        select concat('V-', {k}) as vehicle_no, {k}, model, cast(2009 + {_draw(k, 'year', 7)} as int) as year,
+               {_pick(k, 'color', ('White', 'Black', 'Silver', 'Gray', 'Blue', 'Red', 'Green', 'Brown', 'Yellow'))} as color,
+               {_pick(k, 'vehicle', ('Sedan', 'SUV', 'Hatchback', 'Pickup Truck', 'Electric', 'Luxury', 'Minivan', 'Van'))} as vehicle_type,
+               case when model like '%Tesla%' then 'Electric'
+                    when model like '%Prius%' or {_uniform(k, 'hybrid', 0.0, 1.0)} < 0.2 then 'Hybrid'
+                    else {_pick(k, 'fuel', ('Gasoline', 'Electric', 'Hybrid', 'Diesel'))} end as fuel_type,
+               cast({_pick(k, 'seats', (4, 5, 6, 7, 8))} as int) as seating_capacity,
+               cast(15000 + {_draw(k, 'mileage', 185001)} as int) as mileage,
+               {_date(k, 'insured', '2009-01-01', '2015-12-31')} as insurance_expiry,
+               {_date(k, 'serviced', '2012-01-01', '2015-12-31')} as last_maintenance,
+               {_pick(k, 'status', {'Active': 6, 'Maintenance': 1, 'Out of Service': 1})} as status,
+               {_pick(k, 'state', [name for name, *_ in STATE_CENTRES])} as registration_state
+        from (select {k}, {_pick(k, 'model', _MODELS)} as model from ({ids}) i) m"""
+
+
+# Customers on record and as many new ones as there are suppliers, numbered on from the largest id.
+_NEW_CUSTOMERS = "select row_number() over (order by s_suppkey) + (select max(customer_id) from {customers}) as customer_id from supplier"
+_TOTAL, _FIRST = "(select sum(weight) from places)", "first_slot"
+_INTENTIONS = {
+    "Commute": 250, "Business": 150, "Leisure": 120, "Errand": 100, "Airport Transfer": 80, "Social/Visiting": 70,
+    "Dining": 50, "Shopping": 50, "Medical/Healthcare": 40, "School/Education": 30, "Event/Entertainment": 30,
+    "Tourism/Sightseeing": 20, "Hotel Transfer": 10, "Ride Pooling/Shared": 10, "Religious": 5,
+    "Exercise/Outdoor": 5, "Delivery": 5, "Relocation/Move": 5, "Other": 10,
+}
+_RATINGS = {None: 1, 1.0: 1, 1.5: 1, 2.0: 1, 2.5: 1, 3.0: 2, 3.5: 3, 4.0: 2, 4.5: 1, 5.0: 3}
+_RULES = ((("Airport",), "Airport Transfer", 0.70), (("Hotel",), "Hotel Transfer", 0.60), (("Tourism", "Sightseeing"), "Tourism/Sightseeing", 0.65),
+          (("Medical", "Healthcare"), "Medical/Healthcare", 0.75), (("School", "University"), "School/Education", 0.80))
+
+
+def _hundredths(weights: dict) -> dict:
+    """Weights by their greatest common divisor, as the slots are laid out."""
+    common = math.gcd(*weights.values())
+    return {label: w // common for label, w in weights.items()}
+
+
+def _intention() -> str:
+    drawn = _pick("trip_id", "intention", _hundredths(_INTENTIONS))
+    cases = ""
+    for n, (words, intention, share) in enumerate(_RULES):
+        named = " or ".join(f"pickup_location like '%{w}%' or dropoff_location like '%{w}%'" for w in words)
+        cases += f" when {named} then case when {_uniform('trip_id', f'rule {n}', 0.0, 1.0)} < {share} then '{intention}' else {drawn} end"
+    return f"case{cases} else {drawn} end"
+
+
+_DETAILS_SQL = f"""
+    with places as (
+        select n_nationkey, 35 - n_nationkey as weight,
+               concat(n_name, coalesce(' ' || [ 'Airport', 'Hotel', 'Tourism', 'Medical', 'School'][n_nationkey + 1], '')) as place,
+               coalesce(sum(35 - n_nationkey) over (order by n_nationkey rows between unbounded preceding and 1 preceding), 0) as start
+        from nation),
+    slots as (select place, weight, start, start + unnest(range(0, cast(weight as bigint))) as slot from places),
+    riders as (
+        select row_number() over (order by customer_id) - 1 as slot, customer_id, count(*) over () as size from (
+            select customer_id from {{customers}} where membership_status = 'Active'
+            union all select customer_id from ({_NEW_CUSTOMERS}) n where {_pick('customer_id', 'membership', {'Active': 7, 'Inactive': 1, 'Suspended': 1})} = 'Active') a),
+    staff as (select row_number() over (order by driver_id) - 1 as slot, driver_id, count(*) over () as size from {{drivers}} where status = 'Active'),
+    fleet as (
+        select row_number() over (order by vehicle_no) - 1 as slot, vehicle_no, count(*) over () as size
+        from ({_vehicles_sql('select driver_id from {drivers}')}) v where status = 'Active'),
+    drawn as (
+        select trip_id, {_draw('trip_id', 'assign customer_id', '(select max(size) from riders)')} as rider,
+               {_draw('trip_id', 'assign driver_id', '(select max(size) from staff)')} as worker,
+               {_draw('trip_id', 'assign vehicle_no', '(select max(size) from fleet)')} as car,
+               {_draw('trip_id', 'place first', '(select cast(sum(weight) as bigint) from places)')} as place1 from {{trips}}),
+    going as (
+        select d.*, p.place as pickup_location, p.start, p.weight,
+               {_draw('trip_id', 'place second', '((select cast(sum(weight) as bigint) from places) - cast(p.weight as bigint))')} as free
+        from drawn d join slots p on p.slot = d.place1),
+    coming as (
+        select g.*, q.place as dropoff_location
+        from going g join slots q on q.slot = case when g.free >= g.start then g.free + g.weight else g.free end)
+    select trip_id, driver_id, customer_id, vehicle_no, pickup_location, dropoff_location,
+           R2[[{_uniform('trip_id', 'km', 0.5, 50.0)} * {_uniform('trip_id', 'rate', 1.5, 3.0)} * {_uniform('trip_id', 'tip', 0.0, 0.25)}]] as tip_amount,
+           {_pick('trip_id', 'payment', ('Credit Card', 'Debit Card', 'Cash', 'Digital Wallet', 'Corporate Account'))} as payment_method,
+           {_pick('trip_id', 'status', {'Completed': 8, 'Cancelled': 1, 'No Show': 1})} as trip_status,
+           cast({_pick('trip_id', 'customer rating', _RATINGS)} as double) as customer_rating,
+           cast({_pick('trip_id', 'driver rating', _RATINGS)} as double) as driver_rating, {_intention()} as trip_intention
+    from coming join riders on riders.slot = rider join staff on staff.slot = worker join fleet on fleet.slot = car"""
+
+
+@query("G2 G3 G4 G5 P10 U3 B15", _DETAILS_SQL)
 def generated_details(spark, sf):
     """Details for every order, drawn from the given customers and suppliers and as many new ones."""
     existing = view(spark, sf, "customers").select("customer_id", "customer_name", "membership_status")
@@ -135,13 +252,19 @@ def generated_trips(spark, sf):
     return generate.generate_trips(view(spark, sf, "trips"), areas, stored_view(spark, sf, "weather"))
 
 
-@query("G7 G2")
+@query("G7 G2", _vehicles_sql("select customer_id as driver_id from {customers}"))
 def generated_vehicles(spark, sf):
     """A vehicle for every customer, as if each drove."""
     return generate.new_vehicles(view(spark, sf, "customers").select(F.col("customer_id").alias("driver_id")))
 
 
-@query("G1 G2")
+@query("G1 G2", f"""
+    select driver_id, concat('Driver ', driver_id) as driver_name, {_date('driver_id', 'born', '1951-01-01', '1995-01-01')} as date_of_birth,
+           {_date('driver_id', 'hired', '2009-01-01', '2012-12-31')} as hire_date,
+           {_pick('driver_id', 'experience', ('Trainee', 'Junior', 'Senior', 'Expert', 'Master'))} as experience_level,
+           {_ROUND1.format(_uniform('driver_id', 'rating', 3.5, 5.0))} as rating,
+           {_pick('driver_id', 'status', {'Active': 10, 'On Leave': 1, 'Inactive': 1})} as status
+    from (select row_number() over (order by c_custkey) + (select max(driver_id) from {{drivers}}) as driver_id from customer) a""")
 def generated_drivers(spark, sf):
     ids = generate.with_new_ids(
         table(spark, sf, "customer").select("c_custkey"), view(spark, sf, "drivers"), "driver_id", ["c_custkey"])

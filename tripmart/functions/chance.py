@@ -1,4 +1,7 @@
-"""Reproducible random values: a hash of the row's key, so a rerun or a lost executor changes nothing."""
+"""Reproducible random values: a hash of the row's key, so a rerun or a lost executor changes nothing.
+
+The hash is MD5, which other engines have too, so what is drawn here can be checked there.
+"""
 
 from __future__ import annotations
 
@@ -13,9 +16,10 @@ _STEPS = 1 << 40
 
 
 def draw(key: Column, salt: str, n: int | Column) -> Column:
-    """A whole number in [0, n)."""
+    """A whole number in [0, n): the first 15 hex digits of the MD5 of "salt|key", modulo n."""
     n = F.lit(n) if isinstance(n, int) else n
-    return F.pmod(F.xxhash64(key, F.lit(salt)), n.cast("bigint"))
+    digest = F.md5(F.concat(F.lit(f"{salt}|"), key.cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), n.cast("bigint"))
 
 
 def uniform(key: Column, salt: str, low: float | Column = 0.0, high: float | Column = 1.0) -> Column:
