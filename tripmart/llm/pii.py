@@ -160,3 +160,46 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_spans(docs).select(
         "doc_id", *[count(i).alias(f"n_{kind}") for i, kind in enumerate(BASE)],
         F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans"))
+
+
+def _oracle() -> str:
+    """The query as DuckDB SQL: plain patterns, places from the lengths of pieces and matches, neighbours tested afterwards."""
+    digits_of = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn_sum = (f"list_sum(list_transform(range(0, length({digits_of})), lambda i: case when i % 2 = 1 "
+                f"then (2 * cast(substr({digits_of}, length({digits_of}) - i, 1) as int)) // 10 + (2 * cast(substr({digits_of}, length({digits_of}) - i, 1) as int)) % 10 "
+                f"else cast(substr({digits_of}, length({digits_of}) - i, 1) as int) end))")
+    moved = "concat(substr(replace(m, ' ', ''), 5), substr(replace(m, ' ', ''), 1, 4))"
+    rest = (f"list_reduce(list_prepend(0, list_transform(range(1, length({moved}) + 1), lambda i: ascii(substr({moved}, i, 1)))), "
+            "lambda a, c: case when c < 58 then (a * 10 + c - 48) % 97 else (a * 100 + c - 55) % 97 end)")
+    near = "lower(substr(t, greatest(s - 39, 1), e - greatest(s - 40, 0) + 40))"
+    alone = lambda chars: f"not regexp_matches(substr(t, s, case when s > 0 then 1 else 0 end), '[{chars}]') and not regexp_matches(substr(t, e + 1, 1), '[{chars}]')"
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+         "list_max(list_transform(string_split(m, '.'), lambda x: coalesce(try_cast(x as hugeint), 999))) <= 255"),
+        ("card", r"[0-9](?:[ -]?[0-9])+", f"length({digits_of}) between 12 and 19 and {luhn_sum} % 10 = 0"),
+        ("phone", r"\+[0-9][ ().0-9-]+[0-9]", f"length({digits_of}) between 9 and 15"),
+        ("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}",
+         f"length(replace(m, ' ', '')) between 15 and 34 and {alone('A-Za-z0-9')} and {rest} = 1"),
+        ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", f"{alone('0-9-')} and regexp_matches({near}, 'ssn|social security')"),
+        ("birth", r"[0-9]{4}-[0-9]{2}-[0-9]{2}", f"{alone('0-9-')} and regexp_matches({near}, 'born|birth|dob|date of birth')"),
+    ]
+    parts = [f"""
+        select k, t, '{name}' as kind, {rank} as r, m, s, s + length(m) as e from (
+            select k, t, ms[i] as m,
+                   cast(list_sum(list_transform(ps[1 : i], lambda x: length(x)))
+                        + coalesce(list_sum(list_transform(ms[1 : i - 1], lambda x: length(x))), 0) as bigint) as s
+            from (select k, t, ms, ps, unnest(range(1, len(ms) + 1)) as i from (
+                select k, t, regexp_extract_all(t, '{pattern}') as ms, regexp_split_to_array(t, '{pattern}') as ps from docs) a) b) c
+        where {valid}""" for rank, (name, pattern, valid) in enumerate(kinds)]
+    count = lambda kind: f"count(*) filter (kind = '{kind}') as n_{kind}"
+    listed = lambda which: f"coalesce(string_agg(concat(kind, ':', s, ':', e), ',' order by s, r){which}, '')"
+    return f"""
+        with docs as (select row_number() over () as k, doc_id, coalesce(text, '') as t from documents),
+        spans as ({' union all '.join(parts)})
+        select d.doc_id, {', '.join(count(kind) for kind in BASE)},
+               sha256({listed(' filter (r < 4)')}) as base_sha256, {listed(' filter (r is not null)')} as spans
+        from docs d left join spans using (k) group by d.k, d.doc_id"""
+
+
+ORACLE = _oracle()

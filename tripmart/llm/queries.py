@@ -17,6 +17,7 @@ QUERIES = {
     "op10_licenses": licenses.op10_licenses,
 }
 ORACLES = {
+    "op1_pii": pii.ORACLE,
     "op3_substring_dedup": substrings.ORACLE,
     "op5_warc": warc.ORACLE,
     "op4_packing": packing.op4_packing,
