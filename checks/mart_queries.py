@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import inputs
 from checks.domain import cells, stored_view, table, view
 from checks.oracle_views import (
-    CATEGORY_VALUES, DAYS, METHODS, METRICS, calendar_sql, haversine_sql, located_sql,
+    CATEGORY_VALUES, DAYS, METHODS, METRICS, TABLES, calendar_sql, haversine_sql, located_sql,
 )
 from checks.registry import query
 from tripmart.functions import sphere
@@ -372,7 +372,7 @@ def calendar_rollup(spark, sf):
         steady_round(F.col("avg_fare_per_km"), 2).alias("avg_per_km"))
 
 
-_SERIES = " union all ".join(calendar_sql(t, wide=True) for t in time_series.TABLES)
+_SERIES = " union all ".join(calendar_sql(t, wide=True) for t in TABLES)
 
 
 @query("A10 P8 P9 U2 B11", _SERIES)

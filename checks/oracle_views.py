@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tripmart.plans.time_series import TABLES
 
 METRICS = [
     "avg_temp", "precipitation", "weather_code", "avg_humidity", "avg_wind_speed", "avg_cloud_cover", "avg_snow_fall",
@@ -58,6 +57,47 @@ def located_sql(p: str, lon: str, lat: str) -> str:
     return f"{lon} > {p}.x0 and {lon} < {p}.x1 and {lat} > {p}.y0 and {lat} < {p}.y1"
 
 
+# Spelled out here, so that a wrong name in the library shows: label, column, names of the averages and of the count.
+TABLES = {
+    "weekday_fares": (
+        "weekday", "pickup_day",
+        ("avg_weekday_fare_amount", "avg_weekday_trip_duration_min", "avg_fare_per_km_weekday",
+         "avg_fare_per_min_weekday"), "weekday_trip_count"),
+    "yearly_fares": (
+        "yearly", None,
+        ("avg_fare_amount_year", "avg_trip_duration_min_year", "avg_fare_per_km_year", "avg_fare_per_min_year"),
+        "trip_count_year"),
+    "peak_hour": (
+        "peak", "pickup_period",
+        ("peak_hour_avg_fare_amount", "peak_hour_avg_trip_duration_min", "avg_fare_per_km_peak_hour",
+         "avg_fare_per_peak_hour"), "peak_hour_trip_count"),
+    "monthly_aggregation": (
+        "monthly", "pickup_month",
+        ("avg_fare_amount_month", "avg_trip_duration_min_month", "avg_fare_per_km_month", "avg_fare_per_min_month"),
+        "trip_count_month"),
+    "daily_aggregation": (
+        "daily", "pickup_day",
+        ("avg_fare_amount_day", "avg_trip_duration_min_day", "avg_fare_per_km_day", "avg_fare_per_min_day"),
+        "trip_count_day"),
+    "hourly_aggregation": (
+        "hourly", "pickup_hour",
+        ("avg_fare_amount_hour", "avg_trip_duration_min_hour", "avg_fare_per_km_hour", "avg_fare_per_min_hour"),
+        "trip_count_hour"),
+    "weekend_fares": (
+        "weekend", "pickup_day",
+        ("avg_weekend_fare_amount", "avg_weekend_trip_duration_min", "avg_fare_per_km_weekend",
+         "avg_fare_per_min_hour_weekend"), "weekend_trip_count"),
+    "weekly_fares": (
+        "weekly", "pickup_week",
+        ("avg_fare_amount_week", "avg_trip_duration_min_week", "avg_fare_per_km_weekly", "avg_fare_per_min_weekly"),
+        "trip_count_week"),
+    "non_peak_hour": (
+        "non_peak", "pickup_period",
+        ("non_peak_hour_avg_fare_amount", "non_peak_hour_avg_trip_duration_min", "avg_fare_per_km_non_peak_hour",
+         "avg_fare_per_min_non_peak_hour"), "non_peak_hour_trip_count"),
+}
+
+
 def calendar_sql(table: str, wide: bool = False) -> str:
     """One of the nine tables; ``wide`` adds every other column as null, in name order, and the label."""
     label, by, averages, count = TABLES[table]

@@ -286,13 +286,13 @@ def split_rows(spark, sf):
     return train.withColumn("train", F.lit(True)).unionByName(test.withColumn("train", F.lit(False)))
 
 
-_PREDICTED = "select fare_amount as y, R2[[2.5 + distance_km * 0.05]] as p from {enriched} where distance_km is not null"
+_PREDICTED = "select fare_amount as y, R2[[2.5 + coalesce(distance_km, 0) * 0.05]] as p from {enriched}"
 
 
 def _rule_predictions(spark, sf):
-    """A rule of thumb as the model, so that its scores can be checked."""
-    return inputs.enriched(spark, sf).where("distance_km is not null").select(
-        "fare_amount", F.round(F.lit(2.5) + F.col("distance_km") * 0.05, 2).alias(model.PREDICTION))
+    """A rule of thumb as the model, so that its scores can be checked; a trip without a distance gets the base fare."""
+    return inputs.enriched(spark, sf).select(
+        "fare_amount", F.round(F.lit(2.5) + F.coalesce("distance_km", F.lit(0.0)) * 0.05, 2).alias(model.PREDICTION))
 
 
 @query("M7", f"""
