@@ -20,8 +20,5 @@ ORACLES = {
     "op1_pii": pii.ORACLE,
     "op3_substring_dedup": substrings.ORACLE,
     "op5_warc": warc.ORACLE,
-    "op4_packing": packing.op4_packing,
-    "op5_warc": warc.op5_warc,
-    "op7_simhash": simhash.op7_simhash,
     "op9_benchmark_passages": decontaminate.ORACLE,
 }
