@@ -242,7 +242,51 @@ def generated_details(spark, sf):
         _locations(spark, sf))
 
 
-@query("G6 X27 X28")
+def _box(end: str, axis: str) -> str:
+    low, high = f"{end}.{axis}0", f"{end}.{axis}1"
+    side = {"x": "lon", "y": "lat"}[axis]
+    name = {"a": "pickup", "b": "dropoff"}[end]
+    return f"R6[[{_uniform('trip_id', f'{name} {side}', low, high)}]]"
+
+
+_AREAS = [n for n in range(25) for _ in range(3 if n < 5 else 1)]
+_AREA = lambda salt: f"{_AREAS}[{_draw('trip_id', salt, len(_AREAS))} + 1]"
+_STRETCH = lambda salt, short, long, medium: (
+    f"case when distance_km < 1.5 then {_uniform('trip_id', salt, *short)} when distance_km > 30 then {_uniform('trip_id', salt, *long)}"
+    f" else {_uniform('trip_id', salt, *medium)} end")
+_GENERATED_TRIPS = f"""
+    with areas as (select row_number() over (order by borough) - 1 as n, * from {{boroughs}}),
+    chosen as (
+        select trip_id, {_AREA('pickup area')} as start,
+               case when {_uniform('trip_id', 'same area', 0.0, 1.0)} < 0.7 then {_AREA('pickup area')} else {_AREA('dropoff area')} end as stop
+        from {{trips}}),
+    moved as (
+        select trip_id, 1230768000 + {_draw('trip_id', 'pickup time', 220752000)} as secs,
+               {_box('a', 'x')} as pickup_longitude, {_box('a', 'y')} as pickup_latitude,
+               {_box('b', 'x')} as dropoff_longitude, {_box('b', 'y')} as dropoff_latitude,
+               cast({_pick('trip_id', 'passengers', {1: 60, 2: 25, 3: 8, 4: 4, 5: 2, 6: 1})} as int) as passenger_count,
+               {_pick('trip_id', 'fuel', {'petrol': 7, 'diesel': 7, 'hybrid': 4, 'ev': 2})} as fuel_type
+        from chosen join areas a on a.n = start join areas b on b.n = stop),
+    dated as (
+        select *, to_timestamp(secs) at time zone 'UTC' as pickup, {_KM} as distance_km from moved),
+    parts as (
+        select *, hour(pickup) as h, DOW[[pickup]] as dow, year(pickup) as y, month(pickup) as m, cast(pickup as date) as date from dated),
+    timed as (
+        select *, greatest(3, case when h in (7, 8, 9, 16, 17, 18) then 15 + {_draw('trip_id', 'rush minutes', 76)}
+                                   else 5 + {_draw('trip_id', 'minutes', 56)} end + {_draw('trip_id', 'delay', 31)} - 10) as trip_duration_min,
+               {_STRETCH('km factor', (1.15, 1.8), (1.0, 1.0), (1.05, 1.3))} as km_factor,
+               {_STRETCH('minute factor', (1.0, 1.0), (1.1, 1.6), (1.05, 1.4))} as minute_factor,
+               {_uniform('trip_id', 'overcharged', 0.0, 1.0)} < 0.015 as overcharged from parts)
+    select trip_id, to_timestamp(secs) as pickup_datetime, to_timestamp(secs + trip_duration_min * 60) as dropoff_datetime, pickup_longitude,
+           pickup_latitude, dropoff_longitude, dropoff_latitude, passenger_count, R2[[greatest(4.0, case when overcharged
+        then {_INFLATION} * (2.5 + distance_km * cast({_RATES} as double) * case when distance_km > 30 then 1.0 else km_factor end
+             + trip_duration_min * 0.35 * case when distance_km < 1.5 then 1.0 else minute_factor end + cast({_EXTRA} as double))
+        else {_INFLATION} * (2.5 + distance_km * cast({_RATES} as double) + trip_duration_min * 0.35 + cast({_EXTRA} as double))
+             * cast({_FACTORS} as double) * coalesce(w.wf, 1.0) + 0.5 * greatest(passenger_count - 2, 0) end)]] as fare_amount
+    from timed t left join ({_WEATHER_FACTORS}) w on w.date = t.date"""
+
+
+@query("G6 X27 X28", _GENERATED_TRIPS)
 def generated_trips(spark, sf):
     """A trip for every order, in the boxes of the boroughs."""
     areas = [

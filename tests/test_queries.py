@@ -27,9 +27,9 @@ def test_query_matches_its_oracle(spark, db, name):
 def test_contract(spark):
     assert contract.entry(spark).columns[0] == "trip_id"
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    # Only priced random trips and fitted forests have no SQL.
+    # Only fitted forests have no SQL.
     assert set(QUERIES) - set(contract.oracle_sql()) == {
-        "generated_trips", "forest_predictions", "feature_importances"}
+        "forest_predictions", "feature_importances"}
 
 
 def test_big_side_of_fares_is_shuffled_once(spark):
