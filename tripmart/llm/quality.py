@@ -86,8 +86,14 @@ def viterbi(field: Field, features: np.ndarray) -> np.ndarray:
     return np.array(labels[::-1], np.int64)
 
 
-def gradient(field: Field, texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Observed minus expected counts of features, moves and first labels; all chains advance together."""
+def gradient(field: Field, texts: list[tuple[np.ndarray, np.ndarray]], together: int = 128) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Observed minus expected counts of features, moves and first labels, for each text; texts of like length advance together."""
+    texts = sorted(texts, key=lambda t: len(t[1]))
+    parts = [_summed(field, texts[at:at + together]) for at in range(0, len(texts), together)]
+    return tuple(sum(p[i] for p in parts) / len(texts) for i in range(3))
+
+
+def _summed(field: Field, texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     longest = max(len(y) for _, y in texts)
     n = len(texts)
     size = np.array([len(y) for _, y in texts])
@@ -111,7 +117,7 @@ def gradient(field: Field, texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[:, :-1][real[:, 1:]], y[:, 1:][real[:, 1:]]), 1)
     start = np.bincount(y[:, 0], minlength=2) - np.array([(1 - one[:, 0]).sum(), one[:, 0].sum()])
-    return np.einsum("nt,ntf->f", (y - one) * real, x) / n, (seen - pair.sum(axis=(0, 1))) / n, start / n
+    return np.einsum("nt,ntf->f", (y - one) * real, x), seen - pair.sum(axis=(0, 1)), start
 
 
 def fit(texts: list[tuple[np.ndarray, int]]) -> Field:
