@@ -1,7 +1,7 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
 Lengths are counted in one pass; texts never move. A document longer than the longest sequence is cut into pieces, each
-but the last of that length. Pieces are dealt to packing groups by a hash of their identity, so a hot source spreads evenly and the
+but the last of that length. Pieces are dealt to packing groups by a hash of id, text and place, so a hot source or many rows without an id spread evenly and the
 number of groups grows with the pieces; a group holds about ``GROUP`` of them, few enough for one task and enough that only its
 last sequences stay unfilled.
 
@@ -60,12 +60,12 @@ def best_fit(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, ove
 
 
 def pieces(docs: DataFrame, longest: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, piece, first_token, length): documents cut at ``longest``; a token is a word or the end after the last one."""
+    """(id, salt, piece, first_token, length): documents cut at ``longest``; a token is a word or the end after the last one."""
     count = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) + 1
     start = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / longest).cast("int"))
-    return (docs.select(F.col(doc_id).alias("id"), count.alias("n"))
-            .select("id", "n", F.explode(start).alias("piece"))
-            .select("id", "piece", (F.col("piece") * longest).alias("first_token"),
+    return (docs.select(F.col(doc_id).alias("id"), count.alias("n"), F.xxhash64(text).alias("salt"))
+            .select("id", "n", "salt", F.explode(start).alias("piece"))
+            .select("id", "salt", "piece", (F.col("piece") * longest).alias("first_token"),
                     F.least(F.col("n") - F.col("piece") * longest, F.lit(longest)).alias("length")))
 
 
@@ -75,17 +75,17 @@ def pack(docs: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead: int
     narrow_batches(docs.sparkSession, rows=20000)
     cut = settle(pieces(docs, max(capacities), doc_id, text), "pieces")
     groups = size_tasks(cut.count(), group)
-    dealt = cut.withColumn("grp", F.pmod(F.xxhash64("id", "piece"), F.lit(groups)).cast("int"))
+    dealt = cut.withColumn("grp", F.pmod(F.xxhash64("id", "salt", "piece"), F.lit(groups)).cast("int"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for (number,), rows in whole_groups(batches, ["grp"]):
             rows = rows.reset_index(drop=True)
             placed = pd.DataFrame(best_fit(rows["length"].tolist(), capacities, overhead), columns=list(FIELDS))
             placed["bin"] = str(number) + "-" + placed["bin"].astype(str)
-            yield pd.concat([rows.drop(columns="grp"), placed], axis=1)
+            yield pd.concat([rows.drop(columns=["grp", "salt"]), placed], axis=1)
 
-    schema = cut.schema.add("bin", "string").add("capacity", "integer").add("offset", "integer")
-    order = [F.col("grp"), F.col("length").desc(), F.col("id"), F.col("piece")]
+    schema = cut.drop("salt").schema.add("bin", "string").add("capacity", "integer").add("offset", "integer")
+    order = [F.col("grp"), F.col("length").desc(), F.col("id"), F.col("salt"), F.col("piece")]
     packed = dealt.repartition("grp").sortWithinPartitions(*order).mapInPandas(run, schema)
     return packed.withColumnRenamed("id", doc_id)
 

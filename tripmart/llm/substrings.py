@@ -9,7 +9,7 @@
 3. Words that a repeat covers are removed.
 
 A sequence that a third of all documents share sends one entry from each group or batch, not one from each document. Documents are grouped by a hash
-of their id; buckets and groups grow in number with the bytes read, so what a task holds does not. Texts travel twice, compressed.
+of id and text; buckets and groups grow in number with the bytes read, so what a task holds does not. Texts travel twice, compressed.
 A bucket is drawn by one part of a hash and compared by another, so a sequence is told apart by 64 bits and the bucket's number.
 
 "Earlier" means a smaller id, or an earlier start in the same document. Null texts have no words. Rows with one id count as one document:
@@ -287,7 +287,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, unit: int = UNIT, doc_
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     groups = buckets = size_tasks(total, unit)
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
-    rows = docs.select(F.pmod(F.xxhash64(number), F.lit(groups)).cast("int").alias("grp"), number.alias("id"), body.alias("body"))
+    rows = docs.select(F.pmod(F.xxhash64(number, body), F.lit(groups)).cast("int").alias("grp"), number.alias("id"), body.alias("body"))
     hits = anchored(probes(rows, block, buckets, groups))
     sequences = settle(extended(packed(rows), hits, window, block, buckets), "sequences")
     names = ["grp", "numbers", "starts"]

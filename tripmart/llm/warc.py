@@ -1,7 +1,7 @@
 """WARC archives as seekable Zstandard bundles.
 
 Each page becomes a WARC/1.1 record. Records with equal payloads of at least ``REVISIT`` bytes are written once: the one with
-the largest page_id is the response, the others are revisits that refer to it. Records are dealt to bundles by a hash of page_id; a
+the largest page_id is the response, the others are revisits that refer to it. Records are dealt to bundles by a hash of all of them; a
 bundle is one file in the shared folder, made of independent Zstandard frames of about ``FRAME`` bytes of records, closed by a seek
 table (a skippable frame, as the public seekable format has it). The index maps a record to bundle, frame and the offset inside the
 frame, so one record costs one frame. Bundles grow in number with the data, not in size; a task holds one bundle at a time.
@@ -161,7 +161,7 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = FRAME, per_b
     shared.create_dir(f"{root}/data", recursive=True)
     planned = plan_records(pages)
     bundles = size_tasks(pages.count(), per_bundle)
-    dealt = planned.withColumn("grp", F.pmod(F.xxhash64("page_id", "copy", "url"), F.lit(bundles)).cast("int"))
+    dealt = planned.withColumn("grp", F.pmod(F.xxhash64("page_id", "copy", "url", "html"), F.lit(bundles)).cast("int"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = fs.FileSystem.from_uri(folder)
