@@ -186,3 +186,70 @@ def test_settle_keeps_rows_and_schema(spark):
     df = spark.createDataFrame([(1, None), (2, [1.0])], "a int, b array<double>")
     assert sorted(map(str, settle(df).collect())) == sorted(map(str, df.collect()))
     assert settle(df.limit(0)).count() == 0
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tripmart.session import is_cluster, shared_folder
+
+    session = lambda master, folder: SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: folder if key == "spark.checkpoint.dir" else default),
+        sparkContext=SimpleNamespace(master=master))
+    assert is_cluster("spark://host:7077") and is_cluster("local-cluster[3,2,1000]") and not is_cluster("local[8]")
+    assert shared_folder(session("spark://host:7077", "hdfs://store/shared/")) == "hdfs://store/shared"
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session(master, None))
+
+
+def test_a_workspace_removes_what_was_stored_in_it(spark):
+    from pathlib import Path
+
+    from tripmart.session import workspace
+
+    kept = settle(spark.range(2))
+    with workspace(spark) as paths:
+        inner = settle(spark.range(3))
+        assert inner.count() == 3 and len(paths) == 1
+        place = Path(paths[0].removeprefix("file:").replace("//", "/"))
+        assert place.exists()
+    assert not place.exists() and kept.count() == 2
+
+
+def test_small_batch_goes_to_the_current_table(spark, tmp_path):
+    from tripmart.plans.clean import clean_dimension
+
+    spark.range(1000).select(F.col("id").alias("customer_id")).write.parquet(str(tmp_path / "current"))
+    current = spark.read.parquet(str(tmp_path / "current"))
+    batch = spark.createDataFrame([(5, "known"), (2000, "new"), (2000, "new"), (None, "x")], "customer_id long, name string")
+    out = clean_dimension(batch, "customers", current, small_batch=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # What stands between the semi join and the batch keys sent to it is the scan of the current table alone.
+    current_side = plan.split("LeftSemi", 1)[1].split("BroadcastExchange", 1)[0]
+    assert "FileScan" in current_side and "hashpartitioning" not in current_side
+    assert [tuple(r) for r in out.collect()] == [(2000, "new")]
+
+
+def test_only_a_missing_path_is_a_first_load(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from tripmart.operators.lookup import stored_table
+
+    assert stored_table(spark, str(tmp_path / "none")) is None
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(AnalysisException):
+        stored_table(spark, str(tmp_path / "empty"))
+    with pytest.raises(Exception):
+        stored_table(spark, str(tmp_path), lambda p: spark.read.format("nosuchformat").load(p))
+
+
+def test_missing_input_has_no_price(one):
+    from tripmart.plans import pricing
+
+    lit = F.lit
+    at = lit("2012-03-03 10:00:00").cast("timestamp")
+    price = lambda km: pricing.fare(km, lit(10), at, lit(None).cast("int"), lit("petrol"), lit(1.0))
+    known, missing = one([1.0, None], "double", price)
+    assert known > 4 and missing is None
+    assert one([None, 1, 4], "int", pricing.passenger_surcharge) == [0.0, 0.0, 1.0]
