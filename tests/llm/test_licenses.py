@@ -62,3 +62,33 @@ def test_base_equals_plain_search(spark, tmp_path):
 
 def test_empty_table(spark):
     assert lic.find_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def examples(parsed):
+    """Texts a parsed pattern matches: each alternative once, optional parts left out."""
+    out = [""]
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            part = [chr(value)]
+        elif name == "IN":
+            part = [chr(value[0][1] if str(value[0][0]) == "LITERAL" else value[0][1][0])]
+        elif name == "BRANCH":
+            part = [t for branch in value[1] for t in examples(branch)]
+        elif name == "SUBPATTERN":
+            part = examples(value[-1])
+        elif name == "MAX_REPEAT":
+            part = [t * value[0] for t in examples(value[2])] if value[0] else [""]
+        else:
+            assert name == "ASSERT"
+            part = [" "]
+        out = [a + b for a in out for b in part]
+    return out
+
+
+def test_an_example_of_every_rule_passes_the_gate():
+    for rule in lic.make_rules():
+        for text in examples(re._parser.parse(rule.pattern.pattern.decode())):
+            assert rule.pattern.search(text.encode())
+            assert lic.scan(text.encode(), [rule]), text
+    assert "mpl-2.0" in labels("https://mozilla.org/MPL/2.0/")

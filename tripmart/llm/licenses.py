@@ -119,7 +119,7 @@ NOTICES = (
 )
 # A text without any of these has no detection: each pattern above holds one.
 GATES = (b"licen", b"cc by", b"cc0", b"gnu gpl", b"gnu affero gpl", b"lesser gpl", b"library gpl", b"spdx", b"commons",
-         b"wtfpl", b"public domain", b"hereby granted", b"permission to use", b"redistribution", b"as is without")
+         b"wtfpl", b"public domain", b"hereby granted", b"permission to use", b"redistribution", b"as is without", b"mozilla org")
 
 
 @dataclass(frozen=True)
