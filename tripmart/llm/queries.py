@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tripmart.llm import decontaminate, html_text, language, licenses, packing, pii, quality, simhash, substrings, warc
+from tripmart.llm import (
+    decontaminate, html_text, language, licenses, packing, pii, quality, simhash, substrings, url_filter, warc,
+)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,10 +17,12 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_benchmark_passages": decontaminate.op9_benchmark_passages,
     "op10_licenses": licenses.op10_licenses,
+    "op13_url_filter": url_filter.op13_url_filter,
 }
 ORACLES = {
     "op1_pii": pii.ORACLE,
     "op3_substring_dedup": substrings.ORACLE,
     "op5_warc": warc.ORACLE,
     "op9_benchmark_passages": decontaminate.ORACLE,
+    "op13_url_filter": url_filter.ORACLE,
 }
