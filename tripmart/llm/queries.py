@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tripmart.llm import (
-    decontaminate, html_text, language, licenses, packing, pii, quality, simhash, substrings, url_filter, warc,
+    collocations, decontaminate, html_text, language, licenses, packing, pii, prefix_trie, quality, simhash, substrings, url_filter, warc,
 )
 
 QUERIES = {
@@ -17,6 +17,8 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_benchmark_passages": decontaminate.op9_benchmark_passages,
     "op10_licenses": licenses.op10_licenses,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_collocations": collocations.op12_collocations,
     "op13_url_filter": url_filter.op13_url_filter,
 }
 ORACLES = {
@@ -24,5 +26,7 @@ ORACLES = {
     "op3_substring_dedup": substrings.ORACLE,
     "op5_warc": warc.ORACLE,
     "op9_benchmark_passages": decontaminate.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_collocations": collocations.ORACLE,
     "op13_url_filter": url_filter.ORACLE,
 }
