@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tripmart.operators.keyed_store import create_store, open_store, read_store, upsert_store
 from tripmart.operators.lookup import settle, stored_table
 from tripmart.operators.upsert import upsert
 from tripmart.paths import Lake
@@ -43,6 +44,23 @@ def refresh_people(
     return publish(merged, lake, table, "enrich", "full", date)
 
 
+def refresh_in_place(
+    spark: SparkSession, lake: Lake, table: str, fresh: DataFrame, update_columns: list[str] | None = None, parts: int | None = None,
+) -> DataFrame:
+    """The refresh of a mart that is kept as a keyed store: later loads read and write only the partitions of the customers they bring.
+
+    New pivot counters widen the store; its older partitions stay as they are and read as zero there.
+    """
+    if table not in MART_KEYS:
+        raise ValueError(f"no refresh keys for {table!r}")
+    path = lake.current(table, "enrich")
+    store = open_store(spark, path)
+    if store is None:
+        return read_store(spark, create_store(fresh, path, MART_KEYS[table], parts))
+    store, _ = upsert_store(spark, store, fresh, update_columns, new_columns=True)
+    return read_store(spark, store)
+
+
 def _aligned(df: DataFrame, other: DataFrame) -> DataFrame:
     """Add the columns only ``other`` has: zero for numbers, null for the rest."""
     added = {

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tripmart.operators.keyed_store import open_store, upsert_store
 from tripmart.operators.keys import keep_first, new_rows
 from tripmart.operators.lookup import settle, stored_table
 from tripmart.operators.upsert import as_of, commit_version, upsert, versions
@@ -107,6 +108,27 @@ def fold_changes(spark: SparkSession, base: str, log: str, keys: Sequence[str])
     return newest + 1
 
 
+def fold_into_store(spark: SparkSession, path: str, log: str) -> list[int]:
+    """Apply the stored changes that are new to the keyed store at ``path`` and return the partitions written.
+
+    Only partitions that hold a changed key are read and written, so a fold costs what its batches touch, not what the table holds. The
+    mark of the last batch comes last: a fold that failed before it is done again, and changes applied twice change nothing.
+    """
+    store = open_store(spark, path)
+    if store is None:
+        raise ValueError(f"no keyed store at {path}")
+    mark, changes = stored_table(spark, f"{path}-folded"), stored_table(spark, log)
+    upto = -1 if mark is None else mark.agg(F.max("batch")).first()[0]
+    last = None if changes is None else changes.where(F.col("batch") > upto).agg(F.max("batch")).first()[0]
+    if last is None:
+        return []
+    fresh = changes.where((F.col("batch") > upto) & (F.col("batch") <= last))
+    newest = keep_first(fresh.withColumn("_age", -F.col("batch")), store.keys, ["_age"])
+    _, touched = upsert_store(spark, store, newest.select(*store.schema.names))
+    spark.range(1).select(F.lit(last).cast("int").alias("batch")).write.mode("append").parquet(f"{path}-folded")
+    return touched
+
+
 def stored_rows(spark: SparkSession, target: str) -> DataFrame:
     """What the append streams stored, without the batch numbers."""
     return spark.read.parquet(target).drop("batch")
