@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import years_until
 from tripmart.functions.numbers import steady_round
 from tripmart.functions.text import sanitize
+from tripmart.operators.lookup import settle
 from tripmart.operators.pivots import count_columns, distinct_values, top_label, top_value
+from tripmart.operators.states import add_batch, merged_state
 
 ATTRIBUTES = (
     "customer_id", "customer_name", "email", "phone_no", "address", "date_of_birth", "registration_date",
@@ -77,6 +79,52 @@ def customer_statistics(trips: DataFrame, values: dict[str, list[str]]) -> DataF
     return trips.groupBy("customer_id").agg(*totals, *payments, *counters, *extremes)
 
 
+def ride_state(trips: DataFrame, values: dict[str, list[str]]) -> DataFrame:
+    """The statistics of some trips in a form that adds up: sums and counts per customer, no average and nothing rounded."""
+    method, amount = F.col("payment_method"), F.col("total_fareamount")
+    totals = [
+        F.sum(amount).alias("sum_total"), F.sum("tip_amount").alias("sum_tip"), F.sum("tip_pct").alias("sum_tip_pct"),
+        F.count("tip_pct").alias("n_tip_pct"), F.sum("distance_km").alias("sum_km"), F.sum("trip_duration_min").alias("sum_minutes"),
+        F.count("trip_id").alias("n_trips"), F.sum("customer_rating").alias("sum_rating"), F.count("customer_rating").alias("n_rating"),
+    ]
+    payments = [F.count_if(method == m).alias(f"cnt_{m}_payment") for m in values["payment_method"]]
+    payments += [F.sum(F.when(method == m, amount)).alias(f"total_{m}_amount") for m in values["payment_method"]]
+    counters = [c for name in CATEGORIES for c in count_columns(name, values[name], name)]
+    extremes = count_columns("is_weather_extreme", [True, False], "weather_extreme")
+    return trips.groupBy("customer_id").agg(*totals, *payments, *counters, *extremes)
+
+
+def add_rides(fare_table: DataFrame, details: DataFrame, path: str, batch: int, values: dict[str, list[str]] | None = None) -> None:
+    """Add the rides of one load to the stored state at ``path``. Values that a load is the first to have become counters of their own."""
+    trips = rides(fare_table, details)
+    if values is None:
+        trips = settle(trips, "rides")
+        values = distinct_values(trips, ("payment_method", *CATEGORIES))
+    add_batch(ride_state(trips, values), path, batch)
+
+
+def statistics_of_state(state: DataFrame) -> DataFrame:
+    """The columns of ``customer_statistics`` from added-up states."""
+    share = lambda total, n: steady_round(F.try_divide(total, n), 2)
+    amounts = [c for c in state.columns if c.startswith("total_") and c.endswith("_amount")]
+    plain = {"sum_total", "sum_tip", "sum_tip_pct", "n_tip_pct", "sum_km", "sum_minutes", "n_trips", "sum_rating", "n_rating", "customer_id", *amounts}
+    counters = [c for c in state.columns if c not in plain]
+    zero = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit(0))
+    return state.select(
+        "customer_id",
+        steady_round(F.col("sum_total"), 2).alias("total_fareamount"), steady_round(F.col("sum_tip"), 2).alias("total_tip_amount"),
+        share("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct"), steady_round(F.col("sum_km"), 2).alias("total_distance_km"),
+        F.col("sum_minutes").alias("total_trip_duration_min"), F.col("n_trips").alias("total_trip_count"),
+        share("sum_rating", "n_rating").alias("avg_customer_rating"),
+        *[zero(c).cast("bigint").alias(c) for c in counters],
+        *[F.coalesce(steady_round(F.col(f"`{c}`"), 2), F.lit(0.0)).alias(c) for c in amounts])
+
+
+def stored_profile(spark: SparkSession, customers: DataFrame, path: str) -> DataFrame:
+    """The profile from the stored state; neither old fares nor old details are read again."""
+    return with_ages(customers).join(statistics_of_state(merged_state(spark, path, ["customer_id"])), "customer_id")
+
+
 def customer_profile(
     customers: DataFrame, fare_table: DataFrame, details: DataFrame, values: dict[str, list[str]] | None = None
 ) -> DataFrame:
@@ -94,7 +142,12 @@ def customer_profile(
 
 
 def ride_preferences(fare_table: DataFrame, details: DataFrame, trips: DataFrame) -> DataFrame:
-    """Usual boroughs, passengers and driver rating per customer.
+    """Usual boroughs, passengers and driver rating per customer."""
+    return preferences_of_counts(borough_counts(fare_table, details, trips))
+
+
+def borough_counts(fare_table: DataFrame, details: DataFrame, trips: DataFrame) -> DataFrame:
+    """Rides per customer, kind of end and borough, with sums of what the preferences average.
 
     Each trip counts towards a pickup and a dropoff borough. Grouping by customer, kind and borough first keeps the
     second grouping down to one row per borough a customer uses.
@@ -107,13 +160,22 @@ def ride_preferences(fare_table: DataFrame, details: DataFrame, trips: DataFrame
     ends = F.explode(F.array(*[
         F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_borough").alias("borough")) for kind in ("pickup", "dropoff")
     ]))
-    counted = rows.select("customer_id", "driver_rating", "passenger_count", ends.alias("end")).groupBy(
+    return rows.select("customer_id", "driver_rating", "passenger_count", ends.alias("end")).groupBy(
         "customer_id", "end.kind", "end.borough",
     ).agg(
         F.count("*").alias("n"),
         F.sum("passenger_count").alias("passengers"), F.count("passenger_count").alias("n_passengers"),
         F.sum("driver_rating").alias("ratings"), F.count("driver_rating").alias("n_ratings"),
     )
+
+
+def add_boroughs(fare_table: DataFrame, details: DataFrame, trips: DataFrame, path: str, batch: int) -> None:
+    """Add the boroughs of one load's rides to the stored counts at ``path``."""
+    add_batch(borough_counts(fare_table, details, trips), path, batch)
+
+
+def preferences_of_counts(counted: DataFrame) -> DataFrame:
+    """What each customer's counts say."""
     pickup = F.col("kind") == "pickup"
     once = lambda c: F.sum(F.when(pickup, F.col(c)))
 
@@ -130,10 +192,20 @@ def ride_preferences(fare_table: DataFrame, details: DataFrame, trips: DataFrame
     )
 
 
+def preference_of(profile: DataFrame, preferences: DataFrame) -> DataFrame:
+    """The preference mart from a profile and the usual boroughs."""
+    choices = profile.select(
+        "customer_id", *[top_label(profile, *ends).alias(name) for name, ends in PREFERENCES.items()])
+    return choices.join(preferences, "customer_id", "left")
+
+
+def stored_preference(spark: SparkSession, profile: DataFrame, path: str) -> DataFrame:
+    """The preference mart from a profile and the stored borough counts."""
+    return preference_of(profile, preferences_of_counts(merged_state(spark, path, ["customer_id", "kind", "borough"])))
+
+
 def customer_preference(
     profile: DataFrame, fare_table: DataFrame, details: DataFrame, trips: DataFrame
 ) -> DataFrame:
     """What each profiled customer does most."""
-    choices = profile.select(
-        "customer_id", *[top_label(profile, *ends).alias(name) for name, ends in PREFERENCES.items()])
-    return choices.join(ride_preferences(fare_table, details, trips), "customer_id", "left")
+    return preference_of(profile, ride_preferences(fare_table, details, trips))

@@ -7,12 +7,13 @@ over the trips would write each trip six times before its first aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import RUSH_PERIODS, WEEKEND
 from tripmart.functions.categories import or_unknown
 from tripmart.functions.numbers import steady_round
+from tripmart.operators.states import add_batch, merged_state
 from tripmart.operators.unions import tagged_union
 
 MEASURES = ("fare_amount", "trip_duration_min", "fare_per_km", "fare_per_min")
@@ -61,6 +62,10 @@ TABLES = {
 _LABELS = {label: table for table, (label, *_) in TABLES.items()}
 
 
+# What a stored cube is keyed by; year and week follow from the date.
+STATE_KEYS = ("date", "pickup_hour", "pickup_day", "pickup_month", "pickup_period")
+
+
 def hour_cube(fare_table: DataFrame, trips: DataFrame | None = None) -> DataFrame:
     """Sums and counts per date, hour and label. The year is the calendar's, the week is the ISO week.
 
@@ -72,11 +77,25 @@ def hour_cube(fare_table: DataFrame, trips: DataFrame | None = None) -> DataFram
         joined = fare_table.select(F.hour("pickup_datetime").alias("pickup_hour"), *labels)
     else:
         joined = fare_table.select("trip_id", *labels).join(trips.select("trip_id", "pickup_hour"), "trip_id")
-    return joined.groupBy("date", "pickup_hour", "pickup_day", "pickup_month", "pickup_period").agg(
+    return _with_years(joined.groupBy(*STATE_KEYS).agg(
         F.count("*").alias("trips"),
         *[F.sum(m).alias(f"sum_{m}") for m in MEASURES],
         *[F.count(m).alias(f"n_{m}") for m in MEASURES],
-    ).withColumns({"pickup_year": F.year("date"), "pickup_week": F.weekofyear("date")})
+    ))
+
+
+def _with_years(cube: DataFrame) -> DataFrame:
+    return cube.withColumns({"pickup_year": F.year("date"), "pickup_week": F.weekofyear("date")})
+
+
+def add_fares(fare_table: DataFrame, path: str, batch: int) -> None:
+    """Add the fares of one load to the stored cube at ``path``. Late trips of an old date are sums like any other."""
+    add_batch(hour_cube(fare_table).drop("pickup_year", "pickup_week"), path, batch)
+
+
+def stored_series(spark: SparkSession, path: str) -> DataFrame:
+    """The mart from the stored cube; no fare is read again."""
+    return series_of_cube(_with_years(merged_state(spark, path, STATE_KEYS)))
 
 
 def calendar_rollup(cube: DataFrame) -> DataFrame:
@@ -132,7 +151,12 @@ def union_time_series(tables: dict[str, DataFrame]) -> DataFrame:
 
 def time_series(fare_table: DataFrame, trips: DataFrame | None = None) -> DataFrame:
     """The same rows in one plan: each rolled-up row goes to the one or two tables it belongs to."""
-    rollup = calendar_rollup(hour_cube(fare_table, trips))
+    return series_of_cube(hour_cube(fare_table, trips))
+
+
+def series_of_cube(cube: DataFrame) -> DataFrame:
+    """The mart from the cube alone."""
+    rollup = calendar_rollup(cube)
     homes = F.filter(F.array(*[
         F.when(_in_table(table), F.lit(label)) for label, table in _LABELS.items()
     ]), lambda label: label.isNotNull())
