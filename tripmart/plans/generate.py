@@ -67,6 +67,8 @@ SHORT_KM_FACTOR = (1.15, 1.8)
 LONG_MINUTE_FACTOR = (1.1, 1.6)
 MEDIUM_KM_FACTOR = (1.05, 1.3)
 MEDIUM_MINUTE_FACTOR = (1.05, 1.4)
+# Trips that one task makes up.
+IDS_PER_TASK = 20_000
 
 
 def _one_decimal(key: Column, salt: str, low: float, high: float) -> Column:
@@ -263,6 +265,8 @@ def generate_trips(
 ) -> DataFrame:
     """Trips for each trip_id in weighted areas (name, lat_min, lat_max, lon_min, lon_max, weight), priced by rule."""
     key = F.col("trip_id")
+    # Some twenty hashes a row: a table of bare ids is a few small files, so it is dealt to as many tasks as its rows are worth.
+    ids = ids.select("trip_id").repartition(max(1, -(-ids.count() // IDS_PER_TASK)))
     weights = {i: a[5] for i, a in enumerate(areas)}
     boxes = F.array(*[
         F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(("lat0", "lat1", "lon0", "lon1"), a[1:5])]) for a in areas

@@ -120,8 +120,19 @@ def price_trips(trips: DataFrame, weather: DataFrame, overcharged: Column | None
     at = F.col("pickup_datetime")
     km, minutes, fuel = F.col("distance_km"), F.col("trip_duration_min"), F.col("fuel_type")
     joined = trips.withColumn("_day", F.to_date(at)).join(factors, F.col("_day") == F.col("_date"), "left")
-    price = fare(km, minutes, at, F.col("passenger_count"), fuel, F.coalesce("_weather", F.lit(1.0)))
-    if overcharged is not None:
-        price = F.when(overcharged, overcharge(km, minutes, at, fuel, F.col("km_factor"), F.col("minute_factor"))
-                       ).otherwise(price)
-    return joined.withColumn("fare", price).select(*trips.columns, "fare")
+    honest = ~F.coalesce(overcharged, F.lit(False)) if overcharged is not None else F.lit(True)
+    one, zero = F.lit(1.0), F.lit(0.0)
+    # One expression for both kinds of fare, as columns of their own: a rate or a price that is written twice is computed twice.
+    parts = joined.withColumns({
+        "_honest": honest, "_rate": lookup(PER_KM, fuel), "_extra": lookup(FUEL_SURCHARGE, fuel), "_inflation": inflation(at)})
+    if overcharged is None:
+        stretch = linger = one
+    else:
+        stretch = F.when(F.col("_honest") | (km > LONG_TRIP_KM), one).otherwise(F.col("km_factor"))
+        linger = F.when(F.col("_honest") | (km < SHORT_TRIP_KM), one).otherwise(F.col("minute_factor"))
+    meter = F.lit(BASE_FARE) + km * F.col("_rate") * stretch + minutes * F.lit(PER_MINUTE) * linger + F.col("_extra")
+    rules = F.when(F.col("_honest"), time_factor(at)).otherwise(one)
+    weathered = F.when(F.col("_honest"), F.coalesce("_weather", one)).otherwise(one)
+    surcharge = F.when(F.col("_honest"), passenger_surcharge(F.col("passenger_count"))).otherwise(zero)
+    priced = parts.withColumn("_price", meter * F.col("_inflation") * rules * weathered + surcharge)
+    return priced.withColumn("fare", at_least(F.col("_price"))).select(*trips.columns, "fare")
