@@ -145,13 +145,13 @@ def _boundary_files(spark, sf) -> str:
     return f"{path}/*"
 
 
-@query("S4 X16 X17 X18 F2 B7", f"""
+_NATION_SHAPES = f"""
     select n_name as borough, case when n_nationkey % 4 = 3 then 2 else 1 end as rings, cast(5 as int) as points,
            cast(1.0 as double) as outer_area, case when n_nationkey % 4 = 3 then cast(-0.25 as double) end as hole_area,
-           {_X0} as west, 'MultiPolygon' as kind from nation""")
-def loaded_boundaries(spark, sf):
-    """Boundaries read from files: rings closed, outer ones counter-clockwise, holes clockwise, as shape and as text."""
-    loaded = boroughs.load_boundaries(readers.read_geojson(spark, _boundary_files(spark, sf)))
+           {_X0} as west, 'MultiPolygon' as kind from nation"""
+
+
+def _described(loaded):
     again = G.parse_geometry(F.col("geometry_json"))
     rings = lambda: again[0]
     return loaded.select(
@@ -160,6 +160,23 @@ def loaded_boundaries(spark, sf):
         F.array_min(F.transform(rings()[0], lambda p: p[0])).alias("west"), F.get_json_object("geometry_json", "$.type").alias("kind"))
 
 
+@query("S4 X16 X17 X18 F2 B7", _NATION_SHAPES)
+def loaded_boundaries(spark, sf):
+    """Boundaries read from files: rings closed, outer ones counter-clockwise, holes clockwise, as shape and as text."""
+    return _described(boroughs.load_boundaries(readers.read_geojson(spark, _boundary_files(spark, sf))))
+
+
+@query("S4 X16 X17 X18 B7", _NATION_SHAPES)
+def boundaries_of_one_file(spark, sf):
+    """All nations in one file, which is split between its features."""
+    parts = spark.read.text(_boundary_files(spark, sf)).select(F.get_json_object("value", "$.features[0]").alias("f"))
+    # Twenty-five features.
+    one = parts.agg(F.concat(F.lit('{"type":"FeatureCollection", "features": ['), F.array_join(F.collect_list("f"), ",\n "), F.lit("]}")).alias("value"))
+    path = new_path(spark, "collection")
+    one.coalesce(1).write.text(path)
+    return _described(boroughs.shapes_of(readers.read_features(spark, path)))
+
+
 @query("S4 X16 X17 J5 B7 B8", f"""
     select trip_id, n_name as borough from {{trips}} left join (select *, {_X0} as x, {_Y0} as y from nation) n
     on pickup_longitude > x and pickup_longitude < x + 1 and pickup_latitude > y and pickup_latitude < y + 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -9,11 +11,15 @@ from checks.domain import cells, stored_view, table, view
 from checks.oracle_views import (
     CATEGORY_VALUES, DAYS, METHODS, METRICS, TABLES, calendar_sql, haversine_sql, located_sql,
 )
-from checks.registry import query
+from checks.registry import QUERIES, query
 from tripmart.functions import sphere
-from tripmart.operators import keys, pivots, quality, spatial, unions
+from tripmart.operators import keys, nearest, pivots, quality, spatial, states, unions
 from tripmart.operators.readings import reduce_readings, supported_avg
 from tripmart.plans import boroughs, clean, customers, fares, time_series, weather
+from tripmart.session import new_path
+from tripmart.sinks import publish_days
+from tripmart.sources.bucketed import write_bucketed
+from tripmart.sources.readers import read_days
 
 # Cleaning ------------------------------------------------------------------------------------------------------
 
@@ -247,6 +253,34 @@ def nearest_centres(spark, sf):
     return found.select("trip_id", "pickup_centre", "dropoff_centre")
 
 
+@query("J7 F3", f"""
+    select t.trip_id, p.pickup_centre, d.dropoff_centre from {{trips}} t
+    left join ({_nearest_sql('pickup')}) p on t.trip_id = p.trip_id
+    left join ({_nearest_sql('dropoff')}) d on t.trip_id = d.trip_id""")
+def nearest_of_table(spark, sf):
+    """The centres as a table, which may be of any size."""
+    trips = view(spark, sf, "trips").select("trip_id", *[f"{e}_{c}" for e in ("pickup", "dropoff") for c in ("latitude", "longitude")])
+    centres = view(spark, sf, "boroughs").selectExpr("borough as name", "(y0 + y1) / 2 as lat", "(x0 + x1) / 2 as lon")
+    found = trips.select("trip_id")
+    for end in ("pickup", "dropoff"):
+        found = found.join(nearest.nearest_of(trips, "trip_id", f"{end}_latitude", f"{end}_longitude", centres, out=f"{end}_centre"), "trip_id", "left")
+    return found
+
+
+@query("J7 F3", """
+    select n_nationkey, min(c) as nearest from (
+        select n_nationkey, c, a, min(a) over (partition by n_nationkey) as best from (
+            select n_nationkey, c_custkey as c, pow(sin(radians(lat - n_lat) / 2), 2) + cos(radians(n_lat)) * cos(radians(lat)) * pow(sin(radians(lon - n_lon) / 2), 2) as a
+            from (select n_nationkey, (n_nationkey * 37 % 180) - 89.5 as n_lat, (n_nationkey * 101 % 360) - 179.5 as n_lon from nation) n,
+                 (select c_custkey, (c_custkey * 7919 % 18000) / 100.0 - 90 as lat, (c_custkey * 104729 % 36000) / 100.0 - 180 as lon from customer) k) x) y
+    where a <= best * (1 + cast(1e-9 as double)) group by n_nationkey""")
+def nearest_customer(spark, sf):
+    """A point for each nation, anywhere on the globe, and the nearest of all customers, whose places lie around it."""
+    customers_at = table(spark, sf, "customer").selectExpr("c_custkey", "(c_custkey * 7919 % 18000) / 100D - 90 as lat", "(c_custkey * 104729 % 36000) / 100D - 180 as lon")
+    nations_at = table(spark, sf, "nation").selectExpr("n_nationkey", "(n_nationkey * 37 % 180) - 89.5D as n_lat", "(n_nationkey * 101 % 360) - 179.5D as n_lon")
+    return nearest.nearest_of(nations_at, "n_nationkey", "n_lat", "n_lon", customers_at, "c_custkey")
+
+
 @query("A23", f"""
     select pickup_centre, dropoff_centre, count(*) as count from (
         select t.trip_id, p.pickup_centre, d.dropoff_centre from {{trips}} t
@@ -264,6 +298,51 @@ def fares_mart(spark, sf):
     return inputs.fare_table(spark, sf)
 
 
+def _bucketed(spark, sf, rows, name: str):
+    path = new_path(spark, name)
+    return write_bucketed(rows, path, path.rsplit("/", 1)[1].replace("-", "_"), "trip_id", 8)
+
+
+@query("J2 B9", "select * from {fares}")
+def fares_of_buckets(spark, sf):
+    """Located trips and details stored in buckets of the trip id: their join moves no row."""
+    located, details = (_bucketed(spark, sf, rows, name) for rows, name in (
+        (inputs.located(spark, sf), "located"), (view(spark, sf, "trip_details"), "details")))
+    return fares.fares(located, details)
+
+
+@query("J2 J6 A14 A15 A16", "select * from {customer_statistics}")
+def statistics_of_buckets(spark, sf):
+    """Fares and details in buckets: the only shuffle is that of the customers' sums."""
+    fare, details = (_bucketed(spark, sf, rows, name) for rows, name in (
+        (inputs.fare_table(spark, sf), "fares"), (view(spark, sf, "trip_details"), "details")))
+    return customers.customer_statistics(customers.rides(fare, details), _VALUES)
+
+
+@query("K2 S5 P13", """
+    select * replace (case when date between date'1996-03-01' and date'1996-03-03' then fare_amount + 1 else fare_amount end as fare_amount)
+    from {trips} where date between date'1996-02-25' and date'1996-03-10'""")
+def restated_day(spark, sf):
+    """A table with a folder for each day: three days are published anew, two weeks are read."""
+    path, trips = new_path(spark, "days"), view(spark, sf, "trips").where(F.year("date") == 1996)
+    publish_days(trips, path)
+    day = lambda d: dt.date(1996, *d)
+    restated = read_days(spark, path, day((3, 1)), day((3, 3))).withColumn("fare_amount", F.col("fare_amount") + 1)
+    publish_days(restated, path)
+    return read_days(spark, path, day((2, 25)), day((3, 10))).select(*trips.columns)
+
+
+@query("K2 J3", """
+    select t.trip_id, t.date, w.precipitation from {trips} t join {weather} w on t.date = w.date
+    where year(t.date) = 1996 and w.precipitation > 15""")
+def trips_of_rainy_days(spark, sf):
+    """The weather decides which days of a table by days are read: Spark prunes the folders while the join runs."""
+    path = new_path(spark, "days")
+    publish_days(view(spark, sf, "trips").where(F.year("date") == 1996), path)
+    rainy = stored_view(spark, sf, "weather").where("precipitation > 15").select("date", "precipitation")
+    return spark.read.parquet(path).join(rainy, "date").select("trip_id", "date", "precipitation")
+
+
 @query("J1 B9", "select * from {fares} where trip_id not in (select trip_id from {current_trips})")
 def fares_of_new_trips(spark, sf):
     return fares.fares(
@@ -389,6 +468,24 @@ def time_series_by_union(spark, sf):
     return time_series.union_time_series(time_series.calendar_tables(rollup))
 
 
+def _loads(spark, sf):
+    """The fares in three loads: most of the trips before 1998, those of 1998, and trips of all years that come late."""
+    fare = inputs.stored_fares(spark, sf)
+    late, old = F.col("trip_id") % 7 == 0, F.col("date") < F.lit("1998-01-01").cast("date")
+    return [fare.where(~late & old), fare.where(~late & ~old), fare.where(late)]
+
+
+@query("A10 P8 P9 B11", _SERIES)
+def time_series_after_delta(spark, sf):
+    """The mart from a stored cube after a first load, a compaction, a second load that was written twice, and late trips."""
+    path, (first, second, late) = new_path(spark, "cube"), _loads(spark, sf)
+    time_series.add_fares(first, path, 0)
+    states.compact(spark, path, time_series.STATE_KEYS)
+    for rows, batch in ((second, 1), (second, 1), (late, 2)):
+        time_series.add_fares(rows, path, batch)
+    return time_series.stored_series(spark, path)
+
+
 # Customers -----------------------------------------------------------------------------------------------------
 
 _VALUES = {"payment_method": METHODS, **CATEGORY_VALUES}
@@ -469,3 +566,26 @@ def customer_preference(spark, sf):
     fare = inputs.stored_fares(spark, sf)
     return customers.customer_preference(
         inputs.profile(spark, sf, fare), fare, view(spark, sf, "trip_details"), view(spark, sf, "trips"))
+
+
+def _stored_rides(spark, sf):
+    path, details = new_path(spark, "rides"), view(spark, sf, "trip_details")
+    for batch, rows in enumerate(_loads(spark, sf)):
+        customers.add_rides(rows, details, path, batch)
+        if batch == 1:
+            states.compact(spark, path, ["customer_id"])
+    return customers.stored_profile(spark, view(spark, sf, "customers"), path)
+
+
+@query("J6 A12 A13 A14 A15 A16 P11 B12", "select * from {customer_profile}")
+def profile_after_delta(spark, sf):
+    """The profile from the added-up states of three loads."""
+    return _stored_rides(spark, sf)
+
+
+@query("W1 A17 B13", QUERIES["customer_preference"].sql)
+def preference_after_delta(spark, sf):
+    path = new_path(spark, "boroughs")
+    for batch, rows in enumerate(_loads(spark, sf)):
+        customers.add_boroughs(rows, view(spark, sf, "trip_details"), view(spark, sf, "trips"), path, batch)
+    return customers.stored_preference(spark, _stored_rides(spark, sf), path)

@@ -14,6 +14,8 @@ from tripmart.functions import calendar as C
 from tripmart.functions.numbers import steady_round
 from tripmart.functions.sphere import great_circle_km
 from tripmart.functions.us_states import STATE_CENTRES
+from tripmart.operators import keyed_store
+from tripmart.operators.lookup import settle
 from tripmart.operators.upsert import commit_version, latest, versions
 from tripmart.plans import generate, model, pricing
 from tripmart.session import new_path
@@ -430,6 +432,23 @@ def streamed_upserts(spark, sf):
     return latest(versions(spark, base))
 
 
+@query("T3 K5", """
+    select t.trip_id, coalesce(s.date, t.date) as date, coalesce(s.pickup_hour, t.pickup_hour) as pickup_hour,
+           coalesce(s.fare_amount, t.fare_amount) as fare_amount
+    from {trips} t left join {upsert_source} s on t.trip_id = s.trip_id
+    union all select * from {upsert_source} where trip_id not in (select trip_id from {trips})""")
+def folded_into_store(spark, sf):
+    """The stream's changes folded into a partitioned store, batch after batch."""
+    path, schema = _drops(spark, sf, "upsert_source")
+    target, checkpoint = new_path(spark, "changes"), new_path(spark, "checkpoint")
+    base = new_path(spark, "store")
+    store = keyed_store.create_store(view(spark, sf, "trips").select(*schema.names), base, ["trip_id"], 8)
+    ingest.ingest_changes(ingest.open_drops(spark, f"{path}/*", schema, files_per_batch=1), target, checkpoint, ["trip_id"])
+    for _ in range(2):  # the second fold finds nothing new
+        ingest.fold_into_store(spark, base, target)
+    return keyed_store.read_store(spark, store)
+
+
 @query("B14 K5", """
     select customer_id, trip_count + case when customer_id % 3 = 0 then 1 else 0 end as trip_count from (
         select customer_id, count(*) as trip_count from {trip_details} where customer_id % 2 = 0 or customer_id % 3 = 0 group by customer_id) a""")
@@ -447,6 +466,21 @@ def refreshed_profile(spark, sf):
     return refresh_people(spark, lake, "customer_profile", later, dt.date(2024, 1, 2))
 
 
+@query("B14 K5", """
+    select customer_id, trip_count + case when customer_id % 3 = 0 then 1 else 0 end as trip_count from (
+        select customer_id, count(*) as trip_count from {trip_details} where customer_id % 2 = 0 or customer_id % 3 = 0 group by customer_id) a""")
+def refreshed_in_place(spark, sf):
+    """The same two loads into a partitioned store."""
+    from tripmart.paths import Lake
+    from tripmart.plans.refresh import refresh_in_place
+
+    counts = view(spark, sf, "trip_details").groupBy("customer_id").agg(F.count("*").alias("trip_count"))
+    lake = Lake(new_path(spark, "lake"))
+    refresh_in_place(spark, lake, "customer_profile", counts.where("customer_id % 2 = 0"), parts=8)
+    return refresh_in_place(
+        spark, lake, "customer_profile", counts.where("customer_id % 3 = 0").withColumn("trip_count", F.col("trip_count") + 1))
+
+
 @query("G1 B15", """
     select table_name, new_rows from (
         select 'customers' as table_name, count(*) as new_rows from nation union all select 'drivers', count(*) from region
@@ -460,7 +494,7 @@ def new_period_report(spark, sf):
 def new_period_details(spark, sf):
     """Each trip has one customer, driver and vehicle of the pools, newcomers among them, and two different places."""
     period = _period(spark, sf)
-    of = lambda old, new, key: F.broadcast(view(spark, sf, old).select(key).unionByName(new.select(key)).withColumn(f"known_{key}", F.lit(True)))
+    of = lambda old, new, key: settle(view(spark, sf, old).select(key).unionByName(new.select(key)).withColumn(f"known_{key}", F.lit(True)), "known")
     return (period.details.join(of("customers", period.customers, "customer_id"), "customer_id", "left")
             .join(of("drivers", period.drivers, "driver_id"), "driver_id", "left")
             .select("trip_id", F.coalesce("known_customer_id", F.lit(False)).alias("known_customer"),

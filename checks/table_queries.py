@@ -12,7 +12,7 @@ from checks.registry import query
 from tripmart import sinks
 from tripmart.functions import calendar as C
 from tripmart.functions import text
-from tripmart.operators import keys, paging, quality, unions
+from tripmart.operators import key_filter, keyed_store, keys, paging, quality, unions
 from tripmart.operators import upsert as U
 from tripmart.session import new_path
 from tripmart.sources import readers, spine
@@ -103,6 +103,42 @@ def upserted_fares_only(spark, sf):
     return U.upsert(target, shifted, ["trip_id"], ["fare_amount"])
 
 
+def _trip_store(spark, sf, parts: int = 16):
+    return keyed_store.create_store(
+        view(spark, sf, "trips").select(*_FARE_COLUMNS), new_path(spark, "store"), ["trip_id"], parts)
+
+
+@query("K5", """
+    select t.trip_id, coalesce(s.date, t.date) as date, coalesce(s.pickup_hour, t.pickup_hour) as pickup_hour,
+           coalesce(s.fare_amount, t.fare_amount) as fare_amount
+    from {trips} t left join {upsert_source} s on t.trip_id = s.trip_id
+    union all select * from {upsert_source} where trip_id not in (select trip_id from {trips})""")
+def upserted_partitions(spark, sf):
+    """The upsert of a partitioned store: first the batch of 1997, which touches all partitions, then the new copies of 1998."""
+    store, source = _trip_store(spark, sf), view(spark, sf, "upsert_source")
+    for year in (1997, 1998):
+        keyed_store.upsert_store(spark, store, source.where(F.year("date") == year))
+    return keyed_store.read_store(spark, store)
+
+
+@query("K5", """
+    select t.trip_id, t.date, t.pickup_hour, coalesce(s.fare_amount, t.fare_amount) as fare_amount
+    from {trips} t left join (select * from {upsert_source} where trip_id % 1000 = 1) s on t.trip_id = s.trip_id
+    union all select * from {upsert_source} where trip_id % 1000 = 1 and trip_id not in (select trip_id from {trips})""")
+def upserted_fares_in_store(spark, sf):
+    store = _trip_store(spark, sf)
+    keyed_store.upsert_store(spark, store, view(spark, sf, "upsert_source").where("trip_id % 1000 = 1"), ["fare_amount"])
+    return keyed_store.read_store(spark, store)
+
+
+@query("K5 J1", "select trip_id, date, pickup_hour, fare_amount from {trips} where trip_id % 500 = 3")
+def found_in_store(spark, sf):
+    """Point lookups: only partitions that can hold a key are read."""
+    wanted = view(spark, sf, "trips").where("trip_id % 500 = 3").select("trip_id")
+    return keyed_store.find_keys(spark, _trip_store(spark, sf), wanted.unionByName(wanted.select(F.col("trip_id") + 10**9)
+                                                                                   .toDF("trip_id")))
+
+
 def _versions(spark, sf):
     path = new_path(spark, "versions")
     for version, year in enumerate((1997, 1999, 9999), 1):
@@ -253,6 +289,24 @@ def page_after_key(spark, sf):
     return paging.page_after(view(spark, sf, "trips").select("trip_id", "fare_amount"), "trip_id", 250, 50)
 
 
+@query("W2", "select trip_id, fare_amount from {trips} order by fare_amount, trip_id limit 100 offset (select count(*) // 200 * 100 from {trips})")
+def middle_page(spark, sf):
+    """A page in the middle of the table by its rank index: of sixteen ranges one or two are read."""
+    trips = view(spark, sf, "trips").select("trip_id", "fare_amount")
+    index = paging.rank_index(trips, ["fare_amount", "trip_id"], new_path(spark, "ranks"), ranges=16)
+    return paging.indexed_page(spark, index, index.rows // 200, 100)
+
+
+@query("J1", "select * from {trips} where trip_id not in (select trip_id from {current_trips})")
+def new_trips_by_filter(spark, sf):
+    """The stored trips are asked only about keys that the Bloom filters of their partitions let through."""
+    known = view(spark, sf, "current_trips").select("trip_id")
+    store = keyed_store.create_store(known, new_path(spark, "store"), ["trip_id"], 16)
+    filt = key_filter.create_filter(spark, store, known.where("trip_id % 2 = 0"), new_path(spark, "filter"), 2000)
+    key_filter.add_keys(filt, known.where("trip_id % 2 = 1"), 1)
+    return key_filter.new_rows_by_filter(spark, view(spark, sf, "trips"), store, filt)
+
+
 @query("W3 A28", """
     select trip_id from {trips} where trip_id not in (select trip_id from {current_trips}) order by trip_id limit 5""")
 def first_new_keys(spark, sf):

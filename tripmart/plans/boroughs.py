@@ -20,8 +20,12 @@ LOCATED_COLUMNS = (
 
 def load_boundaries(collections: DataFrame) -> DataFrame:
     """Feature collections to (borough, geometry_json, shape), shapes closed and turned the standard way."""
-    feature = collections.select(F.explode("features").alias("f"))
-    shaped = feature.select(
+    return shapes_of(collections.select(F.explode("features").alias("f")))
+
+
+def shapes_of(features: DataFrame) -> DataFrame:
+    """The same from one row ``f`` per feature, as ``read_features`` gives them."""
+    shaped = features.select(
         F.col("f.properties.name").alias("borough"),
         G.repair(G.multipolygon(F.col("f.geometry.type"), F.col("f.geometry.coordinates"))).alias("shape"),
     )

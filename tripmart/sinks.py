@@ -45,6 +45,17 @@ def publish(
     return df.sparkSession.read.format(fmt).load(lake.current(table, layer, fmt))
 
 
+def publish_days(df: DataFrame, path: str, date: str = "date", files_per_day: int = 1) -> None:
+    """Write a table with a folder for each day. Days that ``df`` holds replace their folders, all other days stay as they are.
+
+    A repeated publish of a day replaces it, so a restated day is published like a new one. Rows without a date keep a folder of their own.
+    ``files_per_day`` lets several tasks write a busy day.
+    """
+    share = F.pmod(F.xxhash64(*[c for c in df.columns if c != date]), F.lit(files_per_day))
+    dealt = df.repartition(F.col(date), share) if files_per_day > 1 else df.repartition(date)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
+
+
 def jdbc_target(url: str, table: str, schema: str | None = None, properties: dict[str, str] | None = None) -> dict:
     return {"url": url, "dbtable": f"{schema}.{table}" if schema else table, **(properties or {})}
 

@@ -45,6 +45,32 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema(schema_for("boundaries")).json(path)
 
 
+# Between two features stands this word in quotes; the word in the collection's own type is a longer one.
+_FEATURE = '"Feature"'
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``f`` per feature, also where one file holds all of them: the file is split between features and read by many tasks.
+
+    A feature must begin with its type, as GeoJSON writers have it. A file whose features do not, or whose values hold the word "Feature", ends the load
+    with an error; ``read_geojson`` takes such files whole.
+    """
+    pieces = spark.read.option("lineSep", _FEATURE).text(path)
+    # What stands before the first feature of a file opens the collection; each other piece goes on with a comma or a brace.
+    rest = F.ltrim("value")
+    opens = r'[\[,]\s*\{\s*"type"\s*:\s*$'
+    sound = F.col("value").rlike(opens) | F.col("value").rlike(r"\}\s*$")
+    checked = F.when(sound, F.col("value")).otherwise(F.raise_error(F.lit("a feature does not begin with its type; read the file with read_geojson")))
+    feature = schema_for("boundaries")["features"].dataType.elementType
+    body = F.concat(F.lit('{"type": "Feature"'), F.regexp_replace(checked, opens, ""))
+    return (pieces.where(rest.startswith(",") | rest.startswith("}") | ~sound).select(F.from_json(body, feature).alias("f")))
+
+
+def read_days(spark: SparkSession, path: str, first: dt.date, last: dt.date, date: str = "date") -> DataFrame:
+    """The days of a table that ``sinks.publish_days`` wrote; folders of other days are not read."""
+    return read_columns(spark, path).where(F.col(date).between(F.lit(first), F.lit(last)))
+
+
 def jdbc_options(
     url: str, table: str, properties: dict[str, str] | None = None,
     partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
