@@ -29,6 +29,13 @@ def test_round_trip(spark, written):
         assert rows[page].html == (None if revisit else data)
 
 
+def test_a_task_for_each_bundle(spark, written):
+    """Adaptive execution is on in this session, and does not merge the names of the bundles."""
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    bundles = written[1].select("bundle").distinct().count()
+    assert bundles > 3 and warc.read_bundles(spark, written[0]).rdd.getNumPartitions() == bundles
+
+
 def test_single_records_by_index(spark, written):
     folder, index = written
     got = {r.page_id: bytes(r.html) for r in warc.fetch(folder, index.filter("page_id in (7, 10, 11)")).collect()}

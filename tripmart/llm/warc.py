@@ -219,7 +219,9 @@ def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
 
     Only the names of bundles are dealt out; a task opens its bundles itself and holds one frame at a time.
     """
-    named = spark.read.parquet(f"{folder}/index").select("bundle").distinct()
+    named = settle(spark.read.parquet(f"{folder}/index").select("bundle").distinct(), "bundles")
+    # The names are a few bytes each: without a number of tasks of their own, adaptive execution would give them all to one.
+    named = named.repartition(max(1, named.count()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = fs.FileSystem.from_uri(folder)
