@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -163,17 +164,27 @@ def make_rules() -> list[Rule]:
 
 
 def resolve(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """Of (start, end, priority, rule) those no better detection contains.
+    """Of (start, end, priority, rule) those no better detection contains, in one pass over their order.
 
     Better means a longer place with at least as good a priority, or the same place with the better priority or earlier rule.
     """
     kept: list[tuple[int, int, int, int]] = []
-    for d in sorted(found, key=lambda d: (d[0] - d[1], d[2], d[3], d[0])):
-        if not any(k[0] <= d[0] and d[1] <= k[1] and k[2] <= d[2] for k in kept):
+    reach: dict[int, int] = {}  # the furthest end so far of each priority
+    # Whatever contains a detection comes before it in this order.
+    for d in sorted(found, key=lambda d: (d[0], -d[1], d[2], d[3])):
+        if not any(end >= d[1] for priority, end in reach.items() if priority <= d[2]):
             kept.append(d)
+        reach[d[2]] = max(reach.get(d[2], 0), d[1])
     return sorted(kept)
 
 
+def word_places(padded: bytes, at: list[int]) -> list[int]:
+    """How many words stand before each place: one pass over the text, however many places."""
+    if not at:
+        return []
+    return np.searchsorted(np.flatnonzero(np.frombuffer(padded, np.uint8) == 32), at).tolist()
+
+
 def scan(padded: bytes, rules: list[Rule]) -> list[tuple[int, int, str, float]]:
     """(first word, word after the last, label, score) of each detection that stays; ``padded`` is " word word ... "."""
     if not any(g in padded for g in GATES):
@@ -183,28 +194,21 @@ def scan(padded: bytes, rules: list[Rule]) -> list[tuple[int, int, str, float]]:
         if any(k in padded for k in rule.keywords):
             for m in rule.pattern.finditer(padded):
                 found.append((m.start(), m.end(), rule.priority, i))
-    word = lambda at: padded.count(b" ", 0, at)
-    # Notices repeated down a long text are far apart: only neighbours that touch need comparing.
-    out: list[tuple[int, int, int, int]] = []
-    cluster: list[tuple[int, int, int, int]] = []
-    for d in sorted(found):
-        if cluster and d[0] >= max(c[1] for c in cluster):
-            out += resolve(cluster)
-            cluster = []
-        cluster.append(d)
-    out += resolve(cluster)
-    return [(word(a), word(b), rules[i].label, rules[i].score) for a, b, _, i in out]
+    out = resolve(found)
+    first, after = (word_places(padded, [d[k] for d in out]) for k in (0, 1))
+    return [(a, b, rules[d[3]].label, rules[d[3]].score) for a, b, d in zip(first, after, out)]
 
 
 def base_places(padded: bytes) -> list[tuple[int, str]]:
     """(first word, label) of each place where a base phrase stands."""
-    out = []
+    places, labels = [], []
     for phrase, label in BASE.items():
         at = padded.find(b" " + phrase + b" ")
         while at >= 0:
-            out.append((padded.count(b" ", 0, at), label))
+            places.append(at)
+            labels.append(label)
             at = padded.find(b" " + phrase + b" ", at + 1)
-    return sorted(out)
+    return sorted(zip(word_places(padded, places), labels))
 
 
 DETECTIONS = "array<struct<first:long,after:long,label:string,score:double>>"
