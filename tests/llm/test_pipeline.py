@@ -8,10 +8,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import corpus_pipeline as cp
 import test_decontaminate
+import test_near_texts
 import test_packing
 import test_pii
 import test_quality
-import test_simhash
 from tripmart.llm import packing, pii, quality
 
 SF = "/root/testdata/sf0.01"
@@ -45,12 +45,8 @@ def test_quality_keeps_what_the_labels_call_good(spark, stages):
 
 def test_one_of_each_group_stays(stages):
     before, after = stages[1], stages[2]
-    prints = {i: test_simhash.brute_print(r.text) for i, r in before.items()}
-    group = test_simhash.brute_components(prints.values())
-    least = {}
-    for i, p in prints.items():
-        least[group[p]] = min(i, least.get(group[p], i))
-    assert after == {i: before[i] for i in least.values()}
+    kept = test_near_texts.brute([(i, r.text) for i, r in before.items()])
+    assert len(kept) < len(before) and after == {i: before[i] for i in kept}
 
 
 def test_contaminated_documents_go(spark, stages):

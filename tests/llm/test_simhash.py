@@ -84,12 +84,12 @@ def test_split_shards_lose_no_link(spark, block):
     assert all(len(s) == 1 for s in by.values()) and len(set.union(*by.values())) == len(by)
 
 
-def test_one_of_each_and_empty_tables(spark):
+def test_clashing_names_and_empty_tables(spark):
     rows = [(3, "same text of five words here", "a"), (1, "same text of five words here", "b"), (1, "same text of five words here", "b"),
             (2, "quite another set of words stands here", "c"), (None, "no id", "d")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, component string")
-    out = simhash.one_of_each(docs)
-    assert out.columns == docs.columns
-    assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 2]
+    out = simhash.near_copies(docs)
+    assert out.columns == ["doc_id", "fp", "component"]
+    assert sorted((r.doc_id or 0, r.component or 0) for r in out.collect()) == [(0, 0), (1, 1), (1, 1), (2, 2), (3, 1)]
     assert simhash.near_copies(docs.limit(0)).count() == 0
     assert simhash.near_copies(docs.filter("doc_id is null")).count() == 1

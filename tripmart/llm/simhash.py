@@ -224,14 +224,6 @@ def near_copies(docs: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", t
     return prints.join(of_print, "fp").select(F.col("id").alias(doc_id), "fp", "component")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest id of each group, one row of it if that row is repeated."""
-    best = near_copies(docs, radius).filter(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
-    kept = docs.join(best, "doc_id", "left_semi")
-    unnamed = docs.filter(F.col("doc_id").isNull())
-    return kept.dropDuplicates(["doc_id"]).unionByName(unnamed)
-
-
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(read(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
