@@ -4,9 +4,14 @@ Pages of a host are ordered by URL path; a page is paired with the neighbour tha
 goes to the one before). The text lines of both are aligned by their longest common subsequence and shared lines are deleted.
 
 Differencing alone gives wrong results where two pages carry the same article or quote the same passage, and where menus differ from page to
-page. So markup decides first: regions that are named as no content (menus, page headers and footers, side bars, notices, adverts,
+page. So markup says first what it can: regions that are named as no content (menus, page headers and footers, side bars, notices, adverts,
 forms, comments, scripts) are left out, and lines inside an article, main or named content region are never deleted. Shared lines
-are deleted among what no region claims. Lines of a page that has an article (else main, else content region) are those of it.
+are deleted among what no region claims.
+
+A class is read name by name: ``content has-sidebar`` is content, ``comment-content`` a comment. A name such as header is no reason to drop the head of an article. Page frames
+may bear a name of junk, as a form or a search page does: an article or main inside such a frame is kept aside, and counts if it holds more than
+``OUTWEIGHS`` times the words of all else. Of the regions the strongest counts, article before main before content, unless a weaker one holds as many
+times more words; what is nested in the region that counts belongs to it.
 
 The order of the pages is a range-partitioned sort with row numbers, not a window over a host, so a host with a third of all pages is
 spread over tasks like any other. Only hashes of lines travel to the neighbour. The html is shuffled once.
@@ -41,48 +46,58 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " head header hgroup hr html legend li main menu nav ol option optgroup p pre search section select summary table tbody td tfoot th thead tr ul".split())
-DROPPED = frozenset("head nav aside form button select dialog menu svg canvas object audio video datalist fieldset search".split())
+DROPPED = frozenset("head nav aside button select dialog menu svg canvas object audio video datalist".split())
+FRAMES = frozenset("form fieldset search".split())  # no content, unless an article stands in them
 OUTER = frozenset(("header", "footer"))  # no content, unless they stand in an article and head it
 # Words of class, id and role that say what a region is.
 JUNK = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adbox banner breadcrumb breadcrumbs comment comments commentlist consent contentinfo"
-    " cookie cookies copyright disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification overlay"
-    " pager pagination popup promo promotion related recommended recommendations replies respond search share sharing sidebar sidebars"
-    " skip social sponsor sponsored subscribe subscription toolbar tracking widget complementary alert signup login".split())
+    "ad ads adv advert adverts advertisement advertising adsense adbox comment comments commentlist consent contentinfo"
+    " cookie cookies copyright disqus footer gdpr menu modal nav navbar navigation newsletter notice notices notification"
+    " pager pagination popup promo promotion related recommended recommendations replies respond sponsor sponsored subscribe subscription"
+    " tracking complementary".split())
+# Words that also name frames of whole pages.
+LOOSE = frozenset("alert banner breadcrumb breadcrumbs header login masthead overlay search share sharing sidebar sidebars signup skip social toolbar widget".split())
+HEADS = frozenset(("header", "masthead", "banner"))
+BESIDE = frozenset(("has", "with", "no", "without"))  # a name with one of these tells what stands beside the element
 CONTENT = frozenset("article articlebody body content entry main maincontent post postbody story storybody text".split())
-OTHER, REGION, MAIN, ARTICLE = 0, 1, 2, 3
+OTHER, REGION, MAIN, ARTICLE, BURIED = 0, 1, 2, 3, 4
+LOST, FRAME = -2, -1  # text left out for good, and text left out but for articles
+OUTWEIGHS = 2
 
-Line = tuple[str, int]  # text, the strongest region around it
+Line = tuple[str, int, int]  # text, the strongest region around it, the outermost one
 
 
-def words_of(attributes: str) -> set[str]:
-    """The words of class, id and role: main-content and mainContent count as main and content."""
-    out: set[str] = set()
-    for m in NAMED.finditer(attributes):
-        value = m[1] or m[2] or m[3] or ""
-        out |= {w.lower() for w in re.split(r"[^A-Za-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value)) if w}
-    return out
+def names_of(attributes: str) -> list[set[str]]:
+    """The words of each class, id and role: main-content and mainContent are main and content."""
+    names = [n for m in NAMED.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").split()]
+    return [{w.lower() for w in re.split(r"[^A-Za-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", n)) if w} for n in names]
 
 
 def role(name: str, attributes: str, level: int) -> int:
-    """The region an element opens, or -1 if its text is left out."""
-    if name in DROPPED or (name in OUTER and (level == OTHER or name == "footer")):
-        return -1
+    """The region an element opens, ``LOST`` or ``FRAME``."""
+    if level == LOST or name in DROPPED or (name in OUTER and (level <= OTHER or name == "footer")):
+        return LOST
+    aside = level in (FRAME, BURIED)
     if name == "article":
-        words = words_of(attributes) if attributes else set()
-        return -1 if words & {"comment", "comments", "reply", "ad", "promo", "related"} else ARTICLE
+        words = set().union(*names_of(attributes)) if attributes else set()
+        return LOST if words & {"comment", "comments", "reply", "ad", "promo", "related"} else BURIED if aside else ARTICLE
     if name == "main":
-        return max(level, MAIN)
+        return BURIED if aside else max(level, MAIN)
+    if name in FRAMES:
+        return FRAME if level <= OTHER else LOST
     if attributes and ("class" in attributes or "id" in attributes or "role" in attributes or "hidden" in attributes or "style" in attributes
                        or attributes.isupper()):
-        words = words_of(attributes)
         if HIDDEN.search(attributes):
-            return -1
+            return LOST
         if name not in ("body", "html"):
-            if words & JUNK and not (name == "header" and level):
-                return -1
-            if words & CONTENT:
-                return max(level, REGION)
+            names = [n for n in names_of(attributes) if not (n & BESIDE and n & (JUNK | LOOSE))]
+            if any(n & JUNK for n in names):
+                return LOST
+            if any(n & CONTENT and not n & LOOSE for n in names):
+                return level if aside else max(level, REGION)
+            loose = set().union(*names) & LOOSE
+            if loose and not (level > OTHER and loose <= HEADS):
+                return FRAME if level <= OTHER else LOST
     return level
 
 
@@ -90,19 +105,19 @@ def parse(page: str) -> list[Line]:
     """The text lines of a page outside the regions left out; one line for each block."""
     lines: list[Line] = []
     parts: list[str] = []
-    stack: list[tuple[str, int]] = []
-    level, at = OTHER, 0
+    stack: list[tuple[str, int, int]] = []
+    level, outer, at = OTHER, OTHER, 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            lines.append((text, level))
+            lines.append((text, level, outer))
 
     def leave(depth: int) -> None:
-        nonlocal level
+        nonlocal level, outer
         del stack[depth:]
-        level = stack[-1][1] if stack else OTHER
+        _, level, outer = stack[-1] if stack else ("", OTHER, OTHER)
 
     raw: tuple[str, re.Pattern] | None = None
     while at < len(page):
@@ -140,8 +155,9 @@ def parse(page: str) -> list[Line]:
             if name == "li" and stack and stack[-1][0] == "li":
                 leave(len(stack) - 1)
             if not m[0].endswith("/>") or name in BLOCK:
-                inside = -1 if level < 0 else role(name, m[3], level)
-                stack.append((name, inside))
+                inside = role(name, m[3], level)
+                outer = inside if outer <= OTHER or inside == BURIED else outer
+                stack.append((name, inside, outer))
                 level = inside
     flush()
     return lines
@@ -190,9 +206,17 @@ def shared(a: Sequence[int], b: Sequence[int]) -> set[int]:
 
 
 def main_text(lines: Sequence[Line], deleted: set[int]) -> str:
-    """Lines of the strongest region; elsewhere those that are not deleted."""
-    best = max((level for _, level in lines), default=OTHER)
-    return "\n".join(text for i, (text, level) in enumerate(lines) if level == best and (level != OTHER or i not in deleted))
+    """Lines of the region that counts; without regions those that are not deleted."""
+    words = [0] * (BURIED + 1)
+    for text, level, _ in lines:
+        words[level] += text.count(" ") + 1
+    best = next((level for level in (ARTICLE, MAIN, REGION) if words[level]), OTHER)
+    for level in (MAIN, REGION, BURIED):
+        if words[level] > OUTWEIGHS * words[best] and (best != OTHER or level == BURIED):
+            best = level
+    if best == OTHER:
+        return "\n".join(text for i, (text, level, _) in enumerate(lines) if level == OTHER and i not in deleted)
+    return "\n".join(text for text, level, outer in lines if level == best or (OTHER < outer <= best < level < BURIED))
 
 
 def signed(text: str) -> int:
@@ -245,7 +269,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [[signed(t) for t, _ in parse(h)] for h in batch.column(3).to_pylist()]
+            lines = [[signed(t) for t, _, _ in parse(h)] for h in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(lines, pa.list_(pa.int64()))], names=["key", "host", "path", "hashes"])
 
     listed = (rows.select("key", host.alias("host"), path.alias("path"), "html")
@@ -258,7 +282,7 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = []
             for page, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 lines = parse(page)
-                texts.append(main_text(lines, shared([signed(t) for t, _ in lines], other or [])))
+                texts.append(main_text(lines, shared([signed(t) for t, _, _ in lines], other or [])))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return rows.join(near, "key", "left").select("page_id", "url", "html", "near").mapInArrow(run, schema)
