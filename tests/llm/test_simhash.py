@@ -93,3 +93,36 @@ def test_clashing_names_and_empty_tables(spark):
     assert sorted((r.doc_id or 0, r.component or 0) for r in out.collect()) == [(0, 0), (1, 1), (1, 1), (2, 2), (3, 1)]
     assert simhash.near_copies(docs.limit(0)).count() == 0
     assert simhash.near_copies(docs.filter("doc_id is null")).count() == 1
+
+
+def test_pairs_do_not_depend_on_the_split(spark):
+    """Fingerprints within and just beyond the radius, with differences at all places: shards of one to four pieces find the same groups."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    prints = set()
+    for _ in range(120):
+        at = int(rng.integers(0, 1 << 63)) * 2 + int(rng.integers(0, 2))
+        for _ in range(3):
+            prints.add(at)
+            for bit in rng.choice(64, rng.integers(1, 7), replace=False):
+                at ^= 1 << int(bit)
+    group = brute_components(prints)
+    want = {p: min(q for q in prints if group[q] == group[p]) for p in prints}
+    rows = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in prints], "fp long")
+    for agree in (1, 2, 3, 4):
+        labels = {r.node % (1 << 64): r.label for r in simhash.components(simhash.links(rows, agree=agree)).collect()}
+        groups = {}
+        for p in prints:
+            groups.setdefault(labels.get(p, f"alone {p}"), set()).add(want[p])
+        assert len(groups) == len(set(want.values())) and all(len(g) == 1 for g in groups.values())
+
+
+def test_shards_stay_small():
+    for count in (10, 10**6, 10**9, 10**11):
+        agree = simhash.agreement(count, 4)
+        assert count >> (agree * (64 // (4 + agree))) <= simhash.BLOCK
+    assert [simhash.agreement(n, 4) for n in (10**6, 10**9, 10**11)] == [1, 2, 3]
+    for agree in (1, 2, 5):
+        cut = simhash.pieces(4, agree)
+        assert len(cut) == 4 + agree and sum(n for _, n in cut) == 64 and all(a + n == b for (a, n), (b, _) in zip(cut, cut[1:]))

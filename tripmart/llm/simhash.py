@@ -1,8 +1,9 @@
 """Near copies by 64-bit SimHash fingerprints and BK-trees.
 
 A fingerprint comes from one pass over a text. Fingerprints are then deduplicated with map-side sums, so a group of
-exact copies is one row from there on. Two fingerprints at most ``radius`` bits apart agree on one of ``radius + 1``
-bands of bits at least (pigeonhole), so each band value is a shard. A shard's fingerprints form a BK-tree: a child hangs on
+exact copies is one row from there on. Cut into ``radius + agree`` pieces, two fingerprints at most ``radius`` bits apart agree on ``agree`` of them at least
+(pigeonhole), so each choice of ``agree`` pieces with its bits is a shard. ``agree`` follows from the number of fingerprints: one piece does for
+millions, with more of them shards stay as small for billions, and any number finds the same pairs. A shard's fingerprints form a BK-tree: a child hangs on
 the integer Hamming distance to its parent, and a search follows only the edges within the radius. A task gets the shard
 once as tree and in blocks as queries; a shard with more than ``BLOCK`` fingerprints is cut into blocks, each pair of
 blocks is a task of its own, so no group is too large for a task and none is capped.
@@ -17,13 +18,14 @@ row each; a null id is larger than every other one. Only the id and text columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import narrow_batches, read, settle
@@ -140,12 +142,34 @@ def stars(tree: np.ndarray, queries: np.ndarray, radius: int, step: int = 256) -
     return sorted({(int(both[i]), groups[top]) for i, top in enumerate(tops) if int(both[i]) != groups[top]})
 
 
-def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+def pieces(radius: int, agree: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of ``radius + agree`` pieces of nearly equal size."""
+    n = radius + agree
+    sizes = [BITS // n + (i < BITS % n) for i in range(n)]
+    return list(zip(accumulate([0, *sizes]), sizes))
+
+
+def agreement(count: int, radius: int, block: int = BLOCK) -> int:
+    """The fewest pieces that must agree for a shard of spread fingerprints to be no larger than a block."""
+    for agree in range(1, BITS - radius):
+        if count >> (agree * (BITS // (radius + agree))) <= block:
+            return agree
+    return BITS - radius
+
+
+def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK, agree: int | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp`` (long) whose components are those of all pairs within the radius."""
     narrow_batches(prints.sparkSession, rows=20000)
-    bands, width = radius + 1, -(-BITS // (radius + 1))
-    band = F.posexplode(F.array(*[
-        F.shiftrightunsigned("fp", i * width).bitwiseAND((1 << width) - 1) for i in range(bands)])).alias("band", "value")
+    agree = agree or agreement(prints.count(), radius, block)
+
+    def value(chosen: tuple[tuple[int, int], ...]) -> Column:
+        bits, at = F.lit(0).cast("long"), 0
+        for first, size in chosen:
+            bits = bits.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", first).bitwiseAND((1 << size) - 1), at))
+            at += size
+        return bits
+
+    band = F.posexplode(F.array(*[value(c) for c in combinations(pieces(radius, agree), agree)])).alias("band", "value")
     placed = prints.select("fp", band)
     # A shard with one member links nothing; its size also says into how many blocks it is cut.
     sizes = placed.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1")
