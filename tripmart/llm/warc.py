@@ -191,8 +191,8 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = FRAME, per_b
         if bundle:
             yield finish()
 
-    # Sorted by bundle alone, in the order of ids, so that a bundle does not depend on how its rows arrived.
-    index = (dealt.repartition("grp").sortWithinPartitions("grp", "page_id", "copy", "url")
+    # A task for each bundle. Sorted by bundle alone, in the order of ids, so that a bundle does not depend on how its rows arrived.
+    index = (dealt.repartitionById(bundles, "grp").sortWithinPartitions("grp", "page_id", "copy", "url")
              .mapInPandas(run, INDEX))
     index.write.parquet(f"{folder}/index")
     return spark.read.schema(index.schema).parquet(f"{folder}/index")
