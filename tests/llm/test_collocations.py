@@ -66,6 +66,14 @@ def test_phrases_equal_brute_force(spark, more):
     assert len({r[0] for r in want}) >= 3 and found(spark, rows, **more) == want
 
 
+def test_blocks_cut_between_words():
+    words = [b"x" * 300, b"y", b"z" * 98, b"\n", b"w" * 97, b"\n", b"v"]
+    text = b"  " + b"x" * 300 + b" y " + b"z" * 98 + b"." + b"w" * 97 + b"\nv"
+    for size in (1, 2, 97, 98, 99, 10**6):
+        assert [w for part in C.blocks(text, size) for w in part] == words
+    assert list(C.blocks(b"", 5)) == []
+
+
 def test_empty(spark):
     assert found(spark, []) == []
     assert found(spark, [(None, None), ("en", "one two three")]) == []

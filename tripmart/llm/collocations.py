@@ -60,7 +60,7 @@ def blocks(text: bytes, size: int) -> Iterator[list[bytes]]:
     while at < len(plain):
         end = at + size
         if end < len(plain):
-            cut = max(plain.rfind(b" ", at, end), plain.rfind(b"\n", at, end))
+            cut = max(plain.rfind(b" ", at + 1, end), plain.rfind(b"\n", at + 1, end))
             if cut < 0:
                 cut = min([p for p in (plain.find(b" ", end), plain.find(b"\n", end)) if p >= 0], default=len(plain))
             end = cut
@@ -269,7 +269,8 @@ def phrases(entries: DataFrame, buckets: int, least: int = LEAST) -> DataFrame:
         if bodies:
             yield counted(bodies, 2 if at[1] else 0)
 
-    sent = entries.repartition(buckets, "bucket").sortWithinPartitions("bucket", "hot")
+    # A task for each bucket; by hashes some tasks would get several and others none.
+    sent = entries.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "hot")
     found = sent.mapInArrow(run, ", ".join(f"{c} long" for c in CODES) + ", a long")
     # A pair that was dealt by its third word has a part of its count in several buckets.
     return found.groupBy(*CODES).agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
