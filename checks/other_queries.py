@@ -17,7 +17,7 @@ from tripmart.functions.us_states import STATE_CENTRES
 from tripmart.operators import keyed_store
 from tripmart.operators.lookup import settle
 from tripmart.operators.upsert import commit_version, latest, versions
-from tripmart.plans import generate, model, pricing
+from tripmart.plans import generate, model, places, pricing
 from tripmart.session import new_path
 from tripmart.streaming import ingest
 
@@ -252,15 +252,17 @@ def _box(end: str, axis: str) -> str:
 
 
 _AREAS = [n for n in range(25) for _ in range(3 if n < 5 else 1)]
-_AREA = lambda salt: f"{_AREAS}[{_draw('trip_id', salt, len(_AREAS))} + 1]"
+_AREA = lambda salt, slots: f"{slots}[{_draw('trip_id', salt, len(slots))} + 1]"
 _STRETCH = lambda salt, short, long, medium: (
     f"case when distance_km < 1.5 then {_uniform('trip_id', salt, *short)} when distance_km > 30 then {_uniform('trip_id', salt, *long)}"
     f" else {_uniform('trip_id', salt, *medium)} end")
-_GENERATED_TRIPS = f"""
-    with areas as (select row_number() over (order by borough) - 1 as n, * from {{boroughs}}),
+def _generated(areas: str, slots: list[int]) -> str:
+    """Trips in weighted boxes; ``areas``: n, x0, x1, y0, y1, of which ``slots`` names each as often as it weighs."""
+    return f"""
+    with areas as ({areas}),
     chosen as (
-        select trip_id, {_AREA('pickup area')} as start,
-               case when {_uniform('trip_id', 'same area', 0.0, 1.0)} < 0.7 then {_AREA('pickup area')} else {_AREA('dropoff area')} end as stop
+        select trip_id, {_AREA('pickup area', slots)} as start,
+               case when {_uniform('trip_id', 'same area', 0.0, 1.0)} < 0.7 then {_AREA('pickup area', slots)} else {_AREA('dropoff area', slots)} end as stop
         from {{trips}}),
     moved as (
         select trip_id, 1230768000 + {_draw('trip_id', 'pickup time', 220752000)} as secs,
@@ -288,7 +290,15 @@ _GENERATED_TRIPS = f"""
     from timed t left join ({_WEATHER_FACTORS}) w on w.date = t.date"""
 
 
-@query("G6 X27 X28", _GENERATED_TRIPS)
+_BOROUGH_AREAS = "select row_number() over (order by borough) - 1 as n, * from {boroughs}"
+# In single quotes, so that DuckDB reads doubles.
+_DEFAULT_AREAS = "select n, {} from (values {}) v(n, x0, x1, y0, y1)".format(
+    ", ".join(f"cast({c} as double) as {c}" for c in ("x0", "x1", "y0", "y1")),
+    ", ".join(f"({n}, '{a[3]}', '{a[4]}', '{a[1]}', '{a[2]}')" for n, a in enumerate(places.default_areas())))
+_DEFAULT_SLOTS = [n for n, a in enumerate(places.default_areas()) for _ in range(a[5])]
+
+
+@query("G6 X27 X28", _generated(_BOROUGH_AREAS, _AREAS))
 def generated_trips(spark, sf):
     """A trip for every order, in the boxes of the boroughs."""
     areas = [
@@ -298,6 +308,12 @@ def generated_trips(spark, sf):
     return generate.generate_trips(view(spark, sf, "trips"), areas, stored_view(spark, sf, "weather"))
 
 
+@query("G6 X27 X28", _generated(_DEFAULT_AREAS, _DEFAULT_SLOTS))
+def trips_in_default_areas(spark, sf):
+    """A trip for every order, in the named areas of the city and the boxes around it."""
+    return generate.generate_trips(view(spark, sf, "trips"), places.default_areas(), stored_view(spark, sf, "weather"))
+
+
 @query("G7 G2", _vehicles_sql("select customer_id as driver_id from {customers}"))
 def generated_vehicles(spark, sf):
     """A vehicle for every customer, as if each drove."""

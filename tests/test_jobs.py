@@ -221,3 +221,15 @@ def test_unseen_borough(spark, training):
 def test_grid_search(training):
     best = model.tune(training, trees=[2, 4], depths=[2], folds=2)
     assert len(best.avgMetrics) == 2
+
+
+def test_default_places():
+    from tripmart.plans import places
+
+    areas = places.default_areas()
+    assert len(areas) == 156 and len({a[0] for a in areas}) == 156 and areas == places.default_areas()
+    assert all(a[1] < a[2] and a[3] < a[4] for a in areas)
+    weight = {a[0]: a[5] for a in areas}
+    assert (weight["Midtown"], weight["JFK Airport"], weight["Newark Airport"], weight["Harlem"], weight["Area_125"]) == (15, 15, 8, 5, 1)
+    assert all(40.48 <= a[1] and a[2] <= 42.02 and -74.53 <= a[3] and a[4] <= -71.47 for a in areas if a[0].startswith("Area_"))
+    assert places.location_weights(["Queens", "Nowhere"]) == {"Queens": 30, "Nowhere": 1}
