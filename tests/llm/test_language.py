@@ -29,24 +29,73 @@ def test_base_equals_plain_counts(spark, tmp_path):
 
 
 def trained(texts):
-    tables = np.zeros((mixing.CONTEXTS, 2 * mixing.SLOTS), np.int64)
+    """Scores of other texts after learning from ``texts``, all in this process."""
+    tables = np.zeros((mixing.TABLES, 2 * mixing.SLOTS), np.uint32)
     mixing.count(texts, tables)
-    return np.stack([mixing.stretched(t[0::2].astype(float), t[1::2].astype(float)) for t in tables])
+    model = np.stack([mixing.stretched(t[0::2].astype(float), t[1::2].astype(float)) for t in tables])
+    closed = lambda t: [*(w + b" " for w in t[:-1].split(b" ")[:-1]), t[:-1].split(b" ")[-1] + t[-1:]] if t else []
+    seen = Counter(w for t in texts for w in closed(t))
+
+    def score(others):
+        names = {w: i for i, w in enumerate(sorted({*seen, *(w for t in others for w in closed(t))}))}
+        words = mixing.Words(list(names))
+        zeros, ones = words.counts(np.array([seen[w] for w in names], np.int64))
+        tokens = np.array([names[w] for t in others for w in closed(t)], np.int64)
+        return mixing.score(others, model, words, tokens, mixing.stretched(zeros, ones)[words.key_of])
+
+    return score
 
 
 def test_probabilities_of_all_next_bytes_sum_to_one():
-    model = trained([b"the cat sat on the mat\n" * 3])
+    score = trained([b"the cat sat on the mat\n" * 3])
     start = b"the c"
     tails = [start + bytes([b]) for b in range(256)]
-    total = sum(10 ** s for s in mixing.score(tails, model)) / 10 ** mixing.score([start], model)[0]
+    total = sum(10 ** s for s in score(tails)) / 10 ** score([start])[0]
     assert abs(total - 1) < 1e-3
 
 
 def test_score_does_not_depend_on_company():
-    model = trained([b"some words to learn from\n"])
+    score = trained([b"some words to learn from\n"])
     texts = [b"some words\n", b"", b"other words to learn\n" * 900, b"x"]
-    alone = [mixing.score([t], model)[0] for t in texts]
-    assert np.allclose(mixing.score(texts, model), alone) and alone[1] == 0
+    alone = [score([t])[0] for t in texts]
+    assert np.allclose(score(texts), alone) and alone[1] == 0
+
+
+def test_slots_of_words_equal_plain_counts():
+    """The word so far: each decision's counts are those over all training words that begin alike."""
+    words = sorted([b"the ", b"then ", b"the\n", b"\n", b"a ", b"\xc3\xa9t ", b"them ", b"tha ", b"then" * 2000 + b" "])
+    number = np.array([5, 3, 2, 1, 0, 4, 7, 6, 2])
+    held = mixing.Words(words)
+    zeros, ones = (v[held.key_of] for v in held.counts(number))
+    lengths, offsets, flat = mixing.code()
+    path = lambda b: flat[offsets[b]:offsets[b] + lengths[b]].tolist()
+    want = Counter()
+    for w, k in zip(words, number.tolist()):
+        for i, b in enumerate(w):
+            for step in path(b):
+                want[i, hash(w[:i]), step] += k
+    for j, w in enumerate(words):
+        each = lengths[np.frombuffer(w, np.uint8)]
+        found = [held.inputs(np.array([j]), each, v).tolist() for v in (zeros, ones)]
+        steps = [(i, hash(w[:i]), s) for i, b in enumerate(w) for s in path(b)]
+        assert found == [[want[i, p, s & ~1] for i, p, s in steps], [want[i, p, s | 1] for i, p, s in steps]]
+
+
+def test_numbers_come_back_from_planes():
+    for kind, values in ((np.uint64, [0, 2 ** 63, 5]), (np.int16, [-7, 30000]), (np.int64, []), (np.uint32, [1])):
+        assert language.opened(language.squeezed(np.array(values, kind)), kind).tolist() == values
+
+
+def test_what_is_gathered_grows_with_the_corpus(spark):
+    from tripmart.llm.substrings import packed
+
+    def slots(texts):
+        docs = spark.createDataFrame([(0, i, t.encode()) for i, t in enumerate(texts)], "grp int, id long, body binary")
+        rows = language.asked_counts(packed(docs), 3, 40).filter("kind = 1").collect()
+        return sum(len(language.opened(r["keys"], np.uint64)) for r in rows)
+
+    texts = [" ".join(f"w{i * 37 % 9973}x{j}" for j in range(20)) for i in range(400)]
+    assert slots(texts) > 1.5 * slots(texts[:200]) > 0
 
 
 def test_each_byte_has_its_own_path():
@@ -57,7 +106,7 @@ def test_each_byte_has_its_own_path():
 
 def test_learning_helps_on_held_out_documents(spark):
     rows = [r for r in language.op2_language_model(spark, "/root/testdata/sf0.01").collect() if r.held_out]
-    untrained = mixing.score([b"these are plain words of a text\n"], np.zeros((mixing.CONTEXTS, mixing.SLOTS), np.int16))[0]
+    untrained = trained([])([b"these are plain words of a text\n"])[0]
     assert -untrained * np.log2(10) / 32 > 4  # about the length of the paths
     mean = np.average([r.bits_per_byte for r in rows], weights=[r.n_tokens for r in rows])
     assert mean < 3

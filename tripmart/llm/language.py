@@ -1,10 +1,11 @@
 """Scores of documents under language models learned from the training part of the corpus.
 
-Two models learn from the documents whose crc32 of the id is not 1 modulo 5. The base is the additive count of words over all training words:
-groups of documents send the distinct words they hold to buckets of a word hash, buckets add the counts up and answer each group with those it
-asked for. The other is the online logistic mixture of ``mixing``: every input partition counts the decisions of its training
-documents in hashed slots, the slots are added up block by block, and the table, whose size is a parameter of the model and not of the corpus, is
-sent to the executors. Every count covers all training documents; word counts grow with the corpus.
+Two models learn from the documents whose crc32 of the id is not 1 modulo 5. The base is the additive count of words over all training words.
+The other is the online logistic mixture of ``mixing``. Its context of the word so far has a slot for each beginning of a word that the corpus
+holds, so it grows with the corpus as the word counts do: groups of documents send the distinct words and slots they hold to buckets of a hash,
+buckets add the counts up and answer each group with those it asked for. The contexts of three and five bytes lie in tables whose size is a
+parameter: every input partition counts the decisions of its training documents in hashed slots, the slots are added up block by block, and the
+table is sent to the executors. Every count covers all training documents.
 
 A word in a third of all documents is one entry from each group. Groups and buckets grow in number with the bytes read. Texts travel twice, compressed.
 Null and empty texts have one token, the end. A null id counts as an empty one and so as training. Repeated rows give a row each.
@@ -14,7 +15,7 @@ Only id and text are read.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,9 @@ from tripmart.llm import mixing
 from tripmart.llm.common import narrow_batches, read, settle, size_tasks
 from tripmart.llm.substrings import LAST, blob_groups, packed, parts, runs, unpacked
 
-UNIT = 8 << 20  # bytes of text in a document group
+UNIT = 16 << 20  # bytes of text in a document group
 FOLDS, HELD_OUT = 5, 1
+SLOTS_PER_BYTE = 2  # at least, of the context of the word so far
 END = b"\n"  # the token after the last word; no word can be one
 PART = 1 << 16  # slots of the table that are added up together
 CHUNK = 1 << 15  # bytes scored at once: few enough for a processor's cache
@@ -39,11 +41,11 @@ def held_out(number: int) -> bool:
     return zlib.crc32(b"" if number == LAST else str(number).encode()) % FOLDS == HELD_OUT
 
 
-def in_chunks(texts: list[bytes], size: int = CHUNK) -> Iterator[list[bytes]]:
+def in_chunks(things: list, size: int = CHUNK, length=len) -> Iterator[list]:
     held, total = [], 0
-    for t in texts:
+    for t in things:
         held.append(t)
-        total += len(t)
+        total += length(t)
         if total >= size:
             yield held
             held, total = [], 0
@@ -58,96 +60,147 @@ def line(words: list[bytes]) -> bytes:
 def train_tables(training: DataFrame) -> DataFrame:
     """(context, part, body): the counts of the mixture's slots over all rows of ``training`` (one binary column)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((mixing.CONTEXTS, 2 * mixing.SLOTS), np.int64)
+        tables = np.zeros((mixing.TABLES, 2 * mixing.SLOTS), np.uint32)
         for batch in batches:
             for texts in in_chunks([line(mixing.normal(t or b"")) for t in batch.column(0).to_pylist()]):
                 mixing.count(texts, tables)
         squeeze = zstandard.ZstdCompressor(level=1)
-        for k in range(mixing.CONTEXTS):
+        for k in range(mixing.TABLES):
             for p in range(mixing.SLOTS // PART):
                 part = tables[k, 2 * PART * p:2 * PART * (p + 1)]
                 if part.any():
-                    body = squeeze.compress(part.astype(np.uint32).tobytes())
+                    body = squeeze.compress(part.tobytes())
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([p], pa.int32()), pa.array([body])], names=["context", "part", "body"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, close = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
-        for key, held in blob_groups(batches, "key"):
-            total = np.zeros(2 * PART, np.int64)
-            for row in held:
-                total += np.frombuffer(open_.decompress(row["body"]), np.uint32)
+
+        def done(key: int, total: np.ndarray) -> pa.RecordBatch:
             pairs = total.reshape(-1, 2).astype(np.float64)
             body = close.compress(mixing.stretched(pairs[:, 0], pairs[:, 1]).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([body])], names=["key", "body"])
+            return pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([body])], names=["key", "body"])
+
+        current, total = None, np.zeros(2 * PART, np.int64)
+        for batch in batches:
+            for key, body in zip(batch.column(0), batch.column(1)):
+                if current is not None and key.as_py() != current:
+                    yield done(current, total)
+                    total = np.zeros(2 * PART, np.int64)
+                current = key.as_py()
+                total += np.frombuffer(open_.decompress(body.as_py()), np.uint32)
+        if current is not None:
+            yield done(current, total)
 
     keyed = training.mapInArrow(run, "context int, part int, body binary").select(
         (F.col("context") * (mixing.SLOTS // PART) + F.col("part")).alias("key"), "body")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(add, "key int, body binary")
+    return keyed.repartition(mixing.TABLES * mixing.SLOTS // PART, "key").sortWithinPartitions("key").mapInArrow(add, "key int, body binary")
 
 
 def mixture(training: DataFrame) -> np.ndarray:
-    """The table of the mixture. It has ``CONTEXTS * SLOTS`` short numbers whatever the corpus, so it may come to the driver."""
-    model = np.zeros(mixing.CONTEXTS * mixing.SLOTS, np.int16)
+    """The table of the mixture. It has ``TABLES * SLOTS`` short numbers whatever the corpus, so it may come to the driver."""
+    model = np.zeros(mixing.TABLES * mixing.SLOTS, np.int16)
     squeeze = zstandard.ZstdDecompressor()
     for row in train_tables(training).collect():
         model[PART * row.key:PART * (row.key + 1)] = np.frombuffer(squeeze.decompress(row.body), np.int16)
-    return model.reshape(mixing.CONTEXTS, mixing.SLOTS)
+    return model.reshape(mixing.TABLES, mixing.SLOTS)
 
 
 def word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-ASKED = "bucket int, grp int, hash binary, count binary"
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers as compressed planes of bytes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def asked_words(chunks: DataFrame, buckets: int) -> DataFrame:
-    """For each group and bucket the distinct words it holds and how often they stand in its training documents."""
-    def run(table: pa.Table) -> pa.Table:
-        counts: Counter[bytes] = Counter()
-        others: set[bytes] = set()
+def opened(body: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
+class Group:
+    """The documents of a group, their words as numbers, and what the group asks the corpus for."""
+
+    def __init__(self, table: pa.Table, buckets: int, key_bits: int):
+        self.buckets, self.key_bits, number, last = buckets, key_bits, defaultdict(), {}
+        number.default_factory = number.__len__
+        self.docs, self.tokens = [], []
         for _, i, text, copies in unpacked(table):
             words = mixing.normal(text)
-            if held_out(i):
-                others.update(words)
-                others.add(END)
-            else:
-                for _ in range(copies):
-                    counts.update(words)
-                counts[END] += copies
-        others.difference_update(counts)
-        names = [*counts, *others]
-        hashes = np.fromiter(map(word_hash, names), np.uint64, len(names))
-        number = np.zeros(len(names), np.int64)
-        number[: len(counts)] = np.fromiter(counts.values(), np.int64, len(counts))
+            self.tokens.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+            end = last.setdefault((words[-1] if words else b"") + END, len(last))
+            self.docs.append((i, copies, line(words), end))
+        self.names = [*number, END]
+        closed = [*(w + b" " for w in number), *last]
+        order = sorted(range(len(closed)), key=closed.__getitem__)
+        self.place = np.empty(len(closed), np.int64)
+        self.place[order] = np.arange(len(closed))
+        self.words = mixing.Words([closed[i] for i in order], key_bits)
+        hashes = np.fromiter(map(word_hash, self.names), np.uint64, len(self.names))
         bucket = (hashes >> np.uint64(33)).astype(np.int64) % buckets
-        order = np.lexsort((hashes, bucket))
-        bucket, hashes, number = bucket[order], hashes[order], number[order].astype(np.uint32)
+        self.order = np.lexsort((hashes, bucket))
+        self.hashes, self.bucket = hashes[self.order], bucket[self.order]
+
+    def closed(self, at: int) -> np.ndarray:
+        """The words of a document as numbers in ``words``: the last one is closed by the end, the others by a space."""
+        return self.place.take(np.append(self.tokens[at][:-1], len(self.names) - 1 + self.docs[at][3]))
+
+    def asked(self) -> list[tuple]:
+        number, closed = np.zeros(len(self.names), np.int64), np.zeros(len(self.words.sizes), np.int64)
+        for at, (i, copies, _, _) in enumerate(self.docs):
+            if not held_out(i):
+                np.add.at(number, self.tokens[at], copies)
+                number[-1] += copies
+                np.add.at(closed, self.closed(at), copies)
+        number = number[self.order]
+        out = [(int(self.bucket[p.start]), 0, squeezed(np.diff(self.hashes[p], prepend=np.uint64(0))), squeezed(number[p]), b"")
+               for p in parts(runs(self.bucket), len(number))]
+        zeros, ones = (v.astype(np.uint32) for v in self.words.counts(closed))
+        keys = self.words.keys
+        of_slot = slot_buckets(keys, self.buckets, self.key_bits)
+        return out + [(int(of_slot[p.start]), 1, squeezed(np.diff(keys[p], prepend=np.uint64(0))), squeezed(zeros[p]), squeezed(ones[p]))
+                      for p in parts(runs(of_slot), len(keys))]
+
+
+def slot_buckets(keys: np.ndarray, buckets: int, key_bits: int) -> np.ndarray:
+    """Ascending keys lie in ascending buckets of equal width."""
+    width = -(-(1 << key_bits) // buckets)
+    return (keys // np.uint64(width)).astype(np.int64)
+
+
+def asked_counts(chunks: DataFrame, buckets: int, key_bits: int) -> DataFrame:
+    """For each group and bucket the distinct words (kind 0) and slots (1) it holds and what its training documents add to them."""
+    def run(table: pa.Table) -> pa.Table:
         group = table.column("grp")[0].as_py()
-        out = [(int(bucket[p.start]), group, hashes[p].tobytes(), number[p].tobytes()) for p in parts(runs(bucket), len(bucket))]
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, [pa.int32(), pa.int32(), pa.binary(), pa.binary()])],
-                        names=["bucket", "grp", "hash", "count"])
+        out = [(group, *row) for row in Group(table, buckets, key_bits).asked()]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out), [*[pa.int32()] * 3, *[pa.binary()] * 3])],
+                        names=["grp", "bucket", "kind", "keys", "zeros", "ones"])
 
-    return chunks.groupBy("grp").applyInArrow(run, ASKED)
+    return chunks.groupBy("grp").applyInArrow(run, "grp int, bucket int, kind int, keys binary, zeros binary, ones binary")
 
 
-def summed_words(asked: DataFrame) -> DataFrame:
-    """The corpus counts of each group's words. Rows of group -1 hold a bucket's sum of counts and number of training words."""
+def summed_counts(asked: DataFrame, buckets: int) -> DataFrame:
+    """The corpus counts of each group's words and slots, in the order asked. Rows of group -1 hold a bucket's sum of counts and number of training words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in blob_groups(batches, "bucket"):
-            hashes = np.concatenate([np.frombuffer(r["hash"], np.uint64) for r in held])
-            number = np.concatenate([np.frombuffer(r["count"], np.uint32) for r in held]).astype(np.int64)
-            _, inverse = np.unique(hashes, return_inverse=True)
-            total = np.bincount(inverse, number).astype(np.int64)
-            out = [(-1, b"", np.array([total.sum(), (total > 0).sum()], np.int64).tobytes())]
-            each, at = total[inverse], 0
-            for r in held:
-                n = len(r["hash"]) // 8
-                out.append((r["grp"], r["hash"], each[at:at + n].tobytes()))
-                at += n
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), pa.binary(), pa.binary()])], names=["grp", "hash", "count"])
-
-    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "grp int, hash binary, count binary")
+        for place, held in blob_groups(batches, "place"):
+            keys = [np.cumsum(opened(r["keys"], np.uint64)) for r in held]
+            sizes = [len(k) for k in keys]
+            names, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+            del keys
+            of = lambda column, kind: np.bincount(inverse, np.concatenate([opened(r[column], kind) for r in held]), len(names))
+            if place % 2:
+                each, out = mixing.stretched(of("zeros", np.uint32), of("ones", np.uint32))[inverse], []
+            else:
+                total = of("zeros", np.int64).astype(np.int64)
+                each, out = total[inverse], [(-1, place % 2, place // 2, squeezed(np.array([total.sum(), (total > 0).sum()], np.int64)))]
+            at = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+            out += [(r["grp"], place % 2, place // 2, squeezed(each[a:b])) for r, a, b in zip(held, at, at[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [*[pa.int32()] * 3, pa.binary()])], names=["grp", "kind", "bucket", "body"])
+
+    keyed = asked.select((F.col("bucket").cast("long") * 2 + F.col("kind")).alias("place"), "grp", "keys", "zeros", "ones")
+    return keyed.repartition(buckets, "place").sortWithinPartitions("place").mapInArrow(run, "grp int, kind int, bucket int, body binary")
 
 
 SCORED = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
@@ -158,30 +211,33 @@ def score(docs: DataFrame, unit: int = UNIT, doc_id: str = "doc_id", text: str =
     spark = docs.sparkSession
     narrow_batches(spark)
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    groups = buckets = size_tasks(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0, unit)
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    groups = buckets = size_tasks(size, unit)
+    key_bits = (SLOTS_PER_BYTE * size).bit_length()
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
     rows = docs.select(F.pmod(F.xxhash64(number, body), F.lit(groups)).cast("int").alias("grp"), number.alias("id"), body.alias("body"))
     fold = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS
     model = spark.sparkContext.broadcast(mixture(docs.filter(fold != HELD_OUT).select(body.alias("body"))))
-    counts = settle(summed_words(asked_words(packed(rows), buckets)), "counts")
-    totals = counts.filter("grp = -1").select("count").mapInArrow(unpack_totals, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
+    counts = settle(summed_counts(asked_counts(packed(rows), buckets, key_bits), buckets), "counts")
+    totals = counts.filter("grp = -1").select("body").mapInArrow(unpack_totals, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
     n, v = totals[0] or 0, totals[1] or 0
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        join = lambda c, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(b, kind) for b in right.column(c).to_pylist()]])
-        hashes, number = join("hash", np.uint64), join("count", np.int64)
-        logs = np.log10((number + 0.5) / (n + 0.5 * (v + 1))).tolist()
-        value, unknown = dict(zip(hashes.tolist(), logs)), float(np.log10(0.5 / (n + 0.5 * (v + 1))))
-        docs = [(i, mixing.normal(text), copies) for _, i, text, copies in unpacked(left)]
-        of_word = {w: value[word_hash(w)] for w in set().union((END,), *(words for _, words, _ in docs))} if docs else {}
-        out, lines = [], []
-        for i, words, copies in docs:
-            found = list(map(of_word.__getitem__, words))
-            found.append(of_word[END])
-            lines.append(line(words))
-            out.append((None if i == LAST else i, held_out(i), len(found), len(found) - found.count(unknown), n, sum(found), copies))
-        scores = np.concatenate([np.zeros(0), *[mixing.score(part, model.value) for part in in_chunks(lines)]])
-        rows = [(*row[:6], s, len(t)) for row, s, t in zip(out, scores.tolist(), lines) for _ in range(row[-1])]
+        answers = {(r["kind"], r["bucket"]): r["body"] for r in right.to_pylist()}
+        join = lambda kind, form: np.concatenate([np.zeros(0, form), *[opened(answers[k], form) for k in sorted(answers) if k[0] == kind]])
+        group = Group(left, buckets, key_bits)
+        number = np.zeros(len(group.names), np.int64)
+        number[group.order] = join(0, np.int64)
+        logs = np.log10((number + 0.5) / (n + 0.5 * (v + 1)))
+        of_decision = join(1, np.int16)[group.words.key_of]
+        out, scores = [], [np.zeros(0)]
+        for at, (i, copies, text, _) in enumerate(group.docs):
+            tokens = np.append(group.tokens[at], len(number) - 1)
+            out.append((None if i == LAST else i, held_out(i), len(tokens), int((number[tokens] > 0).sum()), n, float(logs[tokens].sum()), len(text), copies))
+        for some in in_chunks(list(range(len(out))), CHUNK, lambda at: len(group.docs[at][2])):
+            tokens = np.concatenate([group.closed(at) for at in some])
+            scores.append(mixing.score([group.docs[at][2] for at in some], model.value, group.words, tokens, of_decision))
+        rows = [(*row[:6], s, row[6]) for row, s in zip(out, np.concatenate(scores).tolist()) for _ in range(row[-1])]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 8, kinds)], names=[f.split()[0] for f in SCORED.split(", ")])
 
@@ -191,7 +247,7 @@ def score(docs: DataFrame, unit: int = UNIT, doc_id: str = "doc_id", text: str =
 
 def unpack_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pairs = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(b, np.int64) for b in batch.column(0).to_pylist()]]).reshape(-1, 2)
+        pairs = np.concatenate([np.zeros(0, np.int64), *[opened(b, np.int64) for b in batch.column(0).to_pylist()]]).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["n", "v"])
 
 

@@ -2,7 +2,8 @@
 
 A text is its lower-cased words joined by one space and closed by a newline, as bytes. A byte is a few binary decisions, the path to it
 in a fixed prefix code, in which frequent bytes are short. For each decision three contexts (the three bytes before, the five bytes before,
-the word so far) name a slot of a hashed table of counts; a count pair gives a stretched probability. Their weighted sum is squashed;
+the word so far) name a slot; its pair of counts gives a stretched probability. The first two lie in hashed tables, the nodes of a byte close
+together; the third is one slot for each beginning of a word of the corpus, however many there are. The weighted sum of the three is squashed;
 the weights belong to a gate, that is how well the longer two contexts are known. A text starts with fixed weights, and after each block
 of decisions the weights of each gate follow the error. The refinement maps the mixed probability to what happened at that level and gate
 so far in the text, and both are averaged.
@@ -11,20 +12,22 @@ so far in the text, and both are averaged.
 from __future__ import annotations
 
 import heapq
+from collections import deque
 from functools import cache
 
 import numpy as np
 
 SLOT_BITS = 22
 SLOTS = 1 << SLOT_BITS
+TABLES = 2  # contexts that lie in tables of slots
 CONTEXTS = 3
 LEVELS = 4  # 0 to 3: how often a slot was seen
 GATES = LEVELS * LEVELS
 STEPS = 24  # levels of the refinement
 FIRST_BLOCK, LAST_BLOCK = 2048, 16384
-PRIOR, LIMIT, SCALE = 0.4, 7.5, 512
+PRIOR, LIMIT, SCALE = 0.4, 7.5, 2048  # log-odds times SCALE; the last two bits are the level
 START = (0.5, 0.7, 0.2)
-RATE, TRUST = 4e-6, 60.0
+RATE, TRUST = 2.5e-7, 60.0
 U32, U64 = np.uint32, np.uint64
 # Bytes of running text from frequent to rare; all others follow by number.
 FREQUENT = b" etnaoishrdluecgmpfbwy.v,\xc3qk\n\xa9|!*#$%&jxz-'\":;?()0123456789"
@@ -43,9 +46,9 @@ def code() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         heapq.heappush(heap, (a[0] + b[0], number, (a[2], b[2])))
         number += 1
     paths: dict[int, list[int]] = {}
-    count, todo = 0, [(heap[0][2], [])]
-    while todo:
-        tree, path = todo.pop()
+    count, todo = 0, deque([(heap[0][2], [])])
+    while todo:  # level by level: the nodes of frequent bytes have low numbers
+        tree, path = todo.popleft()
         if isinstance(tree, tuple):
             node, count = count, count + 1
             todo += [(side, [*path, 2 * node + bit]) for bit, side in enumerate(tree)]
@@ -70,57 +73,145 @@ def normal(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def decisions(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(slot of each context, bit) of every decision of the texts one after another, and how many each text has."""
+def steps(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(decisions of each byte, byte of each decision, 2 * node + bit of each decision)."""
+    lengths, offsets, flat = code()
+    each = lengths.take(body)
+    ends = np.cumsum(each)
+    where = np.repeat(np.arange(len(body)), each)
+    at = (offsets.take(body) - ends + each).take(where)
+    at += np.arange(len(where))
+    return each, where, flat.take(at)
+
+
+def decisions(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """(slot of each table, bit) of every decision of the texts one after another, decisions of each byte and of each text."""
     body = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     begin = np.cumsum(sizes) - sizes
-    n = len(body)
     # The bytes before; a text starts after zeros.
     wide = body.astype(U32)
-    c4 = np.zeros(n, U32)
-    place = np.arange(n) - np.repeat(begin, sizes)
-    for k in range(1, 5):
-        shifted = wide[:-k] << U32(8 * (k - 1)) if k < n else wide[:0]
-        if k < n:
-            c4[k:] |= np.where(place[k:] >= k, shifted, 0).astype(U32)
-    # The word so far: a difference of prefix sums, moved to the same power.
-    up, down = powers(max(16, int(n + 1).bit_length()))
-    total = np.concatenate([np.zeros(1, U64), np.cumsum((body.astype(U64) + U64(1)) * up[:n])])
-    start = np.arange(n)
-    new = np.zeros(n, bool)
-    new[begin[sizes > 0]] = True
-    new[1:] |= body[:-1] == 32
-    start = np.maximum.accumulate(np.where(new, start, 0))
-    word = ((total[:-1] - total[start]) * down[start]) >> U64(32)
-    c5 = c4 * U32(0x2C1B3C6D)
-    if n > 5:
-        c5[5:] += np.where(place[5:] >= 5, wide[:-5] * U32(0x9E3779B1), U32(0))
-    hashes = [(c4 & U32(0xFFFFFF)) * U32(0x9E3779B1), c5 * U32(0x85EBCA6B) + U32(0x27D4EB2F), word.astype(U32) * U32(0xC2B2AE35) + U32(0x165667B1)]
-    lengths, offsets, flat = code()
-    each = lengths[body]
-    ends = np.cumsum(each)
-    step = flat[np.arange(ends[-1] if n else 0) + np.repeat(offsets[body] - ends + each, each)]
-    bit, node = (step & U32(1)), (step >> U32(1)) * U32(0x2545F491)
+    place = np.arange(len(body)) - np.repeat(begin, sizes)
+    before = lambda k: np.where(place[k:] >= k, wide[:-k], U32(0))
+    three, five = np.zeros(len(body), U32), np.zeros(len(body), U32)
+    for k in range(1, min(6, len(body))):
+        byte = before(k)
+        if k < 4:
+            three[k:] |= byte << U32(8 * (k - 1))
+        five[k:] += byte * U32(pow(R, k, 1 << 32))
+    each, where, step = steps(body)
+    node = step >> U32(1)
     slots = []
-    for h in hashes:
-        x = np.repeat(h, each)
-        x ^= node
-        x *= U32(0x9E3779B1)
+    for x in (three * U32(0x9E3779B1), five):
         x ^= x >> U32(15)
         x *= U32(0x85EBCA77)
-        slots.append(x >> U32(32 - SLOT_BITS))
-    counts = np.add.reduceat(each, begin[sizes > 0]) if n else np.zeros(0, np.int64)
+        x ^= x >> U32(13)
+        x *= U32(0xC2B2AE35)
+        slot = (x >> U32(32 - SLOT_BITS)).take(where)
+        slot ^= node  # a byte's nodes share a few cache lines
+        slots.append(slot)
+    counts = np.add.reduceat(each, begin[sizes > 0]) if len(body) else np.zeros(0, np.int64)
     of_text = np.zeros(len(texts), np.int64)
     of_text[sizes > 0] = counts
-    return slots, bit, of_text
+    return slots, step & U32(1), each, of_text
 
 
 def count(texts: list[bytes], tables: np.ndarray) -> None:
-    """Add the decisions of ``texts`` to ``tables`` (contexts x 2 * slots)."""
-    slots, bit, _ = decisions(texts)
+    """Add the decisions of ``texts`` to ``tables`` (tables x 2 * slots)."""
+    slots, bit, _, _ = decisions(texts)
     for k, slot in enumerate(slots):
-        np.add.at(tables[k], slot.astype(np.int64) * 2 + bit, tables.dtype.type(1))
+        at = slot.astype(np.int64)
+        at += at
+        at += bit
+        np.add.at(tables[k], at, tables.dtype.type(1))
+
+
+def ascending(keys: np.ndarray, bits: int) -> np.ndarray:
+    """An order in which ``keys``, below 2 to the ``bits``, ascend."""
+    places = len(keys).bit_length()
+    if bits + places > 64:
+        return np.argsort(keys)
+    both = np.sort(keys << U64(places) | np.arange(len(keys), dtype=U64))
+    return (both & U64((1 << places) - 1)).astype(np.int64)
+
+
+class Words:
+    """Distinct words, ascending, each with the byte that closes it, as a set of beginnings and their decisions.
+
+    ``keys`` are the distinct hashes of (word so far, node), ascending; in ``key_of`` they stand for each decision of each distinct beginning.
+    """
+
+    def __init__(self, words: list[bytes], key_bits: int = 48):
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        body = np.frombuffer(b"".join(words), np.uint8)
+        place = np.arange(len(body)) - np.repeat(self.begin, self.sizes)
+        new = place >= np.repeat(self.shared(body), self.sizes)
+        # Words that begin alike stand together, so at each place the new beginnings number all.
+        order = np.argsort(place.astype(np.uint16) if len(words) and self.sizes.max() < 1 << 16 else place, kind="stable")
+        self.edge = np.empty(len(body), np.int64)
+        self.edge[order] = np.cumsum(new[order]) - 1
+        first = order[new[order]]
+        self.each, where, step = steps(body.take(first))
+        self.first = np.cumsum(self.each) - self.each
+        self.bit = (step & U32(1)).astype(np.uint8)
+        key = self.hashes(body).take(first).take(where)
+        key += (step >> U32(1)).astype(U64) * U64(0xD6E8FEB86659FD93)
+        key ^= key >> U64(32)
+        key *= U64(R)
+        key >>= U64(64 - key_bits)
+        order = ascending(key, key_bits)
+        key = key.take(order)
+        new = np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]])
+        self.keys, self.key_of = key[new], np.empty(len(key), np.int64)
+        self.key_of[order] = np.cumsum(new) - 1
+
+    def shared(self, body: np.ndarray) -> np.ndarray:
+        """How many bytes each word shares with the one before."""
+        shared = np.zeros(len(self.sizes), np.int64)
+        alike, n = np.arange(1, len(self.sizes)), 0
+        while len(alike):
+            alike = alike[(self.sizes[alike] > n) & (self.sizes[alike - 1] > n)]
+            alike = alike[body[self.begin[alike] + n] == body[self.begin[alike - 1] + n]]
+            n += 1
+            shared[alike] = n
+        return shared
+
+    def hashes(self, body: np.ndarray) -> np.ndarray:
+        """For each byte a hash of the word before it: differences of prefix sums, moved to the same power, in parts of bounded length."""
+        out, at = np.empty(len(body), U64), 0
+        while at < len(self.sizes):
+            upto = max(at + 1, int(np.searchsorted(self.begin, self.begin[at] + (1 << 18))))
+            low = int(self.begin[at])
+            part = body[low:int(self.begin[upto - 1] + self.sizes[upto - 1])]
+            up, down = powers(max(16, (len(part) + 1).bit_length()))
+            total = np.concatenate([np.zeros(1, U64), np.cumsum((part.astype(U64) + U64(1)) * up[:len(part)])])
+            start = np.repeat(self.begin[at:upto] - low, self.sizes[at:upto])
+            h = (total[:-1] - total[start]) * down[start]
+            h ^= h >> U64(31)
+            h *= U64(0x9FB21C651E98DF25)
+            out[low:low + len(part)] = h ^ (h >> U64(28))
+            at = upto
+        return out
+
+    def counts(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Zeros and ones of each key when word ``i`` stands ``number[i]`` times."""
+        edges = np.bincount(self.edge, np.repeat(number, self.sizes).astype(np.float64), len(self.each))
+        weight = np.repeat(edges, self.each)
+        ones = np.bincount(self.key_of, weight * self.bit, len(self.keys))
+        return np.bincount(self.key_of, weight, len(self.keys)) - ones, ones
+
+    def inputs(self, tokens: np.ndarray, each: np.ndarray, of_decision: np.ndarray) -> np.ndarray:
+        """``of_decision`` for every decision of the words with numbers ``tokens``, one after another; ``each``: decisions of each byte."""
+        sizes = self.sizes.take(tokens)
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.begin.take(tokens) - ends + sizes, sizes)
+        at += np.arange(len(at))
+        start = self.first.take(self.edge.take(at))
+        start -= np.cumsum(each) - each
+        place = np.repeat(start, each)
+        place += np.arange(len(place))
+        return of_decision.take(place)
 
 
 def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -128,7 +219,7 @@ def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     odds = np.clip(np.log((ones + PRIOR) / (zeros + PRIOR)), -LIMIT, LIMIT)
     seen = zeros + ones
     level = (seen > 0).astype(np.int16) + (seen > 3) + (seen > 30)
-    return (np.rint(odds * SCALE).astype(np.int16) << 2) | level
+    return (np.rint(odds * (SCALE / LEVELS)).astype(np.int16) * np.int16(LEVELS)) | level
 
 
 def first_weights() -> np.ndarray:
@@ -136,18 +227,17 @@ def first_weights() -> np.ndarray:
     return np.repeat(np.array(START, np.float32)[:, None] / SCALE, GATES, axis=1)
 
 
-def score(texts: list[bytes], model: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each text. ``model``: contexts x slots, from ``stretched``."""
-    slots, bit, sizes = decisions(texts)
-    inputs, levels = [], []
-    for k, slot in enumerate(slots):
-        found = model[k].take(slot)
-        levels.append(found & np.int16(LEVELS - 1))
-        found >>= np.int16(2)
-        inputs.append(found.astype(np.float32))
-    levels[1] *= np.int16(LEVELS)
-    levels[1] += levels[2]
-    return mixed_scores(inputs, levels[1], bit, sizes)
+def score(texts: list[bytes], model: np.ndarray, words: Words, tokens: np.ndarray, of_decision: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each text.
+
+    ``model``: tables x slots, from ``stretched``. ``tokens``: the numbers in ``words`` of the texts' words, one after another; ``of_decision``:
+    the stretched counts of ``words.key_of``.
+    """
+    slots, bit, each, sizes = decisions(texts)
+    found = [model[k].take(slot) for k, slot in enumerate(slots)]
+    found.append(words.inputs(tokens, each, of_decision))
+    gate = (found[1] & np.int16(LEVELS - 1)) * np.int16(LEVELS) + (found[2] & np.int16(LEVELS - 1))
+    return mixed_scores([v.astype(np.float32) for v in found], gate, bit, sizes)
 
 
 def mixed_scores(inputs: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, sizes: np.ndarray) -> np.ndarray:
