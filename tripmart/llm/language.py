@@ -29,7 +29,7 @@ from tripmart.llm import mixing
 from tripmart.llm.common import narrow_batches, read, settle, size_tasks
 from tripmart.llm.substrings import LAST, blob_groups, packed, parts, runs, unpacked
 
-UNIT = 16 << 20  # bytes of text in a document group
+UNIT = 8 << 20  # bytes of text in a document group
 FOLDS, HELD_OUT = 5, 1
 SLOTS_PER_BYTE = 2  # at least, of the context of the word so far
 END = b"\n"  # the token after the last word; no word can be one
@@ -149,11 +149,12 @@ class Group:
 
     def asked(self) -> list[tuple]:
         number, closed = np.zeros(len(self.names), np.int64), np.zeros(len(self.words.sizes), np.int64)
-        for at, (i, copies, _, _) in enumerate(self.docs):
-            if not held_out(i):
-                np.add.at(number, self.tokens[at], copies)
-                number[-1] += copies
-                np.add.at(closed, self.closed(at), copies)
+        training = [(at, copies) for at, (i, copies, _, _) in enumerate(self.docs) if not held_out(i)]
+        for times in {copies for _, copies in training}:  # repeated rows count as often as they stand
+            some = [at for at, copies in training if copies == times]
+            number += times * np.bincount(np.concatenate([self.tokens[at] for at in some]), minlength=len(number))
+            closed += times * np.bincount(np.concatenate([self.closed(at) for at in some]), minlength=len(closed))
+        number[-1] = sum(copies for _, copies in training)
         number = number[self.order]
         out = [(int(self.bucket[p.start]), 0, squeezed(np.diff(self.hashes[p], prepend=np.uint64(0))), squeezed(number[p]), b"")
                for p in parts(runs(self.bucket), len(number))]

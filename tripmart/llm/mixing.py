@@ -29,6 +29,7 @@ PRIOR, LIMIT, SCALE = 0.4, 7.5, 2048  # log-odds times SCALE; the last two bits
 START = (0.5, 0.7, 0.2)
 RATE, TRUST = 2.5e-7, 60.0
 U32, U64 = np.uint32, np.uint64
+FAST = "wrap"  # all indices are in range; this mode of take is the quick one
 # Bytes of running text from frequent to rare; all others follow by number.
 FREQUENT = b" etnaoishrdluecgmpfbwy.v,\xc3qk\n\xa9|!*#$%&jxz-'\":;?()0123456789"
 R = 0x9E3779B97F4A7C15
@@ -76,12 +77,12 @@ def normal(text: bytes) -> list[bytes]:
 def steps(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(decisions of each byte, byte of each decision, 2 * node + bit of each decision)."""
     lengths, offsets, flat = code()
-    each = lengths.take(body)
+    each = lengths.take(body, mode=FAST)
     ends = np.cumsum(each)
     where = np.repeat(np.arange(len(body)), each)
-    at = (offsets.take(body) - ends + each).take(where)
+    at = (offsets.take(body, mode=FAST) - ends + each).take(where, mode=FAST)
     at += np.arange(len(where))
-    return each, where, flat.take(at)
+    return each, where, flat.take(at, mode=FAST)
 
 
 def decisions(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -107,7 +108,7 @@ def decisions(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndar
         x *= U32(0x85EBCA77)
         x ^= x >> U32(13)
         x *= U32(0xC2B2AE35)
-        slot = (x >> U32(32 - SLOT_BITS)).take(where)
+        slot = (x >> U32(32 - SLOT_BITS)).take(where, mode=FAST)
         slot ^= node  # a byte's nodes share a few cache lines
         slots.append(slot)
     counts = np.add.reduceat(each, begin[sizes > 0]) if len(body) else np.zeros(0, np.int64)
@@ -131,8 +132,11 @@ def ascending(keys: np.ndarray, bits: int) -> np.ndarray:
     places = len(keys).bit_length()
     if bits + places > 64:
         return np.argsort(keys)
-    both = np.sort(keys << U64(places) | np.arange(len(keys), dtype=U64))
-    return (both & U64((1 << places) - 1)).astype(np.int64)
+    both = keys << U64(places)
+    both |= np.arange(len(keys), dtype=U64)
+    both.sort()
+    both &= U64((1 << places) - 1)
+    return both.view(np.int64)
 
 
 class Words:
@@ -149,21 +153,23 @@ class Words:
         new = place >= np.repeat(self.shared(body), self.sizes)
         # Words that begin alike stand together, so at each place the new beginnings number all.
         order = np.argsort(place.astype(np.uint16) if len(words) and self.sizes.max() < 1 << 16 else place, kind="stable")
-        self.edge = np.empty(len(body), np.int64)
+        self.edge = np.empty(len(body), np.int32)
         self.edge[order] = np.cumsum(new[order]) - 1
         first = order[new[order]]
-        self.each, where, step = steps(body.take(first))
+        self.each, where, step = steps(body.take(first, mode=FAST))
         self.first = np.cumsum(self.each) - self.each
         self.bit = (step & U32(1)).astype(np.uint8)
-        key = self.hashes(body).take(first).take(where)
+        key = self.hashes(body).take(first, mode=FAST).take(where, mode=FAST)
+        del place, order, first, where
         key += (step >> U32(1)).astype(U64) * U64(0xD6E8FEB86659FD93)
+        del step
         key ^= key >> U64(32)
         key *= U64(R)
         key >>= U64(64 - key_bits)
         order = ascending(key, key_bits)
-        key = key.take(order)
+        key = key.take(order, mode=FAST)
         new = np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]])
-        self.keys, self.key_of = key[new], np.empty(len(key), np.int64)
+        self.keys, self.key_of = key[new], np.empty(len(key), np.int32)
         self.key_of[order] = np.cumsum(new) - 1
 
     def shared(self, body: np.ndarray) -> np.ndarray:
@@ -203,15 +209,15 @@ class Words:
 
     def inputs(self, tokens: np.ndarray, each: np.ndarray, of_decision: np.ndarray) -> np.ndarray:
         """``of_decision`` for every decision of the words with numbers ``tokens``, one after another; ``each``: decisions of each byte."""
-        sizes = self.sizes.take(tokens)
+        sizes = self.sizes.take(tokens, mode=FAST)
         ends = np.cumsum(sizes)
-        at = np.repeat(self.begin.take(tokens) - ends + sizes, sizes)
+        at = np.repeat(self.begin.take(tokens, mode=FAST) - ends + sizes, sizes)
         at += np.arange(len(at))
-        start = self.first.take(self.edge.take(at))
+        start = self.first.take(self.edge.take(at), mode=FAST)
         start -= np.cumsum(each) - each
         place = np.repeat(start, each)
         place += np.arange(len(place))
-        return of_decision.take(place)
+        return of_decision.take(place, mode=FAST)
 
 
 def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -234,7 +240,7 @@ def score(texts: list[bytes], model: np.ndarray, words: Words, tokens: np.ndarra
     the stretched counts of ``words.key_of``.
     """
     slots, bit, each, sizes = decisions(texts)
-    found = [model[k].take(slot) for k, slot in enumerate(slots)]
+    found = [model[k].take(slot, mode=FAST) for k, slot in enumerate(slots)]
     found.append(words.inputs(tokens, each, of_decision))
     gate = (found[1] & np.int16(LEVELS - 1)) * np.int16(LEVELS) + (found[2] & np.int16(LEVELS - 1))
     return mixed_scores([v.astype(np.float32) for v in found], gate, bit, sizes)
@@ -248,6 +254,7 @@ def mixed_scores(inputs: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, si
     weights = np.tile(first_weights(), len(active))
     # What the refinement has seen happen beyond the mixed probability, by gate and level; it starts with trust in the mixture.
     beyond, seen = np.zeros(len(active) * GATES * STEPS), np.full(len(active) * GATES * STEPS, TRUST)
+    shift = float(1 << 20)  # above any sum of errors in a block: one pass adds up errors and numbers
     while len(active):
         first = begin[active] + at
         width = np.minimum(sizes[active] - at, block)
@@ -257,10 +264,10 @@ def mixed_scores(inputs: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, si
         g += part(gate)
         x = [part(v) for v in inputs]
         y = part(bit).astype(np.float32)
-        mixed = weights[0].take(g)
+        mixed = weights[0].take(g, mode=FAST)
         mixed *= x[0]
         for k in range(1, CONTEXTS):
-            term = weights[k].take(g)
+            term = weights[k].take(g, mode=FAST)
             term *= x[k]
             mixed += term
         np.clip(mixed, -11.9, 11.9, out=mixed)
@@ -270,7 +277,7 @@ def mixed_scores(inputs: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, si
         mixed += np.float32(STEPS / 2)
         cell = g * STEPS
         cell += mixed.astype(np.int8)
-        final = (beyond / seen).astype(np.float32).take(cell)
+        final = (beyond / seen).astype(np.float32).take(cell, mode=FAST)
         final += p
         np.clip(final, np.float32(1e-5), np.float32(1 - 1e-5), out=final)
         final += y  # a probability f of a one: what came has |1 - (f + y)|, f for a one and 1 - f for a zero
@@ -286,12 +293,14 @@ def mixed_scores(inputs: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, si
                 kept = [slice(b - n, b) for b, n, go in zip(ends.tolist(), width.tolist(), going.tolist()) if go]
                 rest = (lambda v: v[kept[0]]) if len(kept) == 1 else (lambda v: np.concatenate([v[s] for s in kept]))
                 g, y, cell, x = rest(g), rest(y), rest(cell), [rest(v) for v in x]
-            counts = np.maximum(np.bincount(g, minlength=len(active) * GATES), 64)
+            both = np.bincount(cell, y.astype(np.float64) + shift, len(beyond))
+            number = np.rint(both / shift)
+            counts = np.maximum(number.reshape(-1, STEPS).sum(axis=1), 64)
             for k in range(CONTEXTS):
                 x[k] *= y
                 weights[k] += RATE * np.bincount(g, x[k], len(active) * GATES) / counts
-            beyond += np.bincount(cell, y, len(beyond))
-            seen += np.bincount(cell, minlength=len(seen))
+            beyond += both - number * shift
+            seen += number
             if not going.all():
                 weights = weights[:, np.repeat(going, GATES)]
                 beyond, seen = (v[np.repeat(going, GATES * STEPS)] for v in (beyond, seen))
