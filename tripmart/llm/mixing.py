@@ -292,13 +292,14 @@ def mixed_scores(inputs: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, si
                 ends = np.cumsum(width)
                 kept = [slice(b - n, b) for b, n, go in zip(ends.tolist(), width.tolist(), going.tolist()) if go]
                 rest = (lambda v: v[kept[0]]) if len(kept) == 1 else (lambda v: np.concatenate([v[s] for s in kept]))
-                g, y, cell, x = rest(g), rest(y), rest(cell), [rest(v) for v in x]
+                y, cell, x = rest(y), rest(cell), [rest(v) for v in x]
             both = np.bincount(cell, y.astype(np.float64) + shift, len(beyond))
             number = np.rint(both / shift)
             counts = np.maximum(number.reshape(-1, STEPS).sum(axis=1), 64)
             for k in range(CONTEXTS):
                 x[k] *= y
-                weights[k] += RATE * np.bincount(g, x[k], len(active) * GATES) / counts
+                # By cell and then by gate: neighbours rarely meet in one sum, which would make them wait for each other.
+                weights[k] += RATE * np.bincount(cell, x[k], len(beyond)).reshape(-1, STEPS).sum(axis=1) / counts
             beyond += both - number * shift
             seen += number
             if not going.all():
