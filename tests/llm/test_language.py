@@ -86,6 +86,14 @@ def test_numbers_come_back_from_planes():
         assert language.opened(language.squeezed(np.array(values, kind)), kind).tolist() == values
 
 
+def test_a_byte_keeps_level_and_odds():
+    zeros, ones = np.meshgrid(np.arange(60), [0, 1, 2, 5, 40, 9000])
+    full = mixing.stretched(zeros.ravel(), ones.ravel())
+    back = mixing.from_bytes(mixing.as_bytes(full))
+    assert ((back & 3) == (full & 3)).all() and abs(back.astype(int) - full).max() <= 0.13 * mixing.SCALE
+    assert back[0] == full[0] == 0
+
+
 def test_what_is_gathered_grows_with_the_corpus(spark):
     from tripmart.llm.substrings import packed
 

@@ -192,7 +192,7 @@ def summed_counts(asked: DataFrame, buckets: int) -> DataFrame:
             del keys
             of = lambda column, kind: np.bincount(inverse, np.concatenate([opened(r[column], kind) for r in held]), len(names))
             if place % 2:
-                each, out = mixing.stretched(of("zeros", np.uint32), of("ones", np.uint32))[inverse], []
+                each, out = mixing.as_bytes(mixing.stretched(of("zeros", np.uint32), of("ones", np.uint32)))[inverse], []
             else:
                 total = of("zeros", np.int64).astype(np.int64)
                 each, out = total[inverse], [(-1, place % 2, place // 2, squeezed(np.array([total.sum(), (total > 0).sum()], np.int64)))]
@@ -230,7 +230,7 @@ def score(docs: DataFrame, unit: int = UNIT, doc_id: str = "doc_id", text: str =
         number = np.zeros(len(group.names), np.int64)
         number[group.order] = join(0, np.int64)
         logs = np.log10((number + 0.5) / (n + 0.5 * (v + 1)))
-        of_decision = join(1, np.int16)[group.words.key_of]
+        of_decision = mixing.from_bytes(join(1, np.uint8))[group.words.key_of]
         out, scores = [], [np.zeros(0)]
         for at, (i, copies, text, _) in enumerate(group.docs):
             tokens = np.append(group.tokens[at], len(number) - 1)

@@ -228,6 +228,18 @@ def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return (np.rint(odds * (SCALE / LEVELS)).astype(np.int16) * np.int16(LEVELS)) | level
 
 
+def as_bytes(values: np.ndarray) -> np.ndarray:
+    """``stretched`` numbers as one byte each, the log-odds in steps of a quarter."""
+    step = np.rint((values >> 2) * (31 * LEVELS / (SCALE * LIMIT))) + 31
+    return (step.astype(np.uint8) << 2) | (values & (LEVELS - 1)).astype(np.uint8)
+
+
+def from_bytes(values: np.ndarray) -> np.ndarray:
+    known = np.arange(256)
+    odds = np.rint(((known >> 2) - 31) * (SCALE * LIMIT / (31 * LEVELS))).astype(np.int16)
+    return (odds * np.int16(LEVELS) | (known & (LEVELS - 1)).astype(np.int16)).take(values)
+
+
 def first_weights() -> np.ndarray:
     """Where each text begins: the same for all gates."""
     return np.repeat(np.array(START, np.float32)[:, None] / SCALE, GATES, axis=1)
