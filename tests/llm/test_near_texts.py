@@ -166,3 +166,25 @@ def test_texts_that_share_an_id_stay(spark):
     assert out.columns == docs.columns
     got = sorted(((r.doc_id if r.doc_id is not None else -1, (r.text or "")[:50]) for r in out.collect()))
     assert got == sorted([(1, a[:50]), (2, b[:50]), (2, c[:50]), (4, long[:50]), (6, ""), (-1, a[:50])])
+
+
+def test_trees_propose_what_is_compared(spark, monkeypatch):
+    """Without minhash keys the fingerprints in the trees find the copies within the radius, and nothing that is not similar."""
+    monkeypatch.setattr(near_texts, "band_keys", lambda least: np.arange(near_texts.BANDS) + 1000 * (hash(least.tobytes()) % 10**12))
+    rng = random.Random(21)
+    texts = []
+    for _ in range(20):
+        words = [f"t{rng.randrange(10**6)}" for _ in range(400)]
+        texts += [" ".join(words), " ".join([*words, "one", "more"]), " ".join(words[1:])]
+    rows = list(enumerate(texts))
+    prints = [near_texts.majority(near_texts.shingles(t.encode())) for t in texts]
+    # Links of the trees alone: each print with the smallest one, as signed numbers, within the radius.
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    group = list(range(len(texts)))
+    for i, p in enumerate(prints):
+        least = min((q for q in range(len(prints)) if (p ^ prints[q]).bit_count() <= near_texts.RADIUS), key=signed.__getitem__)
+        a, b = group[i], group[least]
+        group = [min(a, b) if g in (a, b) else g for g in group]
+    assert len(set(group)) < len(texts)
+    out = near_texts.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in out.collect()) == sorted(set(group))

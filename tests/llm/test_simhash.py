@@ -126,3 +126,23 @@ def test_shards_stay_small():
     for agree in (1, 2, 5):
         cut = simhash.pieces(4, agree)
         assert len(cut) == 4 + agree and sum(n for _, n in cut) == 64 and all(a + n == b for (a, n), (b, _) in zip(cut, cut[1:]))
+
+
+@pytest.mark.parametrize("block,agree", [(7, None), (4096, 1), (4096, 2)])
+def test_smallest_neighbours_equal_brute_force(spark, block, agree):
+    rng = random.Random(4)
+    values = {0, 2**64 - 1}
+    for _ in range(5):
+        v = rng.getrandbits(64)
+        for _ in range(30):
+            values.add(v)
+            v ^= (1 << rng.randrange(64)) | (1 << rng.randrange(64)) | (1 << rng.randrange(64))
+    signed = [v - 2**64 if v >= 2**63 else v for v in values]
+    want = {}
+    for a in signed:
+        least = min(b for b in signed if ((a ^ b) % 2**64).bit_count() <= 6)
+        if least < a:
+            want[a] = least
+    df = spark.createDataFrame([(v,) for v in signed], "fp long")
+    assert {r.fp: r.least for r in simhash.neighbours(df, 6, block, agree).collect()} == want
+    assert simhash.neighbours(df.limit(0), 6).count() == 0

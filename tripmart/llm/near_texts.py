@@ -1,9 +1,11 @@
 """Near copies by exact Jaccard similarity of five-word shingles.
 
 1. A text is the set of its shingles' 64-bit hashes; texts with one set are one entry from there on, made with map-side minima.
-2. ``BANDS`` keys of ``ROWS`` minhashes each find the sets that may have a partner: two sets of similarity s share a key unless all bands differ, which has the
-   chance (1 - s^ROWS)^BANDS, 5e-8 at 0.8. Keys that one set holds propose nothing.
-3. Two rounds of stars: a set is compared with one other, the first set of its keys, then the first of another group there. Most groups are whole after that.
+2. Each set has a SimHash fingerprint, the bits that over half of its shingles' hashes have, as in ``simhash``. BK-trees over shards of the fingerprints find
+   for each the smallest one within ``RADIUS`` bits, and the set is compared with the first set there, exactly. So are sets of one fingerprint.
+3. Pairs of similarity 0.8 may differ in more bits than a radius can span. ``BANDS`` keys of ``ROWS`` minhashes each find the sets that may have such a partner: two
+   sets of similarity s share a key unless all bands differ, which has the chance (1 - s^ROWS)^BANDS, 5e-8 at 0.8. Keys that one set holds propose nothing. A set
+   without a neighbour in the trees is compared with the first set of its keys; after that, any set with the first one of another group there. Most groups are whole then.
 4. Sets of keys that still hold several groups form families by exact prefixes: shingles are ordered by the number of these sets that have them, rarest first. If
    two sets are similar, their first ``n - ceil(0.8n) + 1`` shingles share one. Shingles that one set has take up the first places and meet nobody, so texts that
    share much but differ by words of their own are in no family. The components of shared prefix shingles are the families.
@@ -12,8 +14,8 @@
    blocks, each pair of blocks is a task of its own.
 6. Components of all links as in ``simhash``.
 
-Step 3 sends at most one pair for each set and round, step 4 some shingles of each set, step 5 a set as often as its family has blocks. No step sends the pairs of a
-group. In step 3 a set that many others are compared with is dealt to several tasks.
+Steps 2 and 3 send at most two pairs for each set, step 4 some shingles of each set, step 5 a set as often as its family has blocks. No step sends the pairs of a
+group. In steps 2 and 3 a set that many others are compared with is dealt to several tasks.
 
 Texts of less than five words are one shingle, texts without words are equal, null counts as empty. Documents are told apart by id and text: of
 a group the one with the smallest id stays, of two texts with this id the one with the smaller hash, repeated rows once. Documents without an id stay
@@ -34,11 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from tripmart.llm.common import narrow_batches, settle
-from tripmart.llm.simhash import components, whole_groups
+from tripmart.llm.simhash import components, majority, neighbours, whole_groups
 from tripmart.llm.substrings import rolling, word_hashes
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 4
+RADIUS = 6  # bits between the fingerprints of sets that the trees propose
 BLOCK = 1 << 20  # shingles of one family in one side of one task
 DENSE = 512  # columns of a matrix that are multiplied at once
 SHARE = 1000  # pairs of one set that are compared in one task
@@ -82,20 +85,22 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def sketches(rows: DataFrame) -> DataFrame:
-    """(id, hash, name, keys) of ``rows`` (id, hash, text)."""
+    """(id, hash, name, fp, keys) of ``rows`` (id, hash, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, keys = [], []
+            names, prints, keys = [], [], []
             for t in pc.cast(batch.column(2), pa.binary()).to_pylist():
                 found = shingles(t or b"")
                 names.append(name(found))
+                prints.append(majority(found))
                 keys.append(band_keys(minhashes(found)))
             flat = pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))
             offsets = pa.array(np.arange(len(names) + 1, dtype=np.int32) * BANDS)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(names, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
-                                             names=["id", "hash", "name", "keys"])
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns[:2], pa.array(names, pa.int64()), pa.array(np.array(prints, U64).view(np.int64)), pa.ListArray.from_arrays(offsets, flat)],
+                names=["id", "hash", "name", "fp", "keys"])
 
-    return rows.mapInArrow(run, rows.select("id", "hash").schema.add("name", "long").add("keys", ArrayType(LongType())))
+    return rows.mapInArrow(run, rows.select("id", "hash").schema.add("name", "long").add("fp", "long").add("keys", ArrayType(LongType())))
 
 
 def whole_sets(rows: DataFrame) -> DataFrame:
@@ -247,12 +252,24 @@ def within(member: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
     return tasks.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long")
 
 
+def print_pairs(distinct: DataFrame) -> DataFrame:
+    """(a, b): for each name b the first one of its fingerprint, or of the smallest fingerprint within the radius."""
+    first = settle(distinct.groupBy("fp").agg(F.min("name").alias("first")), "prints")
+    near = (neighbours(first.select("fp"), RADIUS).join(first, "fp")
+            .join(first.select(F.col("fp").alias("least"), F.col("first").alias("a")), "least").select("a", F.col("first").alias("b")))
+    same = distinct.join(first, "fp").filter("name != first").select(F.col("first").alias("a"), F.col("name").alias("b"))
+    return near.unionByName(same)
+
+
 def links(distinct: DataFrame, rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) of names whose components are those of all similar pairs. ``distinct``: name, least, keys; ``rows``: id, hash, text."""
+    """Links (a, b) of names whose components are those of all similar pairs. ``distinct``: name, fp, least, keys; ``rows``: id, hash, text."""
+    near = settle(print_pairs(distinct), "near")
+    narrow_batches(distinct.sparkSession)
     held = distinct.select("name", F.explode("keys").alias("key"))
     sizes = settle(held.groupBy("key").agg(F.count("*").alias("n"), F.min("name").alias("first")).filter("n > 1").select("key", "first"), "sizes")
     member = settle(held.join(sizes, "key"), "member")
-    partners = settle(distinct.join(member.select("name").distinct(), "name", "left_semi").select("name", "least.id", "least.hash"), "partners")
+    named = near.select(F.explode(F.array("a", "b")).alias("name")).unionByName(member.select("name")).distinct()
+    partners = settle(distinct.join(named, "name", "left_semi").select("name", "least.id", "least.hash"), "partners")
     texts = rows.join(partners.select("id", "hash").distinct(), ["id", "hash"], "left_semi")
     sets = settle(whole_sets(texts).join(partners.select("name"), "name", "left_semi").dropDuplicates(["name"]), "sets")
 
@@ -261,7 +278,8 @@ def links(distinct: DataFrame, rows: DataFrame, block: int = BLOCK) -> DataFrame
         return member.select("key", "name").join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("label", F.coalesce("label", "name"))
 
     stars = member.filter("name != first").groupBy(F.col("name").alias("b")).agg(F.min("first").alias("a"))
-    found = settle(confirmed(stars.select("a", "b"), sets), "links")
+    far = stars.join(near.select("b"), "b", "left_anti").select("a", "b")
+    found = settle(confirmed(near.unionByName(far), sets), "links")
     groups = settle(labelled(found), "labels")
     leads = groups.groupBy("key").agg(F.min(F.struct("label", "name")).alias("lead"), F.max("label").alias("high")).filter("lead.label < high")
     second = (groups.join(leads.select("key", "lead"), "key").filter(F.col("label") != F.col("lead.label"))
@@ -279,7 +297,7 @@ def one_of_each(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     narrow_batches(docs.sparkSession)
     hashed = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").alias("id"), hashed.alias("hash"), "text")
-    found = sketches(rows).groupBy("name").agg(F.min(F.struct("id", "hash")).alias("least"), F.first("keys").alias("keys"))
+    found = sketches(rows).groupBy("name").agg(F.min(F.struct("id", "hash")).alias("least"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
     distinct = settle(found, "distinct")
     labels = components(settle(links(distinct, rows, block), "links"))
     label = F.coalesce("label", "name")

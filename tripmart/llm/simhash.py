@@ -47,7 +47,11 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     starts = (ends - np.fromiter(map(len, words), np.int64, len(words)) - 1)[: len(words) - width + 1].tolist()
     stops = (ends[width - 1:] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, len(starts))
+    return majority(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, len(starts)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of some hashes: the bits that over half of them have."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), CHUNK):
         part = hashes[at:at + CHUNK].view(np.uint8).reshape(-1, 8)
@@ -157,8 +161,8 @@ def agreement(count: int, radius: int, block: int = BLOCK) -> int:
     return BITS - radius
 
 
-def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK, agree: int | None = None) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp`` (long) whose components are those of all pairs within the radius."""
+def shards(prints: DataFrame, radius: int, block: int, agree: int | None) -> DataFrame:
+    """Tasks (band, value, tree, query, fp, is_tree) in which any two of the distinct fingerprints ``fp`` (long) within the radius meet."""
     narrow_batches(prints.sparkSession, rows=20000)
     agree = agree or agreement(prints.count(), radius, block)
 
@@ -182,19 +186,56 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK, agree: in
         F.when(F.col("own") > 0, F.transform(F.sequence(F.lit(0), F.col("own") - 1), lambda i: F.struct(
             i.alias("tree"), F.col("own").alias("query"), F.lit(False).alias("is_tree"))))
         .otherwise(F.array().cast("array<struct<tree:int,query:int,is_tree:boolean>>")))
-    tasks = member.select("band", "value", "fp", F.explode(roles).alias("r")).select("band", "value", "r.*", "fp")
-    keys = ["band", "value", "tree", "query"]
+    return member.select("band", "value", "fp", F.explode(roles).alias("r")).select("band", "value", "r.*", "fp")
+
+
+KEYS = ["band", "value", "tree", "query"]
+
+
+def shard_values(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The fingerprints in the tree and those that are looked up in it, of each task."""
+    for key, group in whole_groups(batches, KEYS):
+        values = group["fp"].to_numpy().view(np.uint64)
+        tree = np.sort(values[group["is_tree"].to_numpy()])
+        yield tree, np.sort(values[~group["is_tree"].to_numpy()]) if key[2] != key[3] else tree
+
 
+def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK, agree: int | None = None) -> DataFrame:
+    """Links (a, b) between distinct fingerprints ``fp`` (long) whose components are those of all pairs within the radius."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for key, group in whole_groups(batches, keys):
-            values = group["fp"].to_numpy().view(np.uint64)
-            tree = np.sort(values[group["is_tree"].to_numpy()])
-            queries = np.sort(values[~group["is_tree"].to_numpy()]) if key[2] != key[3] else tree
+        for tree, queries in shard_values(batches):
             pairs = np.array(stars(tree, queries, radius), np.uint64).reshape(-1, 2).view(np.int64)
             if len(pairs):
                 yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return tasks.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long").distinct()
+    tasks = shards(prints, radius, block, agree)
+    return tasks.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInPandas(run, "a long, b long").distinct()
+
+
+def least_neighbours(tree: np.ndarray, queries: np.ndarray, radius: int, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(values, smallest value within the radius) of those values, as signed numbers, that have a smaller one in the tree or among the queries."""
+    index = Tree(tree)
+    held = np.unique(np.concatenate([tree, queries]).view(np.int64))
+    least = held.copy()
+    for at in range(0, len(queries), step):
+        some = queries[at:at + step]
+        q, v = index.search(some, radius)
+        left, right = some[q].view(np.int64), tree[v].view(np.int64)
+        np.minimum.at(least, np.searchsorted(held, np.maximum(left, right)), np.minimum(left, right))
+    return held[least < held], least[least < held]
+
+
+def neighbours(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK, agree: int | None = None) -> DataFrame:
+    """(fp, least): the smallest fingerprint within the radius of each distinct ``fp`` (long) that has a smaller one there."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for tree, queries in shard_values(batches):
+            values, least = least_neighbours(tree, queries, radius)
+            if len(values):
+                yield pd.DataFrame({"fp": values, "least": least})
+
+    tasks = shards(prints, radius, block, agree)
+    found = tasks.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInPandas(run, "fp long, least long")
+    return found.groupBy("fp").agg(F.min("least").alias("least"))
 
 
 def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]):
