@@ -337,9 +337,10 @@ def generated_drivers(spark, sf):
 
 
 def _training(spark, sf):
+    """Rows to fit on, stored: the stages of a pipeline read them several times."""
     located = inputs.located(spark, sf).select("trip_id", F.col("pickup_borough").alias("borough"))
-    return model.training_rows(inputs.enriched(spark, sf).join(located, "trip_id").select(
-        "trip_id", *model.NUMERIC, "borough", "fare_amount"))
+    return settle(model.training_rows(inputs.enriched(spark, sf).join(located, "trip_id").select(
+        "trip_id", *model.NUMERIC, "borough", "fare_amount")), "training")
 
 
 @query("M4", "select trip_id, ((trip_id * 7919) % 10) < 9 as train from {trips}")

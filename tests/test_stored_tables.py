@@ -248,3 +248,11 @@ def test_rides_meet_once_for_all_loads(spark, monkeypatch):
     monkeypatch.setattr(customers, "rides", lambda *a: met.append(a) or join(*a))
     assert mart_queries.profile_after_delta(spark, "/root/testdata/sf0.001").count() > 0
     assert len(met) == 1
+
+
+def test_rows_to_fit_on_are_stored(spark):
+    from checks import other_queries
+
+    rows = other_queries._training(spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Scan parquet" in plan
