@@ -106,6 +106,26 @@ def test_what_is_gathered_grows_with_the_corpus(spark):
     assert slots(texts) > 1.5 * slots(texts[:200]) > 0
 
 
+def test_groups_send_edges_not_decisions(spark):
+    """A byte after a word so far is one entry, though it takes several decisions: less travels than two thirds of the text."""
+    from tripmart.llm.substrings import packed
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null")
+    rows = docs.select(F.lit(0).alias("grp"), F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("body"))
+    text = rows.agg(F.sum(F.length("body"))).first()[0]
+    sent = sum(len(v) for r in language.asked_counts(packed(rows), 3, 24).collect() for v in r if isinstance(v, (bytes, bytearray)))
+    assert 0 < sent < text * 2 / 3
+
+
+def test_odds_of_what_was_decided_turn_back():
+    values, bit = np.meshgrid(np.arange(252, dtype=np.uint8), np.array([0, 1], np.uint8))
+    turned = mixing.turned(values, bit)
+    assert (mixing.turned(turned, bit) == values).all() and (turned & 3 == values & 3).all()
+    zeros, ones = np.meshgrid(np.arange(60), [0, 1, 2, 5, 40, 9000])
+    there, back = (mixing.as_bytes(mixing.stretched(*both)) for both in ((zeros, ones), (ones, zeros)))
+    assert (mixing.turned(there, np.zeros_like(there)) == back).all()
+
+
 def test_each_byte_has_its_own_path():
     lengths, offsets, flat = mixing.code()
     paths = [tuple(flat[o:o + n].tolist()) for o, n in zip(offsets.tolist(), lengths.tolist())]

@@ -2,8 +2,8 @@
 
 Two models learn from the documents whose crc32 of the id is not 1 modulo 5. The base is the additive count of words over all training words.
 The other is the online logistic mixture of ``mixing``. Its context of the word so far has a slot for each beginning of a word that the corpus
-holds, so it grows with the corpus as the word counts do: groups of documents send the distinct words and slots they hold to buckets of a hash,
-buckets add the counts up and answer each group with those it asked for. The contexts of three and five bytes lie in tables whose size is a
+holds, so it grows with the corpus as the word counts do: groups of documents send the distinct words and edges (a word so far and the byte after it) they
+hold to buckets of a hash, buckets add the counts up and answer each group with what it asked for, a byte for each decision of an edge. The contexts of three and five bytes lie in tables whose size is a
 parameter: every input partition counts the decisions of its training documents in hashed slots, the slots are added up block by block, and the
 table is sent to the executors. Every count covers all training documents.
 
@@ -31,7 +31,7 @@ from tripmart.llm.substrings import LAST, blob_groups, packed, parts, runs, unpa
 
 UNIT = 8 << 20  # bytes of text in a document group
 FOLDS, HELD_OUT = 5, 1
-SLOTS_PER_BYTE = 2  # at least, of the context of the word so far
+SLOTS_PER_BYTE = 2  # at least, that the words so far are hashed to
 END = b"\n"  # the token after the last word; no word can be one
 PART = 1 << 16  # slots of the table that are added up together
 CHUNK = 1 << 15  # bytes scored at once: few enough for a processor's cache
@@ -158,49 +158,60 @@ class Group:
         number = number[self.order]
         out = [(int(self.bucket[p.start]), 0, squeezed(np.diff(self.hashes[p], prepend=np.uint64(0))), squeezed(number[p]), b"")
                for p in parts(runs(self.bucket), len(number))]
-        zeros, ones = (v.astype(np.uint32) for v in self.words.counts(closed))
-        keys = self.words.keys
-        of_slot = slot_buckets(keys, self.buckets, self.key_bits)
-        return out + [(int(of_slot[p.start]), 1, squeezed(np.diff(keys[p], prepend=np.uint64(0))), squeezed(zeros[p]), squeezed(ones[p]))
-                      for p in parts(runs(of_slot), len(keys))]
+        words, passed = self.words, self.words.passed(closed).astype(np.int64)
+        of_edge = edge_buckets(words.prefixes, self.buckets, self.key_bits)
+        return out + [(int(of_edge[p.start]), 1, squeezed(np.diff(words.prefixes[p], prepend=np.uint64(0))), squeezed(passed[p]), squeezed(words.after[p]))
+                      for p in parts(runs(of_edge), len(of_edge))]
 
 
-def slot_buckets(keys: np.ndarray, buckets: int, key_bits: int) -> np.ndarray:
-    """Ascending keys lie in ascending buckets of equal width."""
+def spread(first: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``first`` and have ``each`` places."""
+    out = np.repeat(first - np.cumsum(each) + each, each)
+    out += np.arange(len(out))
+    return out
+
+
+def edge_buckets(keys: np.ndarray, buckets: int, key_bits: int) -> np.ndarray:
+    """Ascending keys lie in ascending buckets of equal width, all edges of a word so far in one."""
     width = -(-(1 << key_bits) // buckets)
     return (keys // np.uint64(width)).astype(np.int64)
 
 
 def asked_counts(chunks: DataFrame, buckets: int, key_bits: int) -> DataFrame:
-    """For each group and bucket the distinct words (kind 0) and slots (1) it holds and what its training documents add to them."""
+    """For each group and bucket the distinct words (kind 0) and edges (1) it holds and how often its training documents have them."""
     def run(table: pa.Table) -> pa.Table:
         group = table.column("grp")[0].as_py()
         out = [(group, *row) for row in Group(table, buckets, key_bits).asked()]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), [*[pa.int32()] * 3, *[pa.binary()] * 3])],
-                        names=["grp", "bucket", "kind", "keys", "zeros", "ones"])
+                        names=["grp", "bucket", "kind", "keys", "counts", "after"])
 
-    return chunks.groupBy("grp").applyInArrow(run, "grp int, bucket int, kind int, keys binary, zeros binary, ones binary")
+    return chunks.groupBy("grp").applyInArrow(run, "grp int, bucket int, kind int, keys binary, counts binary, after binary")
 
 
 def summed_counts(asked: DataFrame, buckets: int) -> DataFrame:
-    """The corpus counts of each group's words and slots, in the order asked. Rows of group -1 hold a bucket's sum of counts and number of training words."""
+    """The corpus counts of each group's words and the odds of its edges' decisions, in the order asked. Rows of group -1 hold a bucket's sum of counts
+    and number of training words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for place, held in blob_groups(batches, "place"):
             keys = [np.cumsum(opened(r["keys"], np.uint64)) for r in held]
+            if place % 2:
+                keys = [k << np.uint64(8) | opened(r["after"], np.uint8) for r, k in zip(held, keys)]
             sizes = [len(k) for k in keys]
             names, inverse = np.unique(np.concatenate(keys), return_inverse=True)
             del keys
-            of = lambda column, kind: np.bincount(inverse, np.concatenate([opened(r[column], kind) for r in held]), len(names))
+            total = np.bincount(inverse, np.concatenate([opened(r["counts"], np.int64) for r in held]), len(names)).astype(np.int64)
             if place % 2:
-                each, out = mixing.as_bytes(mixing.stretched(of("zeros", np.uint32), of("ones", np.uint32)))[inverse], []
+                edges = mixing.Edges(names >> np.uint64(8), (names & np.uint64(255)).astype(np.uint8))
+                odds = mixing.turned(mixing.as_bytes(mixing.stretched(*edges.sums(total)))[edges.key_of], edges.bit)
+                sizes = [int(n.sum()) for n in np.split(edges.each[inverse], np.cumsum(sizes)[:-1])]
+                each, out = odds[spread(edges.first[inverse], edges.each[inverse])], []
             else:
-                total = of("zeros", np.int64).astype(np.int64)
                 each, out = total[inverse], [(-1, place % 2, place // 2, squeezed(np.array([total.sum(), (total > 0).sum()], np.int64)))]
             at = np.concatenate([[0], np.cumsum(sizes)]).tolist()
             out += [(r["grp"], place % 2, place // 2, squeezed(each[a:b])) for r, a, b in zip(held, at, at[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [*[pa.int32()] * 3, pa.binary()])], names=["grp", "kind", "bucket", "body"])
 
-    keyed = asked.select((F.col("bucket").cast("long") * 2 + F.col("kind")).alias("place"), "grp", "keys", "zeros", "ones")
+    keyed = asked.select((F.col("bucket").cast("long") * 2 + F.col("kind")).alias("place"), "grp", "keys", "counts", "after")
     return keyed.repartition(buckets, "place").sortWithinPartitions("place").mapInArrow(run, "grp int, kind int, bucket int, body binary")
 
 
@@ -230,7 +241,7 @@ def score(docs: DataFrame, unit: int = UNIT, doc_id: str = "doc_id", text: str =
         number = np.zeros(len(group.names), np.int64)
         number[group.order] = join(0, np.int64)
         logs = np.log10((number + 0.5) / (n + 0.5 * (v + 1)))
-        of_decision = mixing.from_bytes(join(1, np.uint8))[group.words.key_of]
+        of_decision = mixing.from_bytes(mixing.turned(join(1, np.uint8), group.words.bit))
         out, scores = [], [np.zeros(0)]
         for at, (i, copies, text, _) in enumerate(group.docs):
             tokens = np.append(group.tokens[at], len(number) - 1)

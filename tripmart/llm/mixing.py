@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import heapq
 from collections import deque
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 
@@ -139,38 +139,67 @@ def ascending(keys: np.ndarray, bits: int) -> np.ndarray:
     return both.view(np.int64)
 
 
-class Words:
-    """Distinct words, ascending, each with the byte that closes it, as a set of beginnings and their decisions.
+class Edges:
+    """Distinct pairs of a word so far, named by a hash, and the byte after it, ascending, and the decisions on the way to each such byte.
 
-    ``keys`` are the distinct hashes of (word so far, node), ascending; in ``key_of`` they stand for each decision of each distinct beginning.
+    ``key_of``: for each decision the number of its slot, that is of its (word so far, node).
     """
 
+    def __init__(self, prefixes: np.ndarray, after: np.ndarray):
+        self.prefixes, self.after = prefixes, after
+        self.each, self.where, self.step = steps(after)
+        self.first = np.cumsum(self.each) - self.each
+        self.bit = (self.step & U32(1)).astype(np.uint8)
+
+    @cached_property
+    def key_of(self) -> np.ndarray:
+        new = self.prefixes[1:] != self.prefixes[:-1]
+        key = np.concatenate([np.zeros(min(1, len(self.after)), U64), np.cumsum(new, dtype=U64)]).take(self.where, mode=FAST)
+        key <<= U64(8)
+        key |= self.step >> U32(1)
+        order = ascending(key, (len(self.after) << 8).bit_length())
+        key = key.take(order, mode=FAST)
+        out = np.empty(len(key), np.int32)
+        out[order] = np.cumsum(np.concatenate([np.zeros(min(1, len(key)), bool), key[1:] != key[:-1]]))
+        return out
+
+    def sums(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Zeros and ones of each slot when edge ``i`` is passed ``number[i]`` times."""
+        slots = int(self.key_of.max()) + 1 if len(self.key_of) else 0
+        both = np.bincount(2 * self.key_of.astype(np.int64) + self.bit, number.astype(np.float64).take(self.where, mode=FAST), 2 * slots)
+        return both[0::2], both[1::2]
+
+
+class Words(Edges):
+    """Distinct words, ascending, each with the byte that closes it, as the set of their edges."""
+
     def __init__(self, words: list[bytes], key_bits: int = 48):
         self.sizes = np.fromiter(map(len, words), np.int64, len(words))
         self.begin = np.cumsum(self.sizes) - self.sizes
         body = np.frombuffer(b"".join(words), np.uint8)
         place = np.arange(len(body)) - np.repeat(self.begin, self.sizes)
+        # The first word that has a beginning holds it for all others.
         new = place >= np.repeat(self.shared(body), self.sizes)
-        # Words that begin alike stand together, so at each place the new beginnings number all.
-        order = np.argsort(place.astype(np.uint16) if len(words) and self.sizes.max() < 1 << 16 else place, kind="stable")
-        self.edge = np.empty(len(body), np.int32)
-        self.edge[order] = np.cumsum(new[order]) - 1
-        first = order[new[order]]
-        self.each, where, step = steps(body.take(first, mode=FAST))
-        self.first = np.cumsum(self.each) - self.each
-        self.bit = (step & U32(1)).astype(np.uint8)
-        key = self.hashes(body).take(first, mode=FAST).take(where, mode=FAST)
-        del place, order, first, where
-        key += (step >> U32(1)).astype(U64) * U64(0xD6E8FEB86659FD93)
-        del step
+        first = np.flatnonzero(new)
+        key = self.hashes(body).take(first, mode=FAST)
         key ^= key >> U64(32)
         key *= U64(R)
         key >>= U64(64 - key_bits)
-        order = ascending(key, key_bits)
+        key <<= U64(8)
+        key |= body.take(first, mode=FAST)
+        order = ascending(key, key_bits + 8)
         key = key.take(order, mode=FAST)
-        new = np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]])
-        self.keys, self.key_of = key[new], np.empty(len(key), np.int32)
-        self.key_of[order] = np.cumsum(new) - 1
+        distinct = np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]])
+        of_first = np.empty(len(key), np.int32)
+        of_first[order] = np.cumsum(distinct) - 1
+        # Words that begin alike stand together, so at each place the new beginnings number all.
+        order = np.argsort(place.astype(np.uint16) if len(words) and self.sizes.max() < 1 << 16 else place, kind="stable")
+        fresh = new.take(order, mode=FAST)
+        self.edge = np.empty(len(body), np.int32)
+        new_at = np.cumsum(new) - 1
+        self.edge[order] = of_first.take(new_at.take(order[fresh], mode=FAST), mode=FAST).take(np.cumsum(fresh) - 1, mode=FAST)
+        key = key[distinct]
+        super().__init__(key >> U64(8), (key & U64(255)).astype(np.uint8))
 
     def shared(self, body: np.ndarray) -> np.ndarray:
         """How many bytes each word shares with the one before."""
@@ -200,12 +229,13 @@ class Words:
             at = upto
         return out
 
+    def passed(self, number: np.ndarray) -> np.ndarray:
+        """How often each edge is passed when word ``i`` stands ``number[i]`` times."""
+        return np.bincount(self.edge, np.repeat(number, self.sizes).astype(np.float64), len(self.after))
+
     def counts(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Zeros and ones of each key when word ``i`` stands ``number[i]`` times."""
-        edges = np.bincount(self.edge, np.repeat(number, self.sizes).astype(np.float64), len(self.each))
-        weight = np.repeat(edges, self.each)
-        ones = np.bincount(self.key_of, weight * self.bit, len(self.keys))
-        return np.bincount(self.key_of, weight, len(self.keys)) - ones, ones
+        """Zeros and ones of each slot when word ``i`` stands ``number[i]`` times."""
+        return self.sums(self.passed(number))
 
     def inputs(self, tokens: np.ndarray, each: np.ndarray, of_decision: np.ndarray) -> np.ndarray:
         """``of_decision`` for every decision of the words with numbers ``tokens``, one after another; ``each``: decisions of each byte."""
@@ -213,7 +243,7 @@ class Words:
         ends = np.cumsum(sizes)
         at = np.repeat(self.begin.take(tokens, mode=FAST) - ends + sizes, sizes)
         at += np.arange(len(at))
-        start = self.first.take(self.edge.take(at), mode=FAST)
+        start = self.first.take(self.edge.take(at, mode=FAST), mode=FAST)
         start -= np.cumsum(each) - each
         place = np.repeat(start, each)
         place += np.arange(len(place))
@@ -240,6 +270,12 @@ def from_bytes(values: np.ndarray) -> np.ndarray:
     return (odds * np.int16(LEVELS) | (known & (LEVELS - 1)).astype(np.int16)).take(values)
 
 
+def turned(values: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Odds of a one, ``as_bytes``, as odds of the decision that was made, and back: after a word so far that goes on in one way only, all are the same."""
+    level = values & np.uint8(LEVELS - 1)
+    return np.where(bit, values, np.uint8(62 * LEVELS) - values + level + level)
+
+
 def first_weights() -> np.ndarray:
     """Where each text begins: the same for all gates."""
     return np.repeat(np.array(START, np.float32)[:, None] / SCALE, GATES, axis=1)
@@ -249,7 +285,7 @@ def score(texts: list[bytes], model: np.ndarray, words: Words, tokens: np.ndarra
     """log10 of the probability of each text.
 
     ``model``: tables x slots, from ``stretched``. ``tokens``: the numbers in ``words`` of the texts' words, one after another; ``of_decision``:
-    the stretched counts of ``words.key_of``.
+    the stretched counts of the slot of each decision of ``words``.
     """
     slots, bit, each, sizes = decisions(texts)
     found = [model[k].take(slot, mode=FAST) for k, slot in enumerate(slots)]
