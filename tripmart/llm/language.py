@@ -4,7 +4,7 @@ Two models learn from the documents whose crc32 of the id is not 1 modulo 5. The
 The other is the online logistic mixture of ``mixing``. Its context of the word so far has a slot for each beginning of a word that the corpus
 holds, so it grows with the corpus as the word counts do: groups of documents send the distinct words and edges (a word so far and the byte after it) they
 hold to buckets of a hash, buckets add the counts up and answer each group with what it asked for, a byte for each decision of an edge. The contexts of three and five bytes lie in tables whose size is a
-parameter: every input partition counts the decisions of its training documents in hashed slots, the slots are added up block by block, and the
+parameter: bytes have a code learned from all pairs of neighbours, every input partition counts the decisions of its training documents in hashed slots, the slots are added up block by block, and the
 table is sent to the executors. Every count covers all training documents.
 
 A word in a third of all documents is one entry from each group. Groups and buckets grow in number with the bytes read. Texts travel twice, compressed.
@@ -15,11 +15,11 @@ Only id and text are read.
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +34,7 @@ FOLDS, HELD_OUT = 5, 1
 SLOTS_PER_BYTE = 2  # at least, that the words so far are hashed to
 END = b"\n"  # the token after the last word; no word can be one
 PART = 1 << 16  # slots of the table that are added up together
+COUNTED = 1 << 21  # bytes counted at once
 CHUNK = 1 << 15  # bytes scored at once: few enough for a processor's cache
 
 
@@ -57,13 +58,29 @@ def line(words: list[bytes]) -> bytes:
     return b" ".join(words) + END
 
 
-def train_tables(training: DataFrame) -> DataFrame:
+def learned_code(training: DataFrame) -> mixing.Code:
+    """The code of bytes by the byte before, from all rows of ``training`` (one binary column). It comes from at most 65,536 counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for texts in in_chunks([line(mixing.normal(t or b"")) for t in batch.column(0).to_pylist()], COUNTED):
+                total += mixing.count_pairs(texts)
+        pair = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int32()), pa.array(total[pair], pa.int64())], names=["pair", "n"])
+
+    pairs = np.zeros(1 << 16, np.int64)
+    for row in training.mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        pairs[row.pair] = row.n
+    return mixing.learned_code(pairs.reshape(256, 256))
+
+
+def train_tables(training: DataFrame, code: mixing.Code) -> DataFrame:
     """(context, part, body): the counts of the mixture's slots over all rows of ``training`` (one binary column)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.zeros((mixing.TABLES, 2 * mixing.SLOTS), np.uint32)
         for batch in batches:
-            for texts in in_chunks([line(mixing.normal(t or b"")) for t in batch.column(0).to_pylist()]):
-                mixing.count(texts, tables)
+            for texts in in_chunks([line(mixing.normal(t or b"")) for t in batch.column(0).to_pylist()], COUNTED):
+                mixing.count(texts, tables, code)
         squeeze = zstandard.ZstdCompressor(level=1)
         for k in range(mixing.TABLES):
             for p in range(mixing.SLOTS // PART):
@@ -96,11 +113,11 @@ def train_tables(training: DataFrame) -> DataFrame:
     return keyed.repartition(mixing.TABLES * mixing.SLOTS // PART, "key").sortWithinPartitions("key").mapInArrow(add, "key int, body binary")
 
 
-def mixture(training: DataFrame) -> np.ndarray:
+def mixture(training: DataFrame, code: mixing.Code) -> np.ndarray:
     """The table of the mixture. It has ``TABLES * SLOTS`` short numbers whatever the corpus, so it may come to the driver."""
     model = np.zeros(mixing.TABLES * mixing.SLOTS, np.int16)
     squeeze = zstandard.ZstdDecompressor()
-    for row in train_tables(training).collect():
+    for row in train_tables(training, code).collect():
         model[PART * row.key:PART * (row.key + 1)] = np.frombuffer(squeeze.decompress(row.body), np.int16)
     return model.reshape(mixing.TABLES, mixing.SLOTS)
 
@@ -123,72 +140,71 @@ def opened(body: bytes, kind: type) -> np.ndarray:
 class Group:
     """The documents of a group, their words as numbers, and what the group asks the corpus for."""
 
-    def __init__(self, table: pa.Table, buckets: int, key_bits: int):
-        self.buckets, self.key_bits, number, last = buckets, key_bits, defaultdict(), {}
-        number.default_factory = number.__len__
-        self.docs, self.tokens = [], []
-        for _, i, text, copies in unpacked(table):
-            words = mixing.normal(text)
-            self.tokens.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-            end = last.setdefault((words[-1] if words else b"") + END, len(last))
-            self.docs.append((i, copies, line(words), end))
-        self.names = [*number, END]
-        closed = [*(w + b" " for w in number), *last]
-        order = sorted(range(len(closed)), key=closed.__getitem__)
-        self.place = np.empty(len(closed), np.int64)
-        self.place[order] = np.arange(len(closed))
-        self.words = mixing.Words([closed[i] for i in order], key_bits)
-        hashes = np.fromiter(map(word_hash, self.names), np.uint64, len(self.names))
+    def __init__(self, table: pa.Table, buckets: int, key_bits: int, code: mixing.Code | None):
+        self.buckets, self.key_bits = buckets, key_bits
+        docs = [(i, copies, line(mixing.normal(text))) for _, i, text, copies in unpacked(table)]
+        self.ids, self.copies, self.lines = (list(c) for c in zip(*docs))
+        # Words with the byte that closes them, a space or the end, one after another: these make up the lines.
+        body = np.frombuffer(b"".join(self.lines), np.uint8)
+        ends = np.flatnonzero((body == ord(" ")) | (body == ord(END)))
+        self.of_doc = np.diff(np.flatnonzero(body[ends] == ord(END)), prepend=-1)
+        self.begin = np.cumsum(self.of_doc) - self.of_doc
+        buffers = [None, pa.py_buffer(np.concatenate([[0], ends + 1])), pa.py_buffer(body)]
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), buffers).dictionary_encode()
+        order = pc.array_sort_indices(coded.dictionary)
+        closed = coded.dictionary.take(order).to_pylist()
+        place = np.empty(len(closed), np.int64)
+        place[order.to_numpy()] = np.arange(len(closed))
+        self.tokens = place.take(coded.indices.to_numpy()).astype(np.int32)
+        self.words = mixing.Words(closed, key_bits, code)
+        # The end stands in no list of words; the line of a document without words has just the end.
+        self.word = np.array([w != END for w in closed])
+        hashes = np.fromiter((word_hash(w[:-1]) for w in closed), np.uint64, len(closed))
+        hashes, self.name = np.unique(np.append(hashes, np.uint64(word_hash(END))), return_inverse=True)
         bucket = (hashes >> np.uint64(33)).astype(np.int64) % buckets
-        self.order = np.lexsort((hashes, bucket))
+        self.order = np.argsort(bucket, kind="stable")
         self.hashes, self.bucket = hashes[self.order], bucket[self.order]
 
-    def closed(self, at: int) -> np.ndarray:
-        """The words of a document as numbers in ``words``: the last one is closed by the end, the others by a space."""
-        return self.place.take(np.append(self.tokens[at][:-1], len(self.names) - 1 + self.docs[at][3]))
+    def part(self, at: slice) -> np.ndarray:
+        """The closed words of a run of documents."""
+        return self.tokens[self.begin[at.start]:self.begin[at.stop - 1] + self.of_doc[at.stop - 1]]
+
+    def by_doc(self, of_word: np.ndarray, of_end: float) -> np.ndarray:
+        """Sums of ``of_word`` over each document's words and its end."""
+        return np.add.reduceat(np.where(self.word, of_word, 0).take(self.tokens), self.begin) + of_end
 
     def asked(self) -> list[tuple]:
-        number, closed = np.zeros(len(self.names), np.int64), np.zeros(len(self.words.sizes), np.int64)
-        training = [(at, copies) for at, (i, copies, _, _) in enumerate(self.docs) if not held_out(i)]
-        for times in {copies for _, copies in training}:  # repeated rows count as often as they stand
-            some = [at for at, copies in training if copies == times]
-            number += times * np.bincount(np.concatenate([self.tokens[at] for at in some]), minlength=len(number))
-            closed += times * np.bincount(np.concatenate([self.closed(at) for at in some]), minlength=len(closed))
-        number[-1] = sum(copies for _, copies in training)
+        # Repeated rows count as often as they stand.
+        times = np.array([0 if held_out(i) else copies for i, copies in zip(self.ids, self.copies)], np.int64)
+        closed = np.bincount(self.tokens, np.repeat(times, self.of_doc), len(self.word)).astype(np.int64)
+        number = np.bincount(self.name, np.append(np.where(self.word, closed, 0), times.sum()), len(self.hashes)).astype(np.int64)
         number = number[self.order]
         out = [(int(self.bucket[p.start]), 0, squeezed(np.diff(self.hashes[p], prepend=np.uint64(0))), squeezed(number[p]), b"")
                for p in parts(runs(self.bucket), len(number))]
-        words, passed = self.words, self.words.passed(closed).astype(np.int64)
-        of_edge = edge_buckets(words.prefixes, self.buckets, self.key_bits)
-        return out + [(int(of_edge[p.start]), 1, squeezed(np.diff(words.prefixes[p], prepend=np.uint64(0))), squeezed(passed[p]), squeezed(words.after[p]))
+        edges, passed = self.words.asked, self.words.passed(closed).astype(np.int64)
+        of_edge = edge_buckets(edges.prefixes, self.buckets, self.key_bits)
+        return out + [(int(of_edge[p.start]), 1, squeezed(np.diff(edges.prefixes[p], prepend=np.uint64(0))), squeezed(passed[p]), squeezed(edges.after[p]))
                       for p in parts(runs(of_edge), len(of_edge))]
 
 
-def spread(first: np.ndarray, each: np.ndarray) -> np.ndarray:
-    """The places of runs that begin at ``first`` and have ``each`` places."""
-    out = np.repeat(first - np.cumsum(each) + each, each)
-    out += np.arange(len(out))
-    return out
-
-
 def edge_buckets(keys: np.ndarray, buckets: int, key_bits: int) -> np.ndarray:
     """Ascending keys lie in ascending buckets of equal width, all edges of a word so far in one."""
-    width = -(-(1 << key_bits) // buckets)
+    width = -(-(1 << key_bits + 8) // buckets)
     return (keys // np.uint64(width)).astype(np.int64)
 
 
-def asked_counts(chunks: DataFrame, buckets: int, key_bits: int) -> DataFrame:
+def asked_counts(chunks: DataFrame, buckets: int, key_bits: int, code: mixing.Code | None = None) -> DataFrame:
     """For each group and bucket the distinct words (kind 0) and edges (1) it holds and how often its training documents have them."""
     def run(table: pa.Table) -> pa.Table:
         group = table.column("grp")[0].as_py()
-        out = [(group, *row) for row in Group(table, buckets, key_bits).asked()]
+        out = [(group, *row) for row in Group(table, buckets, key_bits, code).asked()]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), [*[pa.int32()] * 3, *[pa.binary()] * 3])],
                         names=["grp", "bucket", "kind", "keys", "counts", "after"])
 
     return chunks.groupBy("grp").applyInArrow(run, "grp int, bucket int, kind int, keys binary, counts binary, after binary")
 
 
-def summed_counts(asked: DataFrame, buckets: int) -> DataFrame:
+def summed_counts(asked: DataFrame, buckets: int, code: mixing.Code | None = None) -> DataFrame:
     """The corpus counts of each group's words and the odds of its edges' decisions, in the order asked. Rows of group -1 hold a bucket's sum of counts
     and number of training words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,10 +217,10 @@ def summed_counts(asked: DataFrame, buckets: int) -> DataFrame:
             del keys
             total = np.bincount(inverse, np.concatenate([opened(r["counts"], np.int64) for r in held]), len(names)).astype(np.int64)
             if place % 2:
-                edges = mixing.Edges(names >> np.uint64(8), (names & np.uint64(255)).astype(np.uint8))
+                edges = mixing.Edges(names >> np.uint64(8), (names & np.uint64(255)).astype(np.uint8), code)
                 odds = mixing.turned(mixing.as_bytes(mixing.stretched(*edges.sums(total)))[edges.key_of], edges.bit)
                 sizes = [int(n.sum()) for n in np.split(edges.each[inverse], np.cumsum(sizes)[:-1])]
-                each, out = odds[spread(edges.first[inverse], edges.each[inverse])], []
+                each, out = odds[mixing.spread(edges.first[inverse], edges.each[inverse])], []
             else:
                 each, out = total[inverse], [(-1, place % 2, place // 2, squeezed(np.array([total.sum(), (total > 0).sum()], np.int64)))]
             at = np.concatenate([[0], np.cumsum(sizes)]).tolist()
@@ -229,27 +245,29 @@ def score(docs: DataFrame, unit: int = UNIT, doc_id: str = "doc_id", text: str =
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
     rows = docs.select(F.pmod(F.xxhash64(number, body), F.lit(groups)).cast("int").alias("grp"), number.alias("id"), body.alias("body"))
     fold = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS
-    model = spark.sparkContext.broadcast(mixture(docs.filter(fold != HELD_OUT).select(body.alias("body"))))
-    counts = settle(summed_counts(asked_counts(packed(rows), buckets, key_bits), buckets), "counts")
+    training = docs.filter(fold != HELD_OUT).select(body.alias("body"))
+    code = learned_code(training)
+    model = spark.sparkContext.broadcast(mixture(training, code))
+    counts = settle(summed_counts(asked_counts(packed(rows), buckets, key_bits, code), buckets, code), "counts")
     totals = counts.filter("grp = -1").select("body").mapInArrow(unpack_totals, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
     n, v = totals[0] or 0, totals[1] or 0
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         answers = {(r["kind"], r["bucket"]): r["body"] for r in right.to_pylist()}
         join = lambda kind, form: np.concatenate([np.zeros(0, form), *[opened(answers[k], form) for k in sorted(answers) if k[0] == kind]])
-        group = Group(left, buckets, key_bits)
-        number = np.zeros(len(group.names), np.int64)
+        group = Group(left, buckets, key_bits, code)
+        number = np.zeros(len(group.hashes), np.int64)
         number[group.order] = join(0, np.int64)
+        number = number[group.name]
         logs = np.log10((number + 0.5) / (n + 0.5 * (v + 1)))
-        of_decision = mixing.from_bytes(mixing.turned(join(1, np.uint8), group.words.bit))
-        out, scores = [], [np.zeros(0)]
-        for at, (i, copies, text, _) in enumerate(group.docs):
-            tokens = np.append(group.tokens[at], len(number) - 1)
-            out.append((None if i == LAST else i, held_out(i), len(tokens), int((number[tokens] > 0).sum()), n, float(logs[tokens].sum()), len(text), copies))
-        for some in in_chunks(list(range(len(out))), CHUNK, lambda at: len(group.docs[at][2])):
-            tokens = np.concatenate([group.closed(at) for at in some])
-            scores.append(mixing.score([group.docs[at][2] for at in some], model.value, group.words, tokens, of_decision))
-        rows = [(*row[:6], s, row[6]) for row, s in zip(out, np.concatenate(scores).tolist()) for _ in range(row[-1])]
+        of_decision = mixing.from_bytes(mixing.turned(join(1, np.uint8), group.words.asked.bit)).take(group.words.place)
+        length, known = (group.by_doc(c[:-1], c[-1]).tolist() for c in (np.ones(len(number), np.int64), (number > 0).astype(np.int64)))
+        base, scores = group.by_doc(logs[:-1], logs[-1]).tolist(), []
+        for some in in_chunks(list(range(len(group.ids))), CHUNK, lambda at: len(group.lines[at])):
+            at = slice(some[0], some[-1] + 1)
+            scores += mixing.score(group.lines[at], model.value, group.words, group.part(at), of_decision).tolist()
+        rows = [(None if i == LAST else i, held_out(i), length[at], known[at], n, base[at], scores[at], len(group.lines[at]))
+                for at, (i, copies) in enumerate(zip(group.ids, group.copies)) for _ in range(copies)]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 8, kinds)], names=[f.split()[0] for f in SCORED.split(", ")])
 

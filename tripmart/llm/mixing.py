@@ -1,7 +1,7 @@
 """The arithmetic of the language model: hashed-context bit predictors, gated online mixing, an adaptive refinement.
 
 A text is its lower-cased words joined by one space and closed by a newline, as bytes. A byte is a few binary decisions, the path to it
-in a fixed prefix code, in which frequent bytes are short. For each decision three contexts (the three bytes before, the five bytes before,
+in a prefix code, in which bytes that often follow the byte before are short. For each decision three contexts (the three bytes before, the five bytes before,
 the word so far) name a slot; its pair of counts gives a stretched probability. The first two lie in hashed tables, the nodes of a byte close
 together; the third is one slot for each beginning of a word of the corpus, however many there are. The weighted sum of the three is squashed;
 the weights belong to a gate, that is how well the longer two contexts are known. A text starts with fixed weights, and after each block
@@ -35,18 +35,19 @@ FREQUENT = b" etnaoishrdluecgmpfbwy.v,\xc3qk\n\xa9|!*#$%&jxz-'\":;?()0123456789"
 R = 0x9E3779B97F4A7C15
 
 
-@cache
-def code() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(length of each byte's path, where it begins in the flat list, the flat list of 2 * node + bit)."""
-    order = list(dict.fromkeys([*FREQUENT, *range(256)]))
-    heap: list[tuple[float, int, object]] = [(1 / (rank + 20) ** 4, b, b) for rank, b in enumerate(order)]
+Code = tuple[np.ndarray, np.ndarray, np.ndarray]  # length of each byte's path, where it begins in the flat list, the flat list of 2 * node + bit
+
+
+def paths(weights: list[float]) -> list[list[int]]:
+    """The path to each byte in a prefix code in which heavy bytes are short."""
+    heap: list[tuple[float, int, object]] = [(w, b, b) for b, w in enumerate(weights)]
     heapq.heapify(heap)
     number = 256
     while len(heap) > 1:
         a, b = heapq.heappop(heap), heapq.heappop(heap)
         heapq.heappush(heap, (a[0] + b[0], number, (a[2], b[2])))
         number += 1
-    paths: dict[int, list[int]] = {}
+    out: list[list[int]] = [[]] * 256
     count, todo = 0, deque([(heap[0][2], [])])
     while todo:  # level by level: the nodes of frequent bytes have low numbers
         tree, path = todo.popleft()
@@ -54,9 +55,32 @@ def code() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             node, count = count, count + 1
             todo += [(side, [*path, 2 * node + bit]) for bit, side in enumerate(tree)]
         else:
-            paths[tree] = path
-    lengths = np.array([len(paths[b]) for b in range(256)], np.int64)
-    return lengths, np.concatenate([[0], np.cumsum(lengths)[:-1]]), np.array([x for b in range(256) for x in paths[b]], U32)
+            out[tree] = path
+    return out
+
+
+def laid_out(each: list[list[int]]) -> Code:
+    lengths = np.fromiter(map(len, each), np.int64, len(each))
+    return lengths, np.cumsum(lengths) - lengths, np.array([x for path in each for x in path], np.uint16)
+
+
+@cache
+def code() -> Code:
+    """The code of a byte when nothing is known of the corpus."""
+    rank = {b: r for r, b in enumerate(dict.fromkeys([*FREQUENT, *range(256)]))}
+    return laid_out(paths([1 / (rank[b] + 20) ** 4 for b in range(256)]))
+
+
+def learned_code(pairs: np.ndarray) -> Code:
+    """A code for each byte before, by the times (256 x 256) a byte followed it: most bytes take fewer decisions. Place 256 * byte before + byte."""
+    plain = paths_of(code())
+    unseen = [2.0 ** -len(p) for p in plain]
+    return laid_out([p for row in pairs.tolist() for p in (paths([n + u for n, u in zip(row, unseen)]) if any(row) else plain)])
+
+
+def paths_of(of: Code) -> list[list[int]]:
+    lengths, offsets, flat = of
+    return [flat[a:a + n].tolist() for n, a in zip(lengths.tolist(), offsets.tolist())]
 
 
 @cache
@@ -74,57 +98,73 @@ def normal(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def steps(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(decisions of each byte, byte of each decision, 2 * node + bit of each decision)."""
-    lengths, offsets, flat = code()
-    each = lengths.take(body, mode=FAST)
-    ends = np.cumsum(each)
-    where = np.repeat(np.arange(len(body)), each)
-    at = (offsets.take(body, mode=FAST) - ends + each).take(where, mode=FAST)
-    at += np.arange(len(where))
-    return each, where, flat.take(at, mode=FAST)
+def preceding(texts: list[bytes], body: np.ndarray) -> np.ndarray:
+    """The byte before each byte of the texts one after another; a space before the first of each."""
+    out = np.full(len(body), ord(" "), np.uint8)
+    out[1:] = body[:-1]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    out[(np.cumsum(sizes) - sizes)[sizes > 0]] = ord(" ")
+    return out
+
 
+def steps(before: np.ndarray, body: np.ndarray, of: Code | None) -> tuple[np.ndarray, np.ndarray]:
+    """(decisions of each byte, 2 * node + bit of each decision); ``before``: the byte before each."""
+    lengths, offsets, flat = of or code()
+    place = body if len(lengths) == 256 else before.astype(np.uint16) << np.uint16(8) | body
+    each = lengths.take(place, mode=FAST)
+    return each, flat.take(spread(offsets.take(place, mode=FAST), each), mode=FAST)
 
-def decisions(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """(slot of each table, bit) of every decision of the texts one after another, decisions of each byte and of each text."""
+
+def count_pairs(texts: list[bytes]) -> np.ndarray:
     body = np.frombuffer(b"".join(texts), np.uint8)
+    return np.bincount(preceding(texts, body).astype(np.int64) << 8 | body, minlength=1 << 16)
+
+
+def spread(first: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``first`` and have ``each`` places, one run after another."""
+    out = np.repeat(first - np.cumsum(each) + each, each)
+    out += np.arange(len(out))
+    return out
+
+
+def contexts(texts: list[bytes]) -> list[np.ndarray]:
+    """For each table the slot of every byte of the texts, by the bytes before it; a text starts after zeros."""
+    gap = bytes(5)
+    body = np.frombuffer(b"".join(x for t in texts for x in (gap, t)), np.uint8).astype(U32)
+    before = lambda k: body[5 - k:len(body) - k]
+    three, five = before(1) | before(2) << U32(8) | before(3) << U32(16), before(1) * U32(pow(R, 1, 1 << 32))
+    for k in range(2, 6):
+        five += before(k) * U32(pow(R, k, 1 << 32))
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    begin = np.cumsum(sizes) - sizes
-    # The bytes before; a text starts after zeros.
-    wide = body.astype(U32)
-    place = np.arange(len(body)) - np.repeat(begin, sizes)
-    before = lambda k: np.where(place[k:] >= k, wide[:-k], U32(0))
-    three, five = np.zeros(len(body), U32), np.zeros(len(body), U32)
-    for k in range(1, min(6, len(body))):
-        byte = before(k)
-        if k < 4:
-            three[k:] |= byte << U32(8 * (k - 1))
-        five[k:] += byte * U32(pow(R, k, 1 << 32))
-    each, where, step = steps(body)
-    node = step >> U32(1)
-    slots = []
+    ends = np.cumsum(sizes + 5) - 5
+    out = []
     for x in (three * U32(0x9E3779B1), five):
         x ^= x >> U32(15)
         x *= U32(0x85EBCA77)
         x ^= x >> U32(13)
         x *= U32(0xC2B2AE35)
-        slot = (x >> U32(32 - SLOT_BITS)).take(where, mode=FAST)
-        slot ^= node  # a byte's nodes share a few cache lines
-        slots.append(slot)
-    counts = np.add.reduceat(each, begin[sizes > 0]) if len(body) else np.zeros(0, np.int64)
-    of_text = np.zeros(len(texts), np.int64)
-    of_text[sizes > 0] = counts
-    return slots, step & U32(1), each, of_text
+        x >>= U32(32 - SLOT_BITS)
+        out.append(np.concatenate([np.zeros(0, np.int64), *[x[b - n:b] for n, b in zip(sizes.tolist(), ends.tolist())]], dtype=np.int64))
+    return out
 
 
-def count(texts: list[bytes], tables: np.ndarray) -> None:
+def count(texts: list[bytes], tables: np.ndarray, of: Code | None = None) -> None:
     """Add the decisions of ``texts`` to ``tables`` (tables x 2 * slots)."""
-    slots, bit, _, _ = decisions(texts)
-    for k, slot in enumerate(slots):
-        at = slot.astype(np.int64)
-        at += at
-        at += bit
-        np.add.at(tables[k], at, tables.dtype.type(1))
+    if not any(texts):
+        return
+    body = np.frombuffer(b"".join(texts), np.uint8)
+    pair = preceding(texts, body).astype(U64) << U64(8) | body
+    for k, slot in enumerate(contexts(texts)):
+        # Bytes in the same slot go together, so that their decisions are counted once.
+        key = slot.view(U64) << U64(16)
+        key |= pair
+        key.sort()
+        first = np.flatnonzero(np.concatenate([np.ones(1, bool), key[1:] != key[:-1]]))
+        times, key = np.diff(first, append=len(key)), key[first]
+        each, step = steps((key >> U64(8)).astype(np.uint8), key.astype(np.uint8), of)
+        at = np.repeat((key >> U64(16)).view(np.int64) * 2, each)
+        at ^= step  # a byte's nodes share a few cache lines
+        np.add.at(tables[k], at, np.repeat(times.astype(tables.dtype), each))
 
 
 def ascending(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -140,23 +180,24 @@ def ascending(keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Edges:
-    """Distinct pairs of a word so far, named by a hash, and the byte after it, ascending, and the decisions on the way to each such byte.
+    """Distinct pairs of a word so far, named by a hash and below it its last byte (a space before a word), and the byte after it, ascending, and the
+    decisions on the way to each such byte.
 
     ``key_of``: for each decision the number of its slot, that is of its (word so far, node).
     """
 
-    def __init__(self, prefixes: np.ndarray, after: np.ndarray):
+    def __init__(self, prefixes: np.ndarray, after: np.ndarray, of: Code | None = None):
         self.prefixes, self.after = prefixes, after
-        self.each, self.where, self.step = steps(after)
+        self.each, self.step = steps((prefixes & U64(255)).astype(np.uint8), after, of)
         self.first = np.cumsum(self.each) - self.each
-        self.bit = (self.step & U32(1)).astype(np.uint8)
+        self.bit = (self.step & np.uint16(1)).astype(np.uint8)
 
     @cached_property
     def key_of(self) -> np.ndarray:
         new = self.prefixes[1:] != self.prefixes[:-1]
-        key = np.concatenate([np.zeros(min(1, len(self.after)), U64), np.cumsum(new, dtype=U64)]).take(self.where, mode=FAST)
+        key = np.repeat(np.concatenate([np.zeros(min(1, len(self.after)), U64), np.cumsum(new, dtype=U64)]), self.each)
         key <<= U64(8)
-        key |= self.step >> U32(1)
+        key |= self.step >> np.uint16(1)
         order = ascending(key, (len(self.after) << 8).bit_length())
         key = key.take(order, mode=FAST)
         out = np.empty(len(key), np.int32)
@@ -166,14 +207,18 @@ class Edges:
     def sums(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Zeros and ones of each slot when edge ``i`` is passed ``number[i]`` times."""
         slots = int(self.key_of.max()) + 1 if len(self.key_of) else 0
-        both = np.bincount(2 * self.key_of.astype(np.int64) + self.bit, number.astype(np.float64).take(self.where, mode=FAST), 2 * slots)
+        both = np.bincount(2 * self.key_of.astype(np.int64) + self.bit, np.repeat(number.astype(np.float64), self.each), 2 * slots)
         return both[0::2], both[1::2]
 
 
-class Words(Edges):
-    """Distinct words, ascending, each with the byte that closes it, as the set of their edges."""
+class Words:
+    """Distinct words, ascending, each with the byte that closes it, and their edges.
+
+    ``asked`` has the edges by hash. For the scores they are numbered as the words bring them, so that those of a word lie together; ``to`` leads from
+    there to ``asked``, ``place`` does so for decisions, and ``key_of`` is the slot of each decision.
+    """
 
-    def __init__(self, words: list[bytes], key_bits: int = 48):
+    def __init__(self, words: list[bytes], key_bits: int = 48, of: Code | None = None):
         self.sizes = np.fromiter(map(len, words), np.int64, len(words))
         self.begin = np.cumsum(self.sizes) - self.sizes
         body = np.frombuffer(b"".join(words), np.uint8)
@@ -185,21 +230,28 @@ class Words(Edges):
         key ^= key >> U64(32)
         key *= U64(R)
         key >>= U64(64 - key_bits)
-        key <<= U64(8)
-        key |= body.take(first, mode=FAST)
-        order = ascending(key, key_bits + 8)
+        key <<= U64(16)
+        key |= preceding(words, body).take(first, mode=FAST).astype(U64) << U64(8) | body.take(first, mode=FAST)
+        order = ascending(key, key_bits + 16)
         key = key.take(order, mode=FAST)
         distinct = np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]])
-        of_first = np.empty(len(key), np.int32)
-        of_first[order] = np.cumsum(distinct) - 1
+        self.to = np.empty(len(key), np.int64)
+        self.to[order] = np.cumsum(distinct) - 1
+        key = key[distinct]
+        self.asked = Edges(key >> U64(8), (key & U64(255)).astype(np.uint8), of)
         # Words that begin alike stand together, so at each place the new beginnings number all.
         order = np.argsort(place.astype(np.uint16) if len(words) and self.sizes.max() < 1 << 16 else place, kind="stable")
         fresh = new.take(order, mode=FAST)
         self.edge = np.empty(len(body), np.int32)
-        new_at = np.cumsum(new) - 1
-        self.edge[order] = of_first.take(new_at.take(order[fresh], mode=FAST), mode=FAST).take(np.cumsum(fresh) - 1, mode=FAST)
-        key = key[distinct]
-        super().__init__(key >> U64(8), (key & U64(255)).astype(np.uint8))
+        self.edge[order] = (np.cumsum(new) - 1).take(order[fresh], mode=FAST).take(np.cumsum(fresh) - 1, mode=FAST)
+        self.each = self.asked.each.take(self.to, mode=FAST)
+        self.first = np.cumsum(self.each) - self.each
+        self.place = spread(self.asked.first.take(self.to, mode=FAST), self.each)
+        self.step = self.asked.step.take(self.place, mode=FAST)
+
+    @property
+    def key_of(self) -> np.ndarray:
+        return self.asked.key_of.take(self.place, mode=FAST)
 
     def shared(self, body: np.ndarray) -> np.ndarray:
         """How many bytes each word shares with the one before."""
@@ -230,24 +282,25 @@ class Words(Edges):
         return out
 
     def passed(self, number: np.ndarray) -> np.ndarray:
-        """How often each edge is passed when word ``i`` stands ``number[i]`` times."""
-        return np.bincount(self.edge, np.repeat(number, self.sizes).astype(np.float64), len(self.after))
+        """How often each edge of ``asked`` is passed when word ``i`` stands ``number[i]`` times."""
+        own = np.bincount(self.edge, np.repeat(number, self.sizes).astype(np.float64), len(self.to))
+        return np.bincount(self.to, own, len(self.asked.after))
 
     def counts(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Zeros and ones of each slot when word ``i`` stands ``number[i]`` times."""
-        return self.sums(self.passed(number))
+        return self.asked.sums(self.passed(number))
+
+    def edges(self, tokens: np.ndarray) -> np.ndarray:
+        """The edge of every byte of the words with numbers ``tokens``, one after another."""
+        return self.edge.take(spread(self.begin.take(tokens, mode=FAST), self.sizes.take(tokens, mode=FAST)), mode=FAST)
+
+    def places(self, edges: np.ndarray, each: np.ndarray) -> np.ndarray:
+        """The place among all decisions of each decision on ``edges``; ``each``: decisions of each edge."""
+        return spread(self.first.take(edges, mode=FAST), each)
 
     def inputs(self, tokens: np.ndarray, each: np.ndarray, of_decision: np.ndarray) -> np.ndarray:
         """``of_decision`` for every decision of the words with numbers ``tokens``, one after another; ``each``: decisions of each byte."""
-        sizes = self.sizes.take(tokens, mode=FAST)
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.begin.take(tokens, mode=FAST) - ends + sizes, sizes)
-        at += np.arange(len(at))
-        start = self.first.take(self.edge.take(at, mode=FAST), mode=FAST)
-        start -= np.cumsum(each) - each
-        place = np.repeat(start, each)
-        place += np.arange(len(place))
-        return of_decision.take(place, mode=FAST)
+        return of_decision.take(self.places(self.edges(tokens), each), mode=FAST)
 
 
 def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -287,9 +340,19 @@ def score(texts: list[bytes], model: np.ndarray, words: Words, tokens: np.ndarra
     ``model``: tables x slots, from ``stretched``. ``tokens``: the numbers in ``words`` of the texts' words, one after another; ``of_decision``:
     the stretched counts of the slot of each decision of ``words``.
     """
-    slots, bit, each, sizes = decisions(texts)
-    found = [model[k].take(slot, mode=FAST) for k, slot in enumerate(slots)]
-    found.append(words.inputs(tokens, each, of_decision))
+    edges = words.edges(tokens)
+    each = words.each.take(edges, mode=FAST)
+    place = words.places(edges, each)
+    step = words.step.take(place, mode=FAST)
+    found = []
+    for k, slot in enumerate(contexts(texts)):
+        at = np.repeat(slot, each)
+        at ^= step >> np.uint16(1)
+        found.append(model[k].take(at, mode=FAST))
+    found.append(of_decision.take(place, mode=FAST))
+    bit = step & np.uint16(1)
+    total = np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])
+    sizes = np.diff(total[np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])])
     gate = (found[1] & np.int16(LEVELS - 1)) * np.int16(LEVELS) + (found[2] & np.int16(LEVELS - 1))
     return mixed_scores([v.astype(np.float32) for v in found], gate, bit, sizes)
 
