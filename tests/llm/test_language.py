@@ -132,6 +132,59 @@ def test_each_byte_has_its_own_path():
     assert len(set(paths)) == 256 and abs(sum(2.0 ** -len(p) for p in paths) - 1) < 1e-9
 
 
+def corpus_code(texts):
+    return mixing.learned_code(mixing.count_pairs(texts).reshape(256, 256))
+
+
+def test_learned_paths_are_whole_and_shorter():
+    text = b"the cat sat on the mat and the rat sat on the cat\n" * 40
+    learned, fixed = corpus_code([text]), mixing.code()
+    sums = np.bincount(np.arange(1 << 16) >> 8, 2.0 ** -learned[0])
+    assert np.allclose(sums, 1)
+    for before in (ord("a"), ord("h"), 7):
+        paths = {tuple(learned[2][o:o + n].tolist()) for o, n in zip(learned[1][256 * before:][:256].tolist(), learned[0][256 * before:][:256].tolist())}
+        assert len(paths) == 256
+    body = np.frombuffer(text, np.uint8)
+    each = [mixing.steps(mixing.preceding([text], body), body, of)[0].sum() for of in (learned, fixed)]
+    assert each[0] < 0.6 * each[1]
+
+
+def test_probabilities_sum_to_one_under_a_learned_code():
+    texts = [b"the cat sat on the mat\n" * 3]
+    of = corpus_code(texts)
+    tables = np.zeros((mixing.TABLES, 2 * mixing.SLOTS), np.uint32)
+    mixing.count(texts, tables, of)
+    model = np.stack([mixing.stretched(t[0::2].astype(float), t[1::2].astype(float)) for t in tables])
+
+    def scores(others):
+        names = {w: i for i, w in enumerate(sorted({b"the ", *(t[4:] for t in others)}))}
+        words = mixing.Words(list(names), 48, of)
+        zeros, ones = words.counts(np.ones(len(names), np.int64))
+        tokens = np.array([names[w] for t in others for w in (t[:4], t[4:])], np.int64)
+        return mixing.score(others, model, words, tokens, mixing.stretched(zeros, ones)[words.key_of])
+
+    tails = [b"the c" + bytes([b]) for b in range(256)]
+    total = sum(10 ** s for s in scores([*tails, b"the c"])[:-1]) / 10 ** scores([*tails, b"the c"])[-1]
+    assert abs(total - 1) < 1e-3
+
+
+def test_tables_equal_plain_counts():
+    texts = [b"aab aab aac\n" * 5, b"", b"\n", b"aab\x00\xff\n"]
+    for of in (None, corpus_code(texts)):
+        tables = np.zeros((mixing.TABLES, 2 * mixing.SLOTS), np.uint32)
+        mixing.count(texts, tables, of)
+        lengths, offsets, flat = of or mixing.code()
+        want = [Counter() for _ in tables]
+        slots = [iter(s.tolist()) for s in mixing.contexts(texts)]
+        for t in texts:
+            for i, b in enumerate(t):
+                place = b if of is None else 256 * (t[i - 1] if i else 32) + b
+                for k, s in enumerate(map(next, slots)):
+                    want[k].update((2 * s) ^ int(x) for x in flat[offsets[place]:offsets[place] + lengths[place]])
+        for table, counts in zip(tables, want):
+            assert {int(i): int(table[i]) for i in np.flatnonzero(table)} == counts
+
+
 def test_learning_helps_on_held_out_documents(spark):
     rows = [r for r in language.op2_language_model(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     untrained = trained([])([b"these are plain words of a text\n"])[0]

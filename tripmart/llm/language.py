@@ -34,6 +34,7 @@ FOLDS, HELD_OUT = 5, 1
 SLOTS_PER_BYTE = 2  # at least, that the words so far are hashed to
 END = b"\n"  # the token after the last word; no word can be one
 PART = 1 << 16  # slots of the table that are added up together
+PLAIN = bytes(32 if bytes([b]).isspace() else bytes([b]).lower()[0] for b in range(256))
 COUNTED = 1 << 21  # bytes counted at once
 CHUNK = 1 << 15  # bytes scored at once: few enough for a processor's cache
 
@@ -63,7 +64,7 @@ def learned_code(training: DataFrame) -> mixing.Code:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for texts in in_chunks([line(mixing.normal(t or b"")) for t in batch.column(0).to_pylist()], COUNTED):
+            for texts in in_chunks([(t or b"").translate(PLAIN) + END for t in batch.column(0).to_pylist()], COUNTED):
                 total += mixing.count_pairs(texts)
         pair = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int32()), pa.array(total[pair], pa.int64())], names=["pair", "n"])
@@ -122,8 +123,7 @@ def mixture(training: DataFrame, code: mixing.Code) -> np.ndarray:
     return model.reshape(mixing.TABLES, mixing.SLOTS)
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+word_hash = xxhash.xxh3_64_intdigest
 
 
 def squeezed(values: np.ndarray) -> bytes:
@@ -152,14 +152,17 @@ class Group:
         buffers = [None, pa.py_buffer(np.concatenate([[0], ends + 1])), pa.py_buffer(body)]
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), buffers).dictionary_encode()
         order = pc.array_sort_indices(coded.dictionary)
-        closed = coded.dictionary.take(order).to_pylist()
+        sorted_words = coded.dictionary.take(order)
+        _, offsets, held = sorted_words.buffers()
+        held, at = held.to_pybytes(), np.frombuffer(offsets, np.int64)[:len(sorted_words) + 1].tolist()
+        closed = [held[a:b] for a, b in zip(at, at[1:])]
         place = np.empty(len(closed), np.int64)
         place[order.to_numpy()] = np.arange(len(closed))
         self.tokens = place.take(coded.indices.to_numpy()).astype(np.int32)
         self.words = mixing.Words(closed, key_bits, code)
         # The end stands in no list of words; the line of a document without words has just the end.
         self.word = np.array([w != END for w in closed])
-        hashes = np.fromiter((word_hash(w[:-1]) for w in closed), np.uint64, len(closed))
+        hashes = np.fromiter(map(word_hash, [w[:-1] for w in closed]), np.uint64, len(closed))
         hashes, self.name = np.unique(np.append(hashes, np.uint64(word_hash(END))), return_inverse=True)
         bucket = (hashes >> np.uint64(33)).astype(np.int64) % buckets
         self.order = np.argsort(bucket, kind="stable")

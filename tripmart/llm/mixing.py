@@ -187,10 +187,22 @@ class Edges:
     """
 
     def __init__(self, prefixes: np.ndarray, after: np.ndarray, of: Code | None = None):
-        self.prefixes, self.after = prefixes, after
-        self.each, self.step = steps((prefixes & U64(255)).astype(np.uint8), after, of)
-        self.first = np.cumsum(self.each) - self.each
-        self.bit = (self.step & np.uint16(1)).astype(np.uint8)
+        self.prefixes, self.after, self.of = prefixes, after, of
+
+    @cached_property
+    def steps(self) -> tuple[np.ndarray, np.ndarray]:
+        return steps((self.prefixes & U64(255)).astype(np.uint8), self.after, self.of)
+
+    each = property(lambda self: self.steps[0])
+    step = property(lambda self: self.steps[1])
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        return np.cumsum(self.each) - self.each
+
+    @cached_property
+    def bit(self) -> np.ndarray:
+        return (self.step & np.uint16(1)).astype(np.uint8)
 
     @cached_property
     def key_of(self) -> np.ndarray:
@@ -244,10 +256,22 @@ class Words:
         fresh = new.take(order, mode=FAST)
         self.edge = np.empty(len(body), np.int32)
         self.edge[order] = (np.cumsum(new) - 1).take(order[fresh], mode=FAST).take(np.cumsum(fresh) - 1, mode=FAST)
-        self.each = self.asked.each.take(self.to, mode=FAST)
-        self.first = np.cumsum(self.each) - self.each
-        self.place = spread(self.asked.first.take(self.to, mode=FAST), self.each)
-        self.step = self.asked.step.take(self.place, mode=FAST)
+
+    @cached_property
+    def each(self) -> np.ndarray:
+        return self.asked.each.take(self.to, mode=FAST)
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        return np.cumsum(self.each) - self.each
+
+    @cached_property
+    def place(self) -> np.ndarray:
+        return spread(self.asked.first.take(self.to, mode=FAST), self.each)
+
+    @cached_property
+    def step(self) -> np.ndarray:
+        return self.asked.step.take(self.place, mode=FAST)
 
     @property
     def key_of(self) -> np.ndarray:
