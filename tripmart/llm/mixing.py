@@ -24,7 +24,7 @@ CONTEXTS = 3
 LEVELS = 4  # 0 to 3: how often a slot was seen
 GATES = LEVELS * LEVELS
 STEPS = 24  # levels of the refinement
-FIRST_BLOCK, LAST_BLOCK = 2048, 16384
+FIRST_BLOCK, LAST_BLOCK = 1408, 11264  # some 430 to 3400 bytes
 PRIOR, LIMIT, SCALE = 0.4, 7.5, 2048  # log-odds times SCALE; the last two bits are the level
 START = (0.5, 0.7, 0.2)
 RATE, TRUST = 2.5e-7, 60.0
